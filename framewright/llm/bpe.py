@@ -32,7 +32,19 @@ CACHE_WORDS = 300_000
 CACHE_LETTERS = 48
 
 _SPACE = r"\t-\r \x85\xa0  -     　"
-_WORDS = regex.compile(rf"'s|'t|'re|'ve|'m|'ll|'d|\p{{L}}+|\p{{N}}|[^{_SPACE}\p{{L}}\p{{N}}]+")
+
+#: Code points that are letters or numbers to the pattern library since Unicode 17, and not to the vocabulary's own pattern.
+_UNICODE_17 = """
+558-558 58B-58C 88F-88F C5C-C5C CDC-CDC 208F-208F 209D-209F A7CE-A7CF A7D2-A7D2 A7D4-A7D4 A7DD-A7DD A7E2-A7E2 A7F1-A7F1
+AB6C-AB6D 107BB-107BF 10940-10959 10EC5-10EC7 10ED9-10EEE 11B0A-11B0A 11DB0-11DDB 11DE0-11DE9 11DF1-11DF1 1246F-1246F
+12475-1247F 12550-12686 16EA0-16EB8 16EBB-16ED3 16FF2-16FF6 187F8-187FF 18CD6-18CDA 18D09-18D20 18D80-18DF2 18E00-19191
+191A0-191D2 1B123-1B128 1B168-1B168 1D6A6-1D6A6 1DF1F-1DF24 1DF2B-1DF81 1DF90-1DF96 1DFCD-1DFFF 1E6C0-1E6DE 1E6E0-1E6E2
+1E6E4-1E6E5 1E6E7-1E6ED 1E6F0-1E6F4 1E6FE-1E6FF 2B73A-2B73F 2B81E-2B81E 2CEA2-2CEAD
+"""
+_LATER = "--[" + "".join("-".join(f"\\U{int(c, 16):08X}" for c in run.split("-")) for run in _UNICODE_17.split()) + "]"
+_WORDS = regex.compile(rf"(?V1)'s|'t|'re|'ve|'m|'ll|'d|[\p{{L}}{_LATER}]+|[\p{{N}}{_LATER}]|[^{_SPACE}[\p{{L}}\p{{N}}{_LATER}]]+")
+#: Capitals of Unicode 16 and 17 with their small letters, unknown to str.lower() here.
+_LOWER = {0x1C89: 0x1C8A, 0xA7CB: 0x264, 0xA7CC: 0xA7CD, 0xA7DA: 0xA7DB, 0xA7DC: 0x19B, 0xA7CE: 0xA7CF, 0xA7D2: 0xA7D3, 0xA7D4: 0xA7D5} | {c: c + 0x1B for c in range(0x16EA0, 0x16EB9)} | {c: c + 0x20 for c in range(0x10D50, 0x10D66)} | {0x3A3: 0x3C3}
 _ASCII_WORDS = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[a-z]+|[0-9]|[^\t-\r a-z0-9]+")
 
 
@@ -97,8 +109,8 @@ class WordBPE(dict):
         if text.isascii():
             words = _ASCII_WORDS.findall(text.lower())
         else:
-            # A capital sigma becomes the plain small one wherever it stands: letters are lowered one by one.
-            words = _WORDS.findall(unicodedata.normalize("NFC", text).replace("Σ", "σ").lower())
+            # Letters are lowered one by one: a capital sigma becomes the plain small one wherever it stands.
+            words = _WORDS.findall(unicodedata.normalize("NFC", text).translate(_LOWER).lower())
         return b"".join(map(self.__getitem__, words))
 
     def encode(self, text: str) -> bytes:
