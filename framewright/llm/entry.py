@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from framewright.llm import bpe, decontam, line_dedup
+from framewright.llm import bpe, decontam, line_dedup, substring_dedup
 
 VOCABULARY = public_tokenizers.path("word_bpe_49k.json")
 
@@ -22,6 +22,10 @@ def op2_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontam.digests(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op4_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substring_dedup.digests(table(spark, sf_dir, "documents"))
+
+
 def op5_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_dedup.digests(table(spark, sf_dir, "documents"))
 
@@ -62,9 +66,23 @@ FROM documents d LEFT JOIN kept k ON k.doc_id = d.doc_id
 """
 
 
+OP4_SQL = r"""
+WITH doc AS (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents),
+win AS (
+  SELECT doc_id, p0, array_to_string(list_slice(w, p0, p0 + 19), ' ') AS win
+  FROM (SELECT doc_id, w, unnest(generate_series(1, len(w) - 19)) AS p0 FROM doc WHERE len(w) >= 20)),
+late AS (SELECT doc_id, p0 FROM win QUALIFY row_number() OVER (PARTITION BY win ORDER BY doc_id, p0) > 1),
+gone AS (SELECT DISTINCT doc_id, unnest(generate_series(p0, p0 + 19)) AS pos FROM late),
+word AS (SELECT doc_id, unnest(w) AS word, unnest(generate_series(1, len(w))) AS pos FROM doc),
+kept AS (SELECT w.doc_id, string_agg(w.word, ' ' ORDER BY w.pos) AS text, count(*) AS n FROM word w LEFT JOIN gone g USING (doc_id, pos) WHERE g.pos IS NULL GROUP BY w.doc_id)
+SELECT d.doc_id, CAST(len(d.w) AS BIGINT) AS n_words, CAST(len(d.w) - coalesce(k.n, 0) AS BIGINT) AS n_removed, sha256(coalesce(k.text, '')) AS kept_sha256
+FROM doc d LEFT JOIN kept k USING (doc_id)
+"""
+
+
 def queries():
-    return {f.__name__: f for f in (op1_bpe, op2_decontamination, op5_line_dedup)}
+    return {f.__name__: f for f in (op1_bpe, op2_decontamination, op4_substring_dedup, op5_line_dedup)}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op2_decontamination": OP2_SQL, "op5_line_dedup": OP5_SQL}
+    return {"op2_decontamination": OP2_SQL, "op4_substring_dedup": OP4_SQL, "op5_line_dedup": OP5_SQL}
