@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from framewright.llm import bpe, decontam, line_dedup, substring_dedup
+from framewright.llm import bpe, decontam, line_dedup, substring_dedup, suffix_dedup
 
 VOCABULARY = public_tokenizers.path("word_bpe_49k.json")
 
@@ -30,6 +30,10 @@ def op5_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_dedup.digests(table(spark, sf_dir, "documents"))
 
 
+def op8_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_dedup.digests(table(spark, sf_dir, "documents"))
+
+
 _WORDS = r"regexp_extract_all(translate(coalesce({}, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"
 
 OP2_SQL = f"""
@@ -81,7 +85,7 @@ FROM doc d LEFT JOIN kept k USING (doc_id)
 
 
 def queries():
-    return {f.__name__: f for f in (op1_bpe, op2_decontamination, op4_substring_dedup, op5_line_dedup)}
+    return {f.__name__: f for f in (op1_bpe, op2_decontamination, op4_substring_dedup, op5_line_dedup, op8_suffix_dedup)}
 
 
 def oracle_sql() -> dict[str, str]:
