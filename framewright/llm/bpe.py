@@ -26,8 +26,8 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-#: Words whose encoding a worker keeps; the cache is emptied when full.
-CACHE_WORDS = 300_000
+#: Words in each of the two generations of a worker's cache; when the young one is full it becomes the old one.
+CACHE_WORDS = 400_000
 #: Longer words are encoded each time.
 CACHE_LETTERS = 48
 
@@ -72,6 +72,7 @@ class WordBPE(dict):
         self.tokens = [""] * (max([*vocab.values(), *self.special.values()]) + 1)
         for token, i in [*vocab.items(), *self.special.items()]:
             self.tokens[i] = token
+        self.old: dict[str, bytes] = {}
         self.splits = re.compile("(" + "|".join(map(re.escape, sorted(self.special, key=len, reverse=True))) + ")")
 
     def merge(self, word: bytes) -> list[int]:
@@ -98,9 +99,10 @@ class WordBPE(dict):
         return [i for i in ids if i >= 0]
 
     def __missing__(self, word: str) -> bytes:
-        ids = np.array(self.merge(word.encode()), "<u4").tobytes()
+        ids = self.old.get(word) or np.array(self.merge(word.encode()), "<u4").tobytes()
         if len(word) <= CACHE_LETTERS:
             if len(self) >= CACHE_WORDS:
+                self.old = dict(self)
                 self.clear()
             self[word] = ids
         return ids
