@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from framewright.llm import bpe, decontam, line_dedup, substring_dedup, suffix_dedup
+from framewright.llm import bpe, decontam, jaccard_join, line_dedup, substring_dedup, suffix_dedup
 
 VOCABULARY = public_tokenizers.path("word_bpe_49k.json")
 
@@ -30,6 +30,10 @@ def op5_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_dedup.digests(table(spark, sf_dir, "documents"))
 
 
+def op7_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard_join.assign(table(spark, sf_dir, "documents"))
+
+
 def op8_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suffix_dedup.digests(table(spark, sf_dir, "documents"))
 
@@ -84,9 +88,23 @@ FROM doc d LEFT JOIN kept k USING (doc_id)
 """
 
 
+OP7_SQL = r"""
+WITH RECURSIVE doc AS MATERIALIZED (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w FROM documents),
+shingle AS MATERIALIZED (
+  SELECT DISTINCT doc_id, array_to_string(list_slice(w, p0, p0 + 4), ' ') AS s
+  FROM (SELECT doc_id, w, unnest(generate_series(1, greatest(1, len(w) - 4))) AS p0 FROM doc WHERE len(w) > 0)),
+size AS MATERIALIZED (SELECT doc_id, count(*) AS n FROM shingle GROUP BY doc_id),
+common AS MATERIALIZED (SELECT a.doc_id AS u, b.doc_id AS v, count(*) AS o FROM shingle a JOIN shingle b ON a.s = b.s AND a.doc_id <> b.doc_id GROUP BY ALL),
+link AS MATERIALIZED (SELECT c.u, c.v FROM common c JOIN size a ON a.doc_id = c.u JOIN size b ON b.doc_id = c.v WHERE 100 * c.o >= 80 * (a.n + b.n - c.o)),
+reach AS (SELECT doc_id AS u, doc_id AS v FROM documents UNION SELECT r.u, l.v FROM reach r JOIN link l ON l.u = r.v)
+SELECT r.u AS doc_id, CAST(coalesce(any_value(s.n), 0) AS BIGINT) AS n_shingles, min(r.v) AS component_id FROM reach r LEFT JOIN size s ON s.doc_id = r.u GROUP BY r.u
+"""
+
+
 def queries():
-    return {f.__name__: f for f in (op1_bpe, op2_decontamination, op4_substring_dedup, op5_line_dedup, op8_suffix_dedup)}
+    return {f.__name__: f for f in (op1_bpe, op2_decontamination, op4_substring_dedup, op5_line_dedup, op7_jaccard_join, op8_suffix_dedup)}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op2_decontamination": OP2_SQL, "op4_substring_dedup": OP4_SQL, "op5_line_dedup": OP5_SQL}
+    return {"op2_decontamination": OP2_SQL, "op4_substring_dedup": OP4_SQL, "op5_line_dedup": OP5_SQL, "op7_jaccard_join": OP7_SQL}
