@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from framewright.llm import bpe, decontam, jaccard_join, line_dedup, substring_dedup, suffix_dedup
+from framewright.llm import bpe, decontam, jaccard_join, line_dedup, quality_rules, substring_dedup, suffix_dedup, url_filters
 
 VOCABULARY = public_tokenizers.path("word_bpe_49k.json")
 
@@ -30,6 +30,11 @@ def op5_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_dedup.digests(table(spark, sf_dir, "documents"))
 
 
+def op6_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    trusted = table(spark, sf_dir, "labels").where("quality = 1").select("doc_id")
+    return quality_rules.judge(table(spark, sf_dir, "documents"), trusted).drop("score")
+
+
 def op7_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_join.assign(table(spark, sf_dir, "documents"))
 
@@ -38,6 +43,11 @@ def op8_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suffix_dedup.digests(table(spark, sf_dir, "documents"))
 
 
+def op9_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = table(spark, sf_dir, "pages").select("page_id", "url")
+    return url_filters.judge(pages, url_filters.labels_by_number(pages, table(spark, sf_dir, "labels")))
+
+
 _WORDS = r"regexp_extract_all(translate(coalesce({}, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"
 
 OP2_SQL = f"""
@@ -103,7 +113,7 @@ SELECT r.u AS doc_id, CAST(coalesce(any_value(s.n), 0) AS BIGINT) AS n_shingles,
 
 
 def queries():
-    return {f.__name__: f for f in (op1_bpe, op2_decontamination, op4_substring_dedup, op5_line_dedup, op7_jaccard_join, op8_suffix_dedup)}
+    return {f.__name__: f for f in (op1_bpe, op2_decontamination, op4_substring_dedup, op5_line_dedup, op6_quality_rules, op7_jaccard_join, op8_suffix_dedup, op9_url_filters)}
 
 
 def oracle_sql() -> dict[str, str]:
