@@ -9,10 +9,12 @@ their common lengths, which are then verified byte by byte.
 Sorting every suffix of a corpus is not needed. Every 200-byte window has a minimiser
 (its leftmost 40-byte gram of least hash), and equal windows have equal minimisers at
 equal places. Runs of windows with one minimiser whose whole content recurs are found
-by their hash alone. Where only part of a run recurs, the texts around the minimiser
-are gathered by minimiser and their suffixes (rightwards) and reversed prefixes
-(leftwards) are sorted: windows at offset o are equal where the left parts share o
-bytes and the right parts 200 - o.
+by their hash alone. Where only part of a run recurs, its text is read again: the
+suffixes (rightwards) and reversed prefixes (leftwards) around equal minimisers of a
+batch are sorted, and windows at offset o are equal where the left parts share o bytes
+and the right parts 200 - o. Windows that the sort has not matched within their batch
+are matched across batches by 96 bits of their hashes, so that no minimiser, however
+common, gathers its texts in one task.
 
 Defined results: a null text is empty; texts under 200 bytes lose nothing; matches
 never cross documents; repeated rows are copies like any others, so they lose what
@@ -33,7 +35,7 @@ from pyspark.sql import functions as F
 from framewright.llm import blobs, spans
 from framewright.llm.blobs import Columns
 from framewright.llm.common import chunks, cut, ints, join_checked, row_key, text_buffers, total_bytes
-from framewright.llm.hashing import Prefixes, byte_values, super_kmers
+from framewright.llm.hashing import Prefixes, byte_values, mix, super_kmers
 
 WINDOW, GRAM = 200, 40
 
@@ -41,6 +43,10 @@ WINDOW, GRAM = 200, 40
 RUN = {"=a": "<u8", "=v": "<u8", "id": "<i8", "tag": "<i4", "lo": "<i4", "n": "<i4", "at": "<i4", "kind": "u1"}
 #: The same where only a part may recur.
 PART = {"=a": "<u8", "id": "<i8", "tag": "<i4", "lo": "<i4", "n": "<i4", "at": "<i4"}
+#: A window of such a run (kinds 0 and 1 as above), or a span to remove (kind 2).
+WINDOW_OF = {"=a": "<u8", "=v": "<u4", "id": "<i8", "tag": "<i4", "lo": "<i4", "n": "<i4", "kind": "u1"}
+#: Runs whose suffixes are sorted together.
+RUNS_AT_ONCE = 6_000
 
 
 def bucket_of(a: np.ndarray, buckets: int) -> np.ndarray:
@@ -128,37 +134,57 @@ def parts_by_document(packed: DataFrame) -> DataFrame:
     return packed.groupBy("bucket").applyInPandas(run, "__id long, __tag int, __parts binary")
 
 
-def part_texts(texts: DataFrame, parts: DataFrame, buckets: int, window: int) -> DataFrame:
-    """bucket, blob (PART records), body (their texts, one after another)."""
+def part_windows(texts: DataFrame, parts: DataFrame, buckets: int, window: int) -> DataFrame:
+    """bucket, blob of WINDOW_OF records: the windows of the given runs.
+
+    The suffix sort decides those that recur among the runs of its batch; they become
+    spans, and one window of each content is sent on, so a hot passage costs a record a
+    batch. The others are sent on by their hash.
+    """
     rows = join_checked(texts, parts, ["__id", "__tag"], F.length("__parts") + 32, "inner")
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        def flush(held: list[Columns], bodies: list[bytes]) -> pa.RecordBatch:
-            c = blobs.concat(held)
-            bucket = bucket_of(c["a"], buckets)
-            order = np.argsort(bucket, kind="stable")
-            numbers, packed = blobs.scatter(c, bucket, PART)
-            own = bucket[order]
-            cuts = np.append(np.flatnonzero(np.diff(own, prepend=-1)), len(own))
-            body = [b"".join([bodies[i] for i in order[a:b]]) for a, b in zip(cuts, cuts[1:])]
-            return pa.RecordBatch.from_arrays([pa.array(numbers, pa.int64()), pa.array(packed, pa.binary()), pa.array(body, pa.binary())], names=["bucket", "blob", "body"])
+    def flush(held: list[Columns], bodies: list[bytes]) -> pa.RecordBatch:
+        c = blobs.concat(held)
+        body = np.frombuffer(b"".join(bodies), np.uint8)
+        n = c["n"].astype(np.int64)
+        size = n + window - 1
+        begin = np.cumsum(size) - size
+        record = np.repeat(np.arange(len(n)), n)
+        number = np.arange(len(record)) - np.repeat(np.cumsum(n) - n, n)
+        place = begin[record] + number
+        found_record, found_number = shared_windows(c, body, window)
+        again = np.zeros(len(record), bool)
+        again[(np.cumsum(n) - n)[found_record] + found_number] = True
+        values = byte_values(body)
+        a = mix(Prefixes(values).ranges(place, place + window))
+        v = (mix(Prefixes(values, 1).ranges(place, place + window)) >> np.uint64(32)).astype(np.uint32)
+        one = np.zeros(len(record), bool)
+        one[np.flatnonzero(again)[np.unique(a[again], return_index=True)[1]]] = True
+        out = {"a": a, "v": v, "id": c["id"][record], "tag": c["tag"][record], "lo": (c["lo"][record] + number).astype(np.int32)}
+        on = blobs.take(out, ~again | one) | {"n": np.full(int((~again | one).sum()), window, np.int32), "kind": again[~again | one].astype(np.uint8)}
+        gone = joined_windows(blobs.take(out, again), window)
+        zero = np.zeros(len(gone["id"]))
+        gone |= {"a": zero.astype(np.uint64), "v": zero.astype(np.uint32), "kind": np.full(len(zero), 2, np.uint8)}
+        bucket = np.concatenate((id_bucket(gone["id"], buckets), bucket_of(on["a"], buckets)))
+        return blobs.batch_of(*blobs.scatter(blobs.concat([gone, on]), bucket, WINDOW_OF))
 
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[Columns] = []
         bodies: list[bytes] = []
         for batch in batches:
-            texts, packed = batch.column("__text").cast(pa.large_binary()), batch.column("__parts").to_pylist()
-            for text, blob in zip(texts, packed):
-                text = text.as_py()
-                c = blobs.unpack([blob], PART)
-                held.append(c)
-                bodies += [text[lo : lo + n + window - 1] for lo, n in zip(c["lo"].tolist(), c["n"].tolist())]
-                if len(bodies) >= 50_000:
-                    yield flush(held, bodies)
-                    held, bodies = [], []
+            for text, blob in zip(batch.column("__text").cast(pa.large_binary()), batch.column("__parts").to_pylist()):
+                text, c = text.as_py(), blobs.unpack([blob], PART)
+                for at in range(0, len(c["a"]), RUNS_AT_ONCE):
+                    own = {k: x[at : at + RUNS_AT_ONCE] for k, x in c.items()}
+                    held.append(own)
+                    bodies += [text[lo : lo + n + window - 1] for lo, n in zip(own["lo"].tolist(), own["n"].tolist())]
+                    if len(bodies) >= RUNS_AT_ONCE:
+                        yield flush(held, bodies)
+                        held, bodies = [], []
         if bodies:
             yield flush(held, bodies)
 
-    return rows.mapInArrow(run, "bucket long, blob binary, body binary")
+    return rows.mapInArrow(run, "bucket long, blob binary")
 
 
 class Suffixes:
@@ -261,21 +287,28 @@ def shared_windows(c: Columns, body: np.ndarray, window: int) -> tuple[np.ndarra
     return (np.concatenate(where), np.concatenate(what)) if where else (np.empty(0, np.int64),) * 2
 
 
-def judge_parts(packed: DataFrame, buckets: int, window: int) -> DataFrame:
+def joined_windows(found: Columns, window: int) -> Columns:
+    """Spans (id, tag, lo, n) of windows, successive and overlapping ones of a document made one."""
+    found = blobs.take(found, np.lexsort((found["lo"], found["tag"], found["id"])))
+    new = np.ones(len(found["lo"]), bool)
+    new[1:] = (np.diff(found["id"]) != 0) | (np.diff(found["tag"]) != 0) | (np.diff(found["lo"]) > window)
+    cuts = np.flatnonzero(new)
+    last = np.append(cuts[1:], len(new)) - 1 if len(cuts) else cuts
+    n = found["lo"][last] - found["lo"][cuts] + window
+    return {"id": found["id"][cuts], "tag": found["tag"][cuts], "lo": found["lo"][cuts], "n": n.astype(np.int32)}
+
+
+def judge_windows(packed: DataFrame, buckets: int, window: int) -> DataFrame:
     def run(pdf: pd.DataFrame) -> pd.DataFrame:
-        c = blobs.unpack(pdf["blob"], PART)
-        record, number = shared_windows(c, np.frombuffer(b"".join(pdf["body"]), np.uint8), window)
-        found = {"id": c["id"][record], "tag": c["tag"][record], "lo": (c["lo"][record] + number).astype(np.int32), "n": np.full(len(record), window, np.int32)}
-        order = np.lexsort((found["lo"], found["tag"], found["id"]))
-        found = blobs.take(found, order)
-        # successive windows become one span
-        new = np.ones(len(order), bool)
-        new[1:] = (np.diff(found["id"]) != 0) | (np.diff(found["tag"]) != 0) | (np.diff(found["lo"]) > 1)
-        cuts = np.flatnonzero(new)
-        last = np.append(cuts[1:], len(order)) - 1 if len(cuts) else cuts
-        n = found["lo"][last] - found["lo"][cuts] + window
-        found = blobs.take(found, cuts) | {"n": n.astype(np.int32)}
-        numbers, rows = spans.spread(found, buckets)
+        c = blobs.unpack(pdf["blob"], WINDOW_OF)
+        live = blobs.take(c, c["kind"] < 2)
+        order, group = blobs.groups(live["a"], live["v"])
+        again = np.zeros(len(order), bool)
+        if len(order):
+            again[order] = np.bincount(group, 1 + live["kind"][order].astype(np.int64))[group] > 1
+        spans_ = blobs.take(c, c["kind"] == 2)
+        found = joined_windows(blobs.take(live, again & (live["kind"] == 0)), window)
+        numbers, rows = spans.spread(blobs.concat([found, {k: spans_[k] for k in found}]), buckets)
         return pd.DataFrame({"bucket": numbers, "blob": rows})
 
     return packed.groupBy("bucket").applyInPandas(run, "bucket long, blob binary")
@@ -287,7 +320,7 @@ def repeated(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", wi
     buckets = blobs.buckets_for(total_bytes(docs, text_col))
     judged = cut(judge_runs(runs(texts, buckets, window, gram), buckets, window))
     parts = cut(parts_by_document(judged.where("kind = 1").drop("kind")))
-    single = judge_parts(part_texts(texts, parts, buckets, window), buckets, window)
+    single = judge_windows(part_windows(texts, parts, buckets, window), buckets, window)
     return cut(spans.by_document(judged.where("kind = 0").drop("kind").unionByName(single)))
 
 
