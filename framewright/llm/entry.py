@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from framewright.llm import bpe, decontam, jaccard_join, line_dedup, quality_rules, substring_dedup, suffix_dedup, url_filters
+from framewright.llm import bpe, decontam, jaccard_join, line_dedup, quality_classifier, quality_rules, substring_dedup, suffix_dedup, url_filters
 
 VOCABULARY = public_tokenizers.path("word_bpe_49k.json")
 
@@ -22,6 +22,10 @@ def op2_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontam.digests(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op3_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_classifier.digests(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op4_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substring_dedup.digests(table(spark, sf_dir, "documents"))
 
@@ -113,7 +117,7 @@ SELECT r.u AS doc_id, CAST(coalesce(any_value(s.n), 0) AS BIGINT) AS n_shingles,
 
 
 def queries():
-    return {f.__name__: f for f in (op1_bpe, op2_decontamination, op4_substring_dedup, op5_line_dedup, op6_quality_rules, op7_jaccard_join, op8_suffix_dedup, op9_url_filters)}
+    return {f.__name__: f for f in (op1_bpe, op2_decontamination, op3_quality_classifier, op4_substring_dedup, op5_line_dedup, op6_quality_rules, op7_jaccard_join, op8_suffix_dedup, op9_url_filters)}
 
 
 def oracle_sql() -> dict[str, str]:
