@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from framewright.llm import bpe, decontam, jaccard_join, line_dedup, quality_classifier, quality_rules, substring_dedup, suffix_dedup, url_filters
+from framewright.llm import bpe, decontam, jaccard_join, line_dedup, quality_classifier, quality_rules, substring_dedup, suffix_dedup, token_shards, url_filters
 
 VOCABULARY = public_tokenizers.path("word_bpe_49k.json")
 
@@ -52,6 +52,10 @@ def op9_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_filters.judge(pages, url_filters.labels_by_number(pages, table(spark, sf_dir, "labels")))
 
 
+def op10_token_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_shards.materialise(table(spark, sf_dir, "documents"), VOCABULARY)
+
+
 _WORDS = r"regexp_extract_all(translate(coalesce({}, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"
 
 OP2_SQL = f"""
@@ -117,7 +121,7 @@ SELECT r.u AS doc_id, CAST(coalesce(any_value(s.n), 0) AS BIGINT) AS n_shingles,
 
 
 def queries():
-    return {f.__name__: f for f in (op1_bpe, op2_decontamination, op3_quality_classifier, op4_substring_dedup, op5_line_dedup, op6_quality_rules, op7_jaccard_join, op8_suffix_dedup, op9_url_filters)}
+    return {f.__name__: f for f in (op1_bpe, op2_decontamination, op3_quality_classifier, op4_substring_dedup, op5_line_dedup, op6_quality_rules, op7_jaccard_join, op8_suffix_dedup, op9_url_filters, op10_token_shards)}
 
 
 def oracle_sql() -> dict[str, str]:
