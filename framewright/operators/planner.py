@@ -31,7 +31,8 @@ def outcomes(rows: DataFrame, meta: DataFrame, audit: DataFrame, clip: str = "vi
     out = out.withColumn("__seeds", F.transform("__usable", lambda u: frame_time(F.col("__start"), F.col("__end"), F.get(u["targets"], F.lit(0))["frame_idx"])))
     out = with_window(out.withColumn("__seeds", F.coalesce("__seeds", F.array().cast("array<double>"))), "__start", "__end", "__seeds", length)
     out = with_object_key(out, meta, audit, clip, "object_key")
-    refs = out.select(F.col(clip).alias("__c"), F.posexplode("covered").alias("offset", "at"), "__usable", "__seeds", "window_start")
+    # outer, so that no filter on the computed array is pushed down and computed twice
+    refs = out.select(F.col(clip).alias("__c"), F.posexplode_outer("covered").alias("offset", "at"), "__usable", "__seeds", "window_start").where("at is not null")
     refs = refs.select("__c", "offset", F.get("__usable", F.col("at")).alias("u"), F.get("__seeds", F.col("at")).alias("seed"), "window_start")
     refs = refs.withColumns({"t": F.get("u.targets", F.lit(0)), "r": F.get("u.refs", F.lit(0))}).withColumn("ref_vid", F.col("r.vid"))
     refs = with_object_key(refs, meta, audit, "ref_vid", "ref_key")

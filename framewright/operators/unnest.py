@@ -53,7 +53,7 @@ def box_of(text: Column) -> Column:
 
 def by_phrase(rows: DataFrame, clip: str = "video_id", text: str = "cross_pair") -> DataFrame:
     """One row per phrase: the clip's columns, position, phrase, targets, refs, malformed."""
-    exploded = rows.withColumn("__p", parsed(F.col(text))).withColumn("__e", entries(F.col("__p"))).select(*(c for c in rows.columns if c != text), F.posexplode("__e").alias("position", "__x"))
+    exploded = rows.withColumn("__p", parsed(F.col(text))).withColumn("__e", entries(F.col("__p"))).select(*(c for c in rows.columns if c != text), F.posexplode_outer("__e").alias("position", "__x")).where("position is not null")
     return exploded.select(
         *(c for c in rows.columns if c != text), "position", F.col("__x.phrase").alias("phrase"), F.col("__x.targets").alias("targets"),
         F.col("__x.refs").alias("refs"), malformed(F.col("__x"), F.col(clip)).alias("malformed"),

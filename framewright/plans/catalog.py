@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from framewright.plans import clips
+from framewright.plans import boxes, clips, manifests, pairs, tracks  # noqa: F401 (registered on import)
 from framewright.plans.registry import QUERIES, SQL
 
 
