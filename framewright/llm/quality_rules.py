@@ -28,7 +28,7 @@ BUCKETS = 1 << 14
 SMOOTHING = 1.0
 #: Least mean log-likelihood ratio (nats an n-gram) of a kept document.
 THRESHOLD = -0.15
-SYMBOLS = "#*$%&|<>"
+SYMBOLS = "#*$%&|<>"  # stands inside a character class
 SPACES = " \t\n\x0b\f\r"
 #: Words of the windows whose repetition counts.
 REPEAT = 5
@@ -41,30 +41,32 @@ def words_of(text: Column) -> Column:
 
 
 def shape_of(text: Column) -> Column:
-    """The text with each run of letters of a kind, or of digits, as one sign."""
-    for pattern, sign in ((r"\p{Ll}+", "a"), (r"\p{Lu}+", "A"), (r"\p{Nd}+", "9"), (r"[\p{Lo}\p{Lm}\p{Lt}]+", "o")):
+    """The text with each run of letters of a kind, or of digits, as one sign. Plain small letters shrink first, so the later patterns see a short text."""
+    for pattern, sign in (("[a-z]+", "a"), (r"\p{Ll}+", "a"), (r"\p{Lu}+", "A"), (r"\p{Nd}+", "9"), (r"[\p{Lo}\p{Lm}\p{Lt}]+", "o")):
         text = F.regexp_replace(text, pattern, sign)
     return text
 
 
-def grams_of(shapes: Column) -> Column:
-    """Unigrams and bigrams of an array of words."""
-    pairs = F.when(F.size(shapes) > 1, F.zip_with(F.slice(shapes, F.lit(1), F.size(shapes) - 1), F.slice(shapes, F.lit(2), F.size(shapes) - 1), lambda a, b: F.concat(a, F.lit(" "), b)))
-    return F.concat(shapes, F.coalesce(pairs, F.array().cast("array<string>")))
+def hashes_of(words: Column) -> Column:
+    return F.transform(words, lambda w: F.xxhash64(w))
 
 
-def bucket_of(gram: Column) -> Column:
-    return F.pmod(F.xxhash64(gram), F.lit(BUCKETS)).cast("int")
+def buckets_of(hashes: str) -> Column:
+    """Buckets of the unigrams and bigrams of a column of word hashes."""
+    h = F.col(hashes)
+    bucket = lambda x: F.pmod(x, F.lit(BUCKETS)).cast("int")
+    pairs = F.zip_with(F.slice(h, F.lit(1), F.size(h) - 1), F.slice(h, F.lit(2), F.size(h) - 1), lambda a, b: bucket(F.xxhash64(a, b)))
+    return F.concat(F.transform(h, bucket), F.when(F.size(h) > 1, pairs).otherwise(F.array().cast("array<int>")))
 
 
 def weights(docs: DataFrame, trusted: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> list[float]:
     """The log-likelihood ratio of each bucket. trusted: a column of ids, the target; counts are combined before the shuffle and end as BUCKETS rows."""
     target = trusted.select(F.col(trusted.columns[0]).alias("__id")).where("__id is not null").distinct().withColumn("__t", F.lit(1))
-    shapes = docs.select(F.col(f"`{id_col}`").alias("__id"), words_of(shape_of(F.coalesce(F.col(f"`{text_col}`"), F.lit("")))).alias("w"))
+    shapes = docs.select(F.col(f"`{id_col}`").alias("__id"), hashes_of(words_of(shape_of(F.coalesce(F.col(f"`{text_col}`"), F.lit(""))))).alias("h"))
     marked = join_checked(shapes, target, ["__id"], F.lit(32))
     counts = (
-        marked.select(F.coalesce("__t", F.lit(0)).alias("t"), F.explode(grams_of(F.col("w"))).alias("g"))
-        .groupBy(bucket_of(F.col("g")).alias("b"))
+        marked.select(F.coalesce("__t", F.lit(0)).alias("t"), F.explode(buckets_of("h")).alias("b"))
+        .groupBy("b")
         .agg(F.count("*").alias("raw"), F.sum("t").alias("target"))
         .collect()
     )
@@ -84,11 +86,11 @@ def base_rules(rows: DataFrame, text_col: str = "text") -> DataFrame:
     no_longs = F.array().cast("array<bigint>")
     out = rows.select(
         "*",
-        F.transform(words_of(text), lambda w: F.xxhash64(w)).alias("__h"),
-        F.length(F.translate(text, SPACES, "")).cast("long").alias("word_chars"),
-        (F.length(text) - F.length(F.translate(text, SYMBOLS, ""))).cast("long").alias("n_symbols"),
+        words_of(text).alias("__w"),
+        F.length(F.regexp_replace(text, f"[^{SYMBOLS}]+", "")).cast("long").alias("n_symbols"),
         lines.alias("__lines"),
     )
+    out = out.withColumns({"__h": hashes_of(F.col("__w")), "word_chars": F.length(F.array_join("__w", "")).cast("long")}).drop("__w")
     out = out.select(
         *[c for c in out.columns if c not in ("__h", "__lines")],
         F.size("__h").cast("long").alias("n_words"),
@@ -110,20 +112,18 @@ def base_rules(rows: DataFrame, text_col: str = "text") -> DataFrame:
     return out.withColumn("base_failed", (F.col("n_words") < 10) | (F.col("n_repeat_words") * 100 > F.col("n_words") * 20))
 
 
-def score(text: Column, ratios: list[float]) -> tuple[Column, Column]:
-    """(n-grams of a text, the mean ratio of a column of n-grams named __g)."""
+def score(buckets: str, ratios: list[float]) -> Column:
+    """The mean ratio of a column of buckets."""
     table = F.split(F.lit(",".join(map(repr, ratios))), ",").cast("array<double>")
-    total = F.aggregate("__g", F.lit(0.0), lambda a, g: a + F.element_at(table, bucket_of(g) + 1))
-    return grams_of(F.col("__shapes")), F.when(F.size("__g") == 0, F.lit(0.0)).otherwise(total / F.size("__g"))
+    total = F.aggregate(buckets, F.lit(0.0), lambda a, b: a + F.get(table, b))
+    return F.when(F.size(buckets) == 0, F.lit(0.0)).otherwise(total / F.size(buckets))
 
 
 def judge(docs: DataFrame, trusted: DataFrame, id_col: str = "doc_id", text_col: str = "text", threshold: float = THRESHOLD) -> DataFrame:
     """id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, score, kept of every document: one narrow pass after the counts."""
     ratios = weights(docs, trusted, id_col, text_col)
     rows = docs.select(F.col(f"`{id_col}`").alias("__doc"), F.coalesce(F.col(f"`{text_col}`"), F.lit("")).alias("text"))
-    rows = rows.withColumn("__shapes", words_of(shape_of(F.col("text"))))
-    grams, mean = score(F.col("text"), ratios)
-    rows = rows.withColumn("__g", grams).select("__doc", "text", mean.alias("score"))
+    rows = rows.withColumn("__g", hashes_of(words_of(shape_of(F.col("text"))))).withColumn("__g", buckets_of("__g")).select("__doc", "text", score("__g", ratios).alias("score"))
     rows = base_rules(rows)
     return rows.select(
         F.col("__doc").alias(id_col), "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "score",
