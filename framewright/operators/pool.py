@@ -37,10 +37,10 @@ def deduped(pools: DataFrame, keys: list[str], order: list[str], threshold: floa
     it is folded in one array per key.
     """
     member = F.struct(*(F.col(c) for c in order), F.col("origin"), F.col("box"))
-    gathered = pools.where(F.col("box").isNotNull()).groupBy(*keys).agg(F.sort_array(F.collect_list(member)).alias("m"))
-    kept = F.aggregate("m", F.expr("cast(array() as array<struct<first: struct<%s>, also: array<string>>>)" % _fields(pools, order)), lambda a, x: _fold(a, x, threshold))
-    out = gathered.select(*keys, F.posexplode(kept).alias("kept_at", "k"))
-    return out.select(*keys, "kept_at", *(F.col(f"k.first.{c}").alias(c) for c in order), F.col("k.first.origin").alias("origin"), F.col("k.first.box").alias("box"), F.col("k.also").alias("also"))
+    gathered = pools.where(F.col("box").isNotNull()).groupBy(*keys).agg(F.sort_array(F.collect_list(member)).alias("__m"))
+    kept = F.aggregate("__m", F.expr("cast(array() as array<struct<first: struct<%s>, also: array<string>>>)" % _fields(pools, order)), lambda a, x: _fold(a, x, threshold))
+    out = gathered.select(*keys, F.posexplode(kept).alias("kept_at", "__k"))
+    return out.select(*keys, "kept_at", *(F.col(f"__k.first.{c}").alias(c) for c in order), F.col("__k.first.origin").alias("origin"), F.col("__k.first.box").alias("box"), F.col("__k.also").alias("also"))
 
 
 def _fields(pools: DataFrame, order: list[str]) -> str:
