@@ -11,11 +11,11 @@
    and need no join. Sets are renumbered to the positions of shared shingles.
 4. Prefix shingles are joined under length and positional filters; each pair is
    checked once, by a suffix filter and then by the exact intersection.
-5. Rounds: first, sets that share a prefix shingle are chained (each with its
-   neighbour only), so large groups of near copies become one component from a
-   linear number of pairs; later rounds chain components that share a shingle. The last
-   round compares every pair that shares a prefix shingle and is not connected yet, so
-   no link between components is lost.
+5. First come rounds of stars: each set is paired with one other that shares a prefix
+   shingle, so large groups of near copies become one component from a linear number
+   of pairs. The last round compares every pair that shares a prefix shingle and is
+   not connected yet, at its first common shingle, so no link between components is
+   lost.
 
 Defined results: null texts and texts without words have an empty set and stand
 alone; fewer than five words are one shingle; a null doc_id counts as the smallest;
@@ -32,7 +32,6 @@ import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
 
 from framewright.llm import blobs
 from framewright.llm.blobs import Columns
@@ -45,10 +44,8 @@ SHINGLE = 5
 NUM, DEN = 4, 5
 #: Share of the hash range in which a shingle takes part in step 2.
 SAMPLED = 0.3
-#: Rounds of chaining before all remaining pairs are compared.
-CHAINS = 3
-#: Sets chained together; larger groups of one shingle are dealt into several chains.
-CHAIN = 1024
+#: Rounds of stars before all remaining pairs are compared.
+STARS = 4
 
 #: kind 0: a shingle; 1: one that recurs in its batch; 2: a count of shared shingles; 3: a document's set (a: its hash, n: size, s: sampled shingles).
 SHARED = {"=a": "<u8", "id": "<i8", "tag": "<i4", "n": "<i4", "s": "<i4", "kind": "u1"}
@@ -265,10 +262,10 @@ def suffix_bound(x: np.ndarray, y: np.ndarray, depth: int = 2) -> int:
 
 
 def linked(pairs: DataFrame, sets: DataFrame) -> DataFrame:
-    """The pairs (u, v) whose sets overlap enough; each is checked once, wherever its two sets meet."""
+    """The pairs (u, v; cut) whose sets overlap enough; each is checked once, where its two sets meet. Only the sets of pairs travel if the pairs themselves are few enough to be sent out."""
     left = sets.select(F.col("node").alias("u"), F.col("n").alias("nu"), F.col("shared").alias("su"))
     right = sets.select(F.col("node").alias("v"), F.col("n").alias("nv"), F.col("shared").alias("sv"))
-    rows = pairs.join(left, "u").join(right, "v")
+    rows = join_checked(left, pairs, ["u"], F.lit(32), "inner").join(join_checked(right, pairs, ["v"], F.lit(32), "inner"), ["u", "v"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -282,70 +279,78 @@ def linked(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     return rows.mapInArrow(run, "u long, v long")
 
 
-def _possible(na: str, nb: str, pa_: str, pb: str):
-    """Length and positional filters for two sets that share a shingle at the given places of their rare-first orders."""
+def _possible(na: str, nb: str, aa: str, ab: str, pa_: str, pb: str):
+    """Length and positional filters for two sets that share a shingle at places pa_ and pb of their rare-first orders, the first aa and ab of which no other set holds."""
     x, y, i, j = F.col(na), F.col(nb), F.col(pa_), F.col(pb)
-    length = (F.least(x, y) * DEN >= F.greatest(x, y) * NUM)
-    most = F.least(i, j) + 1 + F.least(x - i - 1, y - j - 1)
+    length = F.least(x, y) * DEN >= F.greatest(x, y) * NUM
+    most = F.least(i - F.col(aa), j - F.col(ab)) + 1 + F.least(x - i - 1, y - j - 1)
     return length & (most * (NUM + DEN) >= (x + y) * NUM)
 
 
 def links(sets: DataFrame) -> DataFrame:
     """node, root of the nodes that have links; sets as from ranked_sets. Cut."""
-    postings = cut(sets.select("node", "n", "at", F.posexplode("prefix").alias("i", "t")).select("node", "n", "t", (F.col("at") + F.col("i")).alias("p")))
-    sizes = postings.groupBy("t").agg(F.count("*").alias("df"))
-    postings = cut(postings.join(sizes.where("df > 1"), "t"))
+    postings = sets.select("node", "n", "at", "prefix", F.posexplode("prefix").alias("i", "t"))
+    postings = postings.select("node", "n", "at", "t", (F.col("at") + F.col("i")).alias("p"), F.slice("prefix", F.lit(1), F.col("i")).alias("before"))
     roots = None
-    found = None
-    for turn in range(CHAINS + 1):
-        here = postings
+    for turn in range(STARS + 1):
+        # without a root yet, every node is its own component
+        here = postings if turn == STARS else postings.drop("before")
+        here = here.withColumn("root", F.col("node")) if roots is None else join_checked(here, roots, ["node"], F.lit(32)).withColumn("root", F.coalesce("root", "node"))
+        several = cut(here.groupBy("t").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).where("lo < hi").select("t"))
+        here = join_checked(here, several, ["t"], F.lit(24), "inner")
+        pairs = _starred(here, turn) if turn < STARS else _remaining(here)
+        new = cut(linked(cut(pairs.select(F.least("u", "v").alias("u"), F.greatest("u", "v").alias("v")).distinct()), sets))
         if roots is not None:
-            here = here.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
-        else:
-            here = here.withColumn("root", F.col("node"))
-        several = here.groupBy("t").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).where("lo < hi").select("t")
-        here = cut(here.join(several, "t"))
-        if turn < CHAINS:
-            pairs = _chained(here, turn)
-        else:
-            other = here.select("t", F.col("node").alias("v"), F.col("n").alias("m"), F.col("p").alias("q"), F.col("root").alias("other"))
-            pairs = here.withColumnRenamed("node", "u").join(other, "t").where((F.col("root") < F.col("other")) & _possible("n", "m", "p", "q"))
-        pairs = pairs.select(F.least("u", "v").alias("u"), F.greatest("u", "v").alias("v")).distinct()
-        new = cut(linked(pairs, sets))
-        found = new if roots is None else new.union(roots.select(F.col("node").alias("u"), F.col("root").alias("v")))
-        roots = cut(components(found))
+            if new.isEmpty():
+                continue
+            new = new.union(roots.select(F.col("node").alias("u"), F.col("root").alias("v")))
+        roots = cut(components(new))
     return roots
 
 
-def _chained(here: DataFrame, turn: int) -> DataFrame:
-    """Each component that holds a shingle, by one of its members, paired with the next one in a random order of the turn."""
-    mixed = F.xxhash64("t", "node", F.lit(turn))
-    one = here.groupBy("t", "root").agg(F.min_by(F.struct("node", "n", "p"), mixed).alias("x"), F.max("df").alias("df"))
-    one = one.select("t", "df", "x.node", "x.n", "x.p")
-    chain = F.pmod(F.xxhash64("node", F.lit(turn)), F.floor(F.col("df") / CHAIN) + 1)
-    order = Window.partitionBy("t", "chain").orderBy(F.xxhash64("t", "node", F.lit(-turn)), "node")
-    near = one.withColumn("chain", chain)
-    near = near.select("node", "n", "p", *(F.lead(c).over(order).alias(a) for c, a in (("node", "v"), ("n", "m"), ("p", "q"))))
-    return near.where(F.col("v").isNotNull() & _possible("n", "m", "p", "q")).withColumnRenamed("node", "u")
+def _starred(here: DataFrame, turn: int) -> DataFrame:
+    """Every node takes one of its shingles, the same for all that may take it, and is paired with one node of that shingle: the one with the smallest share of shingles of its own, or in odd turns any. At most one pair a node."""
+    one = here.groupBy("node").agg(F.min_by(F.struct("t", "n", "at", "root"), F.xxhash64("t", F.lit(turn))).alias("x")).select("node", "x.*")
+    order = F.struct(F.col("at") / F.col("n"), F.col("node")) if turn % 2 == 0 else F.struct(F.xxhash64("node", F.lit(turn)), F.col("node"))
+    hub = one.groupBy("t").agg(F.min_by(F.struct(F.col("node").alias("v"), F.col("n").alias("m"), F.col("root").alias("other")), order).alias("h")).select("t", "h.*")
+    near = (F.col("root") != F.col("other")) & (F.least("n", "m") * DEN >= F.greatest("n", "m") * NUM)
+    return one.join(hub, "t").where(near).withColumnRenamed("node", "u")
+
+
+def _remaining(here: DataFrame) -> DataFrame:
+    """Every pair of nodes of different components that shares a prefix shingle and passes the filters, found at its first common shingle only, so once."""
+    other = here.select("t", *(F.col(a).alias(b) for a, b in (("node", "v"), ("n", "m"), ("at", "bt"), ("p", "q"), ("root", "other"), ("before", "prior"))))
+    first = ~F.arrays_overlap("before", "prior")
+    return here.withColumnRenamed("node", "u").join(other, (here["t"] == other["t"]) & (F.col("root") < F.col("other")) & _possible("n", "m", "at", "bt", "p", "q") & first).select("u", "v")
 
 
 def cluster(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """__id, __tag, n_shingles, component_id (smallest id reachable, NULL_ID for null) of every distinct document."""
+    """__id, __tag, n_shingles, joint (the least (__id, __tag) reachable; __id is NULL_ID for null) of every distinct document."""
     sets = document_sets(docs, id_col, text_col)
     nodes, ranked = ranked_sets(docs, sets, id_col, text_col)
     roots = links(ranked)
-    # the least id of each class, then of each component
-    classes = sets.where("n > 0").groupBy("key", "n").agg(F.min("__id").alias("least"))
+    # the least document of each class, then of each component
+    classes = sets.where("n > 0").groupBy("key", "n").agg(F.min(F.struct("__id", "__tag")).alias("least"))
     placed = nodes.select("key", "n", "node").join(roots, "node")
     classes = cut(classes.join(placed.select("key", "n", "root"), ["key", "n"], "left"))
     joint = classes.where("root is not null").groupBy("root").agg(F.min("least").alias("joint"))
-    classes = classes.join(joint, "root", "left").select("key", "n", F.coalesce("joint", "least").alias("component_id"))
-    return sets.join(classes, ["key", "n"], "left").select("__id", "__tag", F.col("n").cast("long").alias("n_shingles"), F.coalesce("component_id", "__id").alias("component_id"))
+    classes = classes.join(joint, "root", "left").select("key", "n", F.coalesce("joint", "least").alias("joint"))
+    own = F.struct("__id", "__tag")
+    return sets.join(classes, ["key", "n"], "left").select("__id", "__tag", F.col("n").cast("long").alias("n_shingles"), F.coalesce("joint", own).alias("joint"))
 
 
 def assign(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """id, n_shingles, component_id of every row (repeated rows repeat)."""
     found = cluster(docs, id_col, text_col)
     rows = docs.select(F.col(f"`{id_col}`").alias("doc"), *row_key(docs, id_col, text_col)).drop("__text")
-    out = rows.join(found, ["__id", "__tag"]).select("doc", "n_shingles", F.when(F.col("component_id") != NULL_ID, F.col("component_id")).alias("component_id"))
+    out = rows.join(found, ["__id", "__tag"]).select("doc", "n_shingles", F.when(F.col("joint.__id") != NULL_ID, F.col("joint.__id")).alias("component_id"))
     return out.withColumnRenamed("doc", id_col)
+
+
+def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """docs without the documents of a component other than its least one, with all their columns. The documents that go are broadcast only if their measured size allows it."""
+    found = cluster(docs, id_col, text_col)
+    gone = cut(found.where((F.col("joint.__id") != F.col("__id")) | (F.col("joint.__tag") != F.col("__tag"))).select("__id", "__tag"))
+    id_, tag, _ = row_key(docs, id_col, text_col)
+    rows = docs.withColumns({"__id": id_, "__tag": tag})
+    return join_checked(rows, gone, ["__id", "__tag"], F.lit(24), "left_anti").select(*(F.col(f"`{c}`") for c in docs.columns))
