@@ -62,7 +62,7 @@ def topk_scores(spark, sf_dir):
 
 
 _LINES = (
-    "lines AS (SELECT *, row_number() OVER (PARTITION BY l_orderkey ORDER BY l_linenumber, l_partkey, l_suppkey) - 1 AS k FROM boxes WHERE l_orderkey % 2 = 0),"
+    "lines AS (SELECT *, row_number() OVER (PARTITION BY l_orderkey ORDER BY l_linenumber, l_partkey, l_suppkey, x1, y1, x2) - 1 AS k FROM boxes WHERE l_orderkey % 2 = 0),"
     " found AS (SELECT * FROM lines WHERE k BETWEEN 0 AND 3)"
 )
 _MEMBERS = (
@@ -75,7 +75,7 @@ def _lines(spark, sf_dir):
     from pyspark.sql.window import Window
 
     rows = d.boxes(spark, sf_dir).where("l_orderkey % 2 = 0")
-    order = Window.partitionBy("l_orderkey").orderBy("l_linenumber", "l_partkey", "l_suppkey")
+    order = Window.partitionBy("l_orderkey").orderBy("l_linenumber", "l_partkey", "l_suppkey", "x1", "y1", "x2")
     return rows.withColumn("k", F.row_number().over(order) - 1).where("k < 4").select("l_orderkey", "k", g.Box.of().array().alias("box"))
 
 
