@@ -15,7 +15,7 @@ import pyarrow as pa
 import zstandard
 
 #: Records that a mapper gathers before it combines and packs them.
-GATHER = 400_000
+GATHER = 300_000
 #: Input text bytes for each bucket of a shuffle, and the least number of buckets.
 BUCKET_BYTES, LEAST_BUCKETS = 16 << 20, 64
 

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import tempfile
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -14,8 +14,11 @@ from pyspark.sql import functions as F
 BROADCAST_LIMIT = 32 << 20
 #: Id that stands for a null doc_id inside the operators: before all others.
 NULL_ID = -(1 << 63)
+#: Rows of an Arrow batch of texts.
+BATCH_ROWS = 1_000
+_BATCH = "spark.sql.execution.arrow.maxRecordsPerBatch"
 #: Text bytes that a Python worker turns into arrays at a time (a longer text is one chunk).
-CHUNK_BYTES = 1 << 20
+CHUNK_BYTES = 1 << 19
 
 
 def checkpoint_dir(spark: SparkSession) -> str:
@@ -35,6 +38,14 @@ def cut(df: DataFrame) -> DataFrame:
     return df.checkpoint()
 
 
+def map_arrow(df: DataFrame, function: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]], schema) -> DataFrame:
+    """df.mapInArrow with batches of BATCH_ROWS: texts are large rows, and the default of 10,000 would hold tens of MB in every worker and beside every executor's heap. A session setting other than Spark's default is left alone."""
+    conf = df.sparkSession.conf
+    if conf.get(_BATCH) == "10000":
+        conf.set(_BATCH, str(BATCH_ROWS))
+    return df.mapInArrow(function, schema)
+
+
 def ascii_lower(text: Column) -> Column:
     """text with A-Z, and nothing else, in lower case."""
     return F.translate(text, "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")

@@ -15,7 +15,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from framewright.llm.common import cut
+from framewright.llm.common import cut, map_arrow
 
 #: Edges that one task may hold: 16 bytes each.
 SMALL = 1_000_000
@@ -48,7 +48,7 @@ def _in_one_task(pairs: DataFrame) -> DataFrame:
                 root = root[root]
             yield pa.RecordBatch.from_arrays([pa.array(nodes), pa.array(nodes[root])], names=["node", "root"])
 
-    return pairs.coalesce(1).mapInArrow(run, "node long, root long")
+    return map_arrow(pairs.coalesce(1), run, "node long, root long")
 
 
 def _star(pairs: DataFrame, large: bool) -> DataFrame:

@@ -22,6 +22,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from framewright.llm.common import map_arrow
+
 WINDOW = 13
 #: A document is contaminated when at least one word in so many is hit.
 ONE_IN = 20
@@ -117,7 +119,7 @@ def find(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col
 
     kind = docs.schema[id_col].dataType.simpleString()
     texts = docs.select(F.col(f"`{id_col}`").alias("doc"), F.coalesce(F.col(f"`{text_col}`"), F.lit("")).alias("text"))
-    found = texts.mapInArrow(run, f"doc {kind}, n_words long, n_hit long, items array<string>, spans array<long>")
+    found = map_arrow(texts, run, f"doc {kind}, n_words long, n_hit long, items array<string>, spans array<long>")
     return found.withColumnRenamed("doc", id_col)
 
 
@@ -154,7 +156,7 @@ def clean(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_co
                 keep.append(not (hit and ONE_IN * hit >= n))
             yield batch.filter(pa.array(keep, pa.bool_()))
 
-    return docs.mapInArrow(run, docs.schema)
+    return map_arrow(docs, run, docs.schema)
 
 
 def sha256(text: str) -> str:

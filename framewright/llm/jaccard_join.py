@@ -35,7 +35,7 @@ from pyspark.sql import functions as F
 
 from framewright.llm import blobs
 from framewright.llm.blobs import Columns
-from framewright.llm.common import NULL_ID, chunks, cut, ints, join_checked, row_key, text_buffers, total_bytes
+from framewright.llm.common import NULL_ID, chunks, cut, ints, join_checked, map_arrow, row_key, text_buffers, total_bytes
 from framewright.llm.components import components
 from framewright.llm.hashing import Prefixes, Words, mix
 
@@ -153,7 +153,7 @@ def sampled(texts: DataFrame, buckets: int) -> DataFrame:
         if size:
             yield combine(parts, sets)
 
-    return texts.mapInArrow(run, "bucket long, blob binary")
+    return map_arrow(texts, run, "bucket long, blob binary")
 
 
 def shared_counts(packed: DataFrame, buckets: int) -> DataFrame:
@@ -247,7 +247,7 @@ def ranked_sets(docs: DataFrame, sets: DataFrame, id_col: str = "doc_id", text_c
                 rows.append((int(c["node"][a]), n, blobs.pack({"t": np.sort(c["t"][a:b])}, NUMBERS), c["t"][a : a + prefix - alone], alone))
         return pd.DataFrame(rows, columns=["node", "n", "shared", "prefix", "at"])
 
-    packed = rows.mapInArrow(held, "bucket long, blob binary").groupBy("bucket").applyInPandas(frequencies, "bucket long, blob binary")
+    packed = map_arrow(rows, held, "bucket long, blob binary").groupBy("bucket").applyInPandas(frequencies, "bucket long, blob binary")
     ranked = packed.groupBy("bucket").applyInPandas(ordered, "node long, n int, shared binary, prefix array<long>, at int")
     return nodes, cut(ranked)
 
@@ -276,7 +276,7 @@ def linked(pairs: DataFrame, sets: DataFrame) -> DataFrame:
                 keep.append(suffix_bound(x, y) >= need and len(np.intersect1d(x, y, assume_unique=True)) >= need)
             yield pa.RecordBatch.from_arrays([batch.column("u"), batch.column("v")], names=["u", "v"]).filter(pa.array(keep, pa.bool_()))
 
-    return rows.mapInArrow(run, "u long, v long")
+    return map_arrow(rows, run, "u long, v long")
 
 
 def _possible(na: str, nb: str, aa: str, ab: str, pa_: str, pb: str):

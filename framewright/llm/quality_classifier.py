@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from framewright.llm.common import chunks, cut, text_buffers
+from framewright.llm.common import chunks, cut, map_arrow, text_buffers
 from framewright.llm.hashing import Prefixes, Words, byte_values
 
 #: Cosine features, the kernel's width over standardised statistics, and the ridge term for each labelled row.
@@ -142,7 +142,7 @@ def measured(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
             lists = pa.ListArray.from_arrays(np.arange(len(x) + 1, dtype=np.int32) * x.shape[1], x.ravel())
             yield pa.RecordBatch.from_arrays([batch.column("doc"), lists], names=["doc", "x"])
 
-    return rows.mapInArrow(run, f"doc {rows.schema['doc'].dataType.simpleString()}, x array<double>")
+    return map_arrow(rows, run, f"doc {rows.schema['doc'].dataType.simpleString()}, x array<double>")
 
 
 def held_out(id_col: Column) -> Column:
@@ -183,7 +183,7 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
 
     schema = "fold long, i long, part binary"
     total = np.zeros((2, FEATURES + 1, FEATURES + 3))
-    for row in rows.mapInArrow(sums, schema).groupBy("fold", "i").applyInPandas(add, schema).collect():
+    for row in map_arrow(rows, sums, schema).groupBy("fold", "i").applyInPandas(add, schema).collect():
         total[row["fold"], row["i"]] = np.frombuffer(row["part"])
 
     def solve(a: np.ndarray) -> np.ndarray:
@@ -204,7 +204,7 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
         used = np.flatnonzero(n)
         yield pa.RecordBatch.from_arrays([pa.array(used), pa.array(n[used]), pa.array(good[used])], names=["cell", "n", "good"])
 
-    cells = rows.mapInArrow(grid, "cell long, n double, good double").groupBy("cell").agg(F.sum("n").alias("n"), F.sum("good").alias("good")).orderBy("cell").collect()
+    cells = map_arrow(rows, grid, "cell long, n double, good double").groupBy("cell").agg(F.sum("n").alias("n"), F.sum("good").alias("good")).orderBy("cell").collect()
     knots, levels = isotonic([LOW + (c["cell"] + 0.5) * (HIGH - LOW) / CELLS for c in cells], [c["n"] for c in cells], [c["good"] for c in cells])
     return Model(mean, scale, solve(total[0] + total[1]), knots, levels)
 
@@ -229,7 +229,7 @@ def score(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str =
             s = model.score(statistics(*text_buffers(batch.column("__text"))))
             yield pa.RecordBatch.from_arrays([batch.column("doc"), pa.array(s)], names=["doc", "score"])
 
-    return rows.mapInArrow(run, f"doc {rows.schema['doc'].dataType.simpleString()}, score double").withColumnRenamed("doc", id_col)
+    return map_arrow(rows, run, f"doc {rows.schema['doc'].dataType.simpleString()}, score double").withColumnRenamed("doc", id_col)
 
 
 def keep_good(docs: DataFrame, model: Model, text_col: str = "text", least: float = 0.5) -> DataFrame:
@@ -241,7 +241,7 @@ def keep_good(docs: DataFrame, model: Model, text_col: str = "text", least: floa
             keep = [model.score(statistics(*text_buffers(c.column("__text")))) >= least for c in chunks(iter([texts]))]
             yield batch.filter(pa.array(np.concatenate(keep) if keep else [], pa.bool_()))
 
-    return docs.mapInArrow(run, docs.schema)
+    return map_arrow(docs, run, docs.schema)
 
 
 def digests(docs: DataFrame, labels: DataFrame) -> DataFrame:

@@ -34,7 +34,7 @@ from pyspark.sql import functions as F
 
 from framewright.llm import blobs, spans
 from framewright.llm.blobs import Columns
-from framewright.llm.common import chunks, cut, ints, join_checked, row_key, text_buffers, total_bytes
+from framewright.llm.common import chunks, cut, ints, join_checked, map_arrow, row_key, text_buffers, total_bytes
 from framewright.llm.hashing import Prefixes, byte_values, mix, super_kmers
 
 WINDOW, GRAM = 200, 40
@@ -92,7 +92,7 @@ def runs(texts: DataFrame, buckets: int, window: int, gram: int) -> DataFrame:
         if size:
             yield combine(held, buckets)
 
-    return texts.mapInArrow(run, "bucket long, blob binary")
+    return map_arrow(texts, run, "bucket long, blob binary")
 
 
 def judge_runs(packed: DataFrame, buckets: int, window: int) -> DataFrame:
@@ -184,7 +184,7 @@ def part_windows(texts: DataFrame, parts: DataFrame, buckets: int, window: int)
         if bodies:
             yield flush(held, bodies)
 
-    return rows.mapInArrow(run, "bucket long, blob binary")
+    return map_arrow(rows, run, "bucket long, blob binary")
 
 
 class Suffixes:

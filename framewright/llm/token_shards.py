@@ -32,7 +32,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from framewright.llm import bpe
-from framewright.llm.common import checkpoint_dir, cut, join_checked, row_key
+from framewright.llm.common import checkpoint_dir, cut, join_checked, map_arrow, row_key
 from framewright.llm.hashing import mix
 
 #: Tokens of a sequence; sequences of a shard; key of the order; end mark.
@@ -72,7 +72,7 @@ def place(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "t
             n = [len(coder.encode(t)) // (4 * length) + 1 for t in batch.column("__text").to_pylist()]
             yield pa.RecordBatch.from_arrays([batch.column("__id"), batch.column("__tag"), pa.array(n, pa.int64())], names=["__id", "__tag", "n"])
 
-    counts = rows.mapInArrow(count, "__id long, __tag int, n long").groupBy("__id", "__tag").agg(F.max("n").alias("n"))
+    counts = map_arrow(rows, count, "__id long, __tag int, n long").groupBy("__id", "__tag").agg(F.max("n").alias("n"))
     ranges = cut(counts.repartitionByRange("__id", "__tag").sortWithinPartitions("__id", "__tag").withColumn("range", F.spark_partition_id()))
     sums = ranges.groupBy("range").agg(F.sum("n").alias("n")).orderBy("range").collect()  # a row for each partition
     before, total = [], 0
@@ -119,7 +119,7 @@ def sequences(docs: DataFrame, path: str, first: DataFrame, total: int, id_col:
         if size:
             yield flush(tokens, numbers)
 
-    return rows.mapInArrow(run, "shard long, blob binary")
+    return map_arrow(rows, run, "shard long, blob binary")
 
 
 def _pack(slots: np.ndarray, body: np.ndarray) -> bytes:
