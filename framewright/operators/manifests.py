@@ -78,3 +78,13 @@ def size_summary(rows: DataFrame, size: str, width: str = "width", height: str =
 
 def resolutions(rows: DataFrame, width: str = "width", height: str = "height") -> DataFrame:
     return rows.groupBy(F.concat(F.col(width).cast("string"), F.lit("x"), F.col(height).cast("string")).alias("resolution")).agg(F.count("*").alias("n"))
+
+
+def status_counts(rows: DataFrame, status: str = "status") -> DataFrame:
+    """How many samples passed, were rejected, failed or were skipped."""
+    return rows.groupBy(status).agg(F.count("*").alias("n"))
+
+
+def split_heavy(rows: DataFrame, key: str, heavy: list[str]) -> tuple[DataFrame, DataFrame]:
+    """The slim rows of a manifest, and the documents that hold its heavy columns, by key; both from one plan."""
+    return rows.drop(*heavy), rows.select(key, *heavy)

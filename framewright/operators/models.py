@@ -6,6 +6,8 @@ by giving a factory that can be pickled.
 
 from __future__ import annotations
 
+import io
+import os
 from collections.abc import Callable
 from typing import Any, Protocol
 
@@ -83,13 +85,9 @@ class RawCodec:
     """Frames as a numpy file in memory."""
 
     def decode(self, data: bytes) -> np.ndarray:
-        import io
-
         return np.load(io.BytesIO(data), allow_pickle=False)[..., :3]
 
     def encode(self, frames: np.ndarray) -> bytes:
-        import io
-
         out = io.BytesIO()
         np.save(out, frames)
         return out.getvalue()
@@ -104,3 +102,10 @@ def worker_instance(factory: Callable[[], Any]) -> Any:
     if key not in _instances:
         _instances[key] = factory()
     return _instances[key]
+
+
+def newest_snapshot(folder: str) -> str:
+    """The latest changed snapshot of a model's folder; the folder itself if it has none. For the driver, before a factory is made."""
+    snapshots = os.path.join(folder, "snapshots")
+    found = [os.path.join(snapshots, n) for n in os.listdir(snapshots)] if os.path.isdir(snapshots) else []
+    return max((p for p in found if os.path.isdir(p)), key=os.path.getmtime, default=folder)

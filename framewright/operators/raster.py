@@ -99,6 +99,15 @@ def cutout(frame: np.ndarray, mask: np.ndarray | None, box: list[int] | None = N
     return np.where(mask[y1:y2, x1:x2, None], frame[y1:y2, x1:x2], 255).astype(np.uint8)
 
 
+def cutout_alpha(frame: np.ndarray, mask: np.ndarray | None) -> np.ndarray | None:
+    """The mask's box with the mask as a fourth, alpha channel; None if the mask is empty."""
+    box = mask_box(mask) if mask is not None else None
+    if box is None:
+        return None
+    x1, y1, x2, y2 = box
+    return np.dstack((frame[y1:y2, x1:x2], np.where(mask[y1:y2, x1:x2], 255, 0))).astype(np.uint8)
+
+
 def clamp(box: list[float], width: int, height: int) -> list[int]:
     x1, y1 = max(0, min(round(box[0]), width - 1)), max(0, min(round(box[1]), height - 1))
     return [x1, y1, max(x1 + 1, min(round(box[2]), width)), max(y1 + 1, min(round(box[3]), height))]
@@ -141,6 +150,12 @@ def tighten(segmenter: Segmenter, frame: np.ndarray, box: list[float] | None, ro
     return out | {"stop": "limit"}
 
 
+def tighten_both(segmenter: Segmenter, reference: np.ndarray, ref_box: list[float] | None, frame: np.ndarray, seed_box: list[float] | None, rounds: int = 3) -> tuple[dict, dict, bool]:
+    """Both sides of a subject, and whether both have a box: one side alone trains nothing."""
+    sides = tighten(segmenter, reference, ref_box, rounds), tighten(segmenter, frame, seed_box, rounds)
+    return *sides, all(s["tight"] is not None for s in sides)
+
+
 def measured(masks: DataFrame) -> DataFrame:
     """key, box, components, largest_share, pixels after despeckling, packed bytes, of rows key, h, w, packed."""
 

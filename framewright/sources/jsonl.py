@@ -28,3 +28,9 @@ def write(rows: DataFrame, path: str, order: str | None = None, mode: str = "ove
     if order is not None:
         rows = rows.orderBy(order).drop(order)
     rows.select(F.to_json(F.struct(*rows.columns), {"ignoreNullFields": "false"}).alias("value")).write.mode(mode).text(path)
+
+
+def write_with_stats(rows: DataFrame, stats: DataFrame, path: str, order: str) -> None:
+    """A manifest in its order, and its counts beside it under `path`.stats."""
+    write(rows, path, order)
+    write(stats.coalesce(1), f"{path}.stats")

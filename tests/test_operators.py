@@ -231,6 +231,13 @@ def test_required_and_space(spark):
     assert spark.range(1).select(manifests.box_space(F.lit(None).cast("string")), manifests.box_space(F.lit(""))).first()[:] == ("annotation", "annotation")
 
 
+def test_counts_and_split(spark):
+    rows = spark.createDataFrame([("a", "passed", [1]), ("b", "failed", [2]), ("c", "passed", None)], "k string, status string, boxes array<int>")
+    assert {r.status: r.n for r in manifests.status_counts(rows).collect()} == {"passed": 2, "failed": 1}
+    slim, documents = manifests.split_heavy(rows, "k", ["boxes"])
+    assert slim.columns == ["k", "status"] and documents.columns == ["k", "boxes"]
+
+
 def test_size_summary_of_nothing(spark):
     rows = spark.createDataFrame([], "size long, flagged boolean, sample_id string")
     got = manifests.size_summary(rows, "size").first()
@@ -275,6 +282,33 @@ def test_speckle_and_packing():
     assert raster.component_stats(np.zeros((2, 2), bool)) == (0, 0.0)
 
 
+def test_cutouts():
+    frame, mask = np.full((6, 7, 3), 9, np.uint8), np.zeros((6, 7), bool)
+    assert raster.cutout_alpha(frame, mask) is None and raster.cutout_alpha(frame, None) is None
+    mask[2:4, 3:6] = True
+    mask[2, 3] = False
+    white, alpha = raster.cutout(frame, mask), raster.cutout_alpha(frame, mask)
+    assert white.shape == (2, 3, 3) and white[0, 0].tolist() == [255] * 3 and white[1, 1].tolist() == [9] * 3
+    assert alpha.shape == (2, 3, 4) and alpha[..., 3].tolist() == [[0, 255, 255], [255, 255, 255]]
+    assert raster.outline(mask).sum() == 5
+
+
+def test_both_sides():
+    frame, thing = np.zeros((40, 60, 3), np.uint8), models.RectangleSegmenter([10, 10, 30, 30])
+    assert raster.tighten_both(thing, frame, [5, 5, 35, 35], frame, [12, 5, 35, 35])[2]
+    assert not raster.tighten_both(thing, frame, [5, 5, 35, 35], frame, None)[2]
+
+
+def test_newest_snapshot(tmp_path):
+    import os
+
+    assert models.newest_snapshot(str(tmp_path)) == str(tmp_path)
+    for at, name in enumerate(("a", "b", "c")):
+        (tmp_path / "snapshots" / name).mkdir(parents=True)
+        os.utime(tmp_path / "snapshots" / name, (at % 2, at % 2))
+    assert models.newest_snapshot(str(tmp_path)).endswith("/b")
+
+
 def test_tighten_loop():
     frame = np.zeros((400, 600, 3), np.uint8)
     grown = raster.tighten(models.RectangleSegmenter([100, 100, 220, 220]), frame, [110, 110, 200, 200])
@@ -321,6 +355,13 @@ def test_jsonl(spark, tmp_path):
     assert [r.value for r in spark.read.text(str(tmp_path / "out")).collect()] == ['{"v":"a"}', '{"v":null}']
 
 
+def test_manifest_with_stats(spark, tmp_path):
+    rows = spark.createDataFrame([(1, "b"), (0, "a")], "o int, k string")
+    jsonl.write_with_stats(rows, rows.groupBy().count(), str(tmp_path / "specs"), "o")
+    assert [r.value for r in spark.read.text(str(tmp_path / "specs")).collect()] == ['{"k":"a"}', '{"k":"b"}']
+    assert spark.read.json(str(tmp_path / "specs.stats")).first()[0] == 2
+
+
 def test_audit_csv(spark, tmp_path):
     path = tmp_path / "audit.csv"
     path.write_text('video_id,ext,size,last_modified_utc,key\na,.mp4,1,x,y\nb,,1,x,y\nc,"",1,x,y\n')
