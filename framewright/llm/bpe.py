@@ -137,24 +137,29 @@ class WordBPE(dict):
             self[word] = ids
         return ids
 
-    def _plain(self, text: str) -> bytes:
+    @staticmethod
+    def words(text: str) -> list[str]:
+        """The normalised words of a text without special tokens."""
         if text.isascii():
-            words = _ASCII_WORDS.findall(text.lower())
-        else:
+            return _ASCII_WORDS.findall(text.lower())
+        text = unicodedata.normalize("NFC", text)
+        if _BEYOND_LATIN.search(text):
             # Letters are lowered one by one: a capital sigma becomes the plain small one wherever it stands.
-            text = unicodedata.normalize("NFC", text)
-            if _BEYOND_LATIN.search(text):
-                words = _WORDS.findall(text.translate(_LOWER).lower())
-            else:
-                words = (_LATIN_WORDS if "\u0130" not in text else _WORDS).findall(text.lower())
-        return b"".join(map(self.__getitem__, words))
+            return _WORDS.findall(text.translate(_LOWER).lower())
+        return (_LATIN_WORDS if "\u0130" not in text else _WORDS).findall(text.lower())
+
+    def pieces(self, text: str) -> list[str]:
+        """The words and special tokens of a text (no word can equal a special token, as words of signs hold no letters)."""
+        if "<|" not in text:
+            return self.words(text)
+        return [w for x in self.splits.split(text) if x for w in ([x] if x in self.special else self.words(x))]
 
     def encode(self, text: str) -> bytes:
         """The ids of a text, four little-endian bytes each."""
         if "<|" not in text:
-            return self._plain(text)
+            return b"".join(map(self.__getitem__, self.words(text)))
         special = self.special
-        return b"".join(special[x].to_bytes(4, "little") if x in special else self._plain(x) for x in self.splits.split(text) if x)
+        return b"".join(special[x].to_bytes(4, "little") if x in special else b"".join(map(self.__getitem__, self.words(x))) for x in self.splits.split(text) if x)
 
     def decode(self, ids: bytes) -> str:
         """The vocabulary's strings for the ids, special ones too; the file names no decoder, so a space joins them."""

@@ -31,7 +31,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from framewright.llm import bpe
+from framewright.llm import bulk_bpe
 from framewright.llm.common import checkpoint_dir, cut, join_checked, map_arrow, row_key
 from framewright.llm.hashing import mix
 
@@ -39,7 +39,7 @@ from framewright.llm.hashing import mix
 LENGTH, SHARD, KEY, END = 256, 16_384, 20_240_501, 49_407
 ROUNDS = 6
 #: Sequences packed together before the shuffle.
-PACK = 40_000
+PACK = 32_000
 
 
 def permute(index: np.ndarray, total: int, key: int = KEY) -> np.ndarray:
@@ -67,9 +67,9 @@ def place(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "t
     rows = docs.select(*row_key(docs, id_col, text_col))
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        coder = bpe.load(path)
+        coder = bulk_bpe.load(path)
         for batch in batches:
-            n = [len(coder.encode(t)) // (4 * length) + 1 for t in batch.column("__text").to_pylist()]
+            n = [len(ids) // (2 * length) + 1 for ids in coder.encode(batch.column("__text").to_pylist())]
             yield pa.RecordBatch.from_arrays([batch.column("__id"), batch.column("__tag"), pa.array(n, pa.int64())], names=["__id", "__tag", "n"])
 
     counts = map_arrow(rows, count, "__id long, __tag int, n long").groupBy("__id", "__tag").agg(F.max("n").alias("n"))
@@ -89,9 +89,9 @@ def sequences(docs: DataFrame, path: str, first: DataFrame, total: int, id_col:
     """shard, blob: slots within the shard and their tokens, packed."""
     rows = join_checked(docs.select(*row_key(docs, id_col, text_col)), first, ["__id", "__tag"], F.lit(40), "inner")
 
-    def flush(tokens: list[np.ndarray], numbers: list[np.ndarray]) -> pa.RecordBatch:
+    def flush(tokens: list[bytes], numbers: list[np.ndarray]) -> pa.RecordBatch:
         slot = permute(np.concatenate(numbers), total, key)
-        body = np.concatenate(tokens).reshape(-1, length)
+        body = np.frombuffer(b"".join(tokens), "<u2").reshape(-1, length)
         order = np.argsort(slot, kind="stable")
         slot, body = slot[order], body[order]
         own = slot // shard
@@ -100,17 +100,15 @@ def sequences(docs: DataFrame, path: str, first: DataFrame, total: int, id_col:
         return pa.RecordBatch.from_arrays([pa.array(own[cuts[:-1]]), pa.array(packed, pa.binary())], names=["shard", "blob"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        coder = bpe.load(path)
-        tokens: list[np.ndarray] = []
+        coder = bulk_bpe.load(path)
+        mark = end.to_bytes(2, "little")
+        tokens: list[bytes] = []
         numbers: list[np.ndarray] = []
         size = 0
         for batch in batches:
-            for text, start in zip(batch.column("__text"), batch.column("first").to_pylist()):
-                ids = np.frombuffer(coder.encode(text.as_py()), "<u4")
-                n = len(ids) // length + 1
-                own = np.full(n * length, end, "<u2")
-                own[: len(ids)] = ids
-                tokens.append(own)
+            for ids, start in zip(coder.encode(batch.column("__text").to_pylist()), batch.column("first").to_pylist()):
+                n = len(ids) // (2 * length) + 1
+                tokens += (ids, mark * (n * length - len(ids) // 2))
                 numbers.append(np.arange(start, start + n))
                 size += n
                 if size >= PACK:

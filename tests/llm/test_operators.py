@@ -15,7 +15,7 @@ from hypothesis import strategies as st
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from framewright.llm import bpe, components, decontam, jaccard_join, line_dedup, quality_classifier, quality_rules, substring_dedup, suffix_dedup, token_shards, url_filters
+from framewright.llm import bpe, bulk_bpe, components, decontam, jaccard_join, line_dedup, quality_classifier, quality_rules, substring_dedup, suffix_dedup, token_shards, url_filters
 from tests.llm import brute
 
 PATH = public_tokenizers.path("word_bpe_49k.json")
@@ -60,6 +60,22 @@ def test_bpe_cache_turns_over(library, monkeypatch):
     assert np.frombuffer(own.encode(text), "<u4").tolist() == library.encode(text, add_special_tokens=False).ids and len(own) <= 5
 
 
+@settings(max_examples=60, deadline=None)
+@given(st.lists(st.text(alphabet=st.characters(max_codepoint=0x2FFF, exclude_categories=["Cn", "Cs"]), max_size=70), max_size=8))
+def test_bulk_bpe_gives_the_same_ids(texts):
+    own, bulk = bpe.load(PATH), bulk_bpe.load(PATH)
+    texts = [*texts, "thistle <|endoftext|>don't", "ab" * 60]
+    assert [np.frombuffer(x, "<u2").tolist() for x in bulk.encode(texts)] == [np.frombuffer(own.encode(t), "<u4").tolist() for t in texts]
+
+
+def test_bulk_bpe_cache_turns_over():
+    own, bulk = bpe.load(PATH), bulk_bpe.BulkBPE(bpe.load(PATH), cache_words=7)
+    for k in range(30):
+        text = " ".join(f"w{chr(97 + (k * j) % 26)}x{chr(97 + j)}" for j in range(9))
+        assert np.frombuffer(bulk.encode([text])[0], "<u2").tolist() == np.frombuffer(own.encode(text), "<u4").tolist()
+    assert len(bulk.young) + len(bulk.old) < 60
+
+
 def test_bpe_digests(spark, odd_docs, odd_rows, no_docs, library):
     want = []
     for i, t in odd_rows:
