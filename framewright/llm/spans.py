@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from framewright.llm import blobs
 from framewright.llm.blobs import Columns
-from framewright.llm.common import join_checked, row_key
+from framewright.llm.common import join_checked, map_arrow, row_key
 
 #: A span of a document: its id, its text's tag, first place and length.
 SPAN = {"id": "<i8", "tag": "<i4", "lo": "<i4", "n": "<i4"}
@@ -39,6 +39,21 @@ def by_document(packed: DataFrame) -> DataFrame:
     return packed.groupBy("bucket").applyInPandas(run, "__id long, __tag int, __spans binary")
 
 
+def from_rows(rows: DataFrame) -> DataFrame:
+    """Like by_document, of rows __id, __tag, lo, n."""
+    lists = rows.groupBy("__id", "__tag").agg(F.collect_list("lo").alias("lo"), F.collect_list("n").alias("n"))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            packed = []
+            for lo, n in zip(batch.column("lo"), batch.column("n")):
+                lo, n = (x.values.to_numpy(zero_copy_only=False).astype(np.int64) for x in (lo, n))
+                packed.append(blobs.merged(lo, lo + n).astype("<i4").tobytes())
+            yield pa.RecordBatch.from_arrays([batch.column("__id"), batch.column("__tag"), pa.array(packed, pa.binary())], names=["__id", "__tag", "__spans"])
+
+    return map_arrow(lists, run, "__id long, __tag int, __spans binary")
+
+
 def with_spans(docs: DataFrame, spans: DataFrame, id_col: str, text_col: str) -> DataFrame:
     """doc, __text and __spans of every row; spans must be cut. They are broadcast only under the size limit, else both sides shuffle by document."""
     texts = docs.select(F.col(f"`{id_col}`").alias("doc"), *row_key(docs, id_col, text_col))
@@ -57,4 +72,4 @@ def apply_spans(rows: DataFrame, each: Callable[[bytes, np.ndarray], tuple], fie
             columns = zip(*out) if out else [()] * len(fields)
             yield pa.RecordBatch.from_arrays([batch.column("doc"), *(pa.array(list(c), kind) for c, (_, kind) in zip(columns, fields))], names=["doc", *(k for k, _ in fields)])
 
-    return rows.mapInArrow(run, f"doc {rows.schema['doc'].dataType.simpleString()}, {schema}")
+    return map_arrow(rows, run, f"doc {rows.schema['doc'].dataType.simpleString()}, {schema}")

@@ -4,10 +4,13 @@ A window of 20 words is an edge of the de Bruijn graph of 19-word nodes. Edges a
 compacted first: within a text, consecutive edges with the same minimiser form one
 path piece (super-k-mer); equal pieces of all texts meet by their hash in one grouped
 shuffle. Each piece carries its source coordinates (document, first window); the
-earliest stays and every later occurrence is removed, and a document's removed pieces
-are joined into maximal spans. Pieces that are the first of their content, but share
-the minimiser with other contents (the graph branches inside them), are taken apart
-into single edges, which are compared by hash; so partial overlaps count to the word.
+earliest stays and every later occurrence points to an earlier one. Pieces that are the
+first of their content, but share the minimiser with other contents (the graph branches
+inside them), are taken apart into single edges, which are compared by hash; so partial
+overlaps count to the word. Then pieces and edges of one document that repeat the same
+source at the same distance are compacted into maximal paths, and each path is verified:
+both sides' words are read by their coordinates, through a join with the texts, and
+their digests must be equal.
 
 Order: a window starts earlier if its doc_id is smaller (null before all) or, in the
 same document, if its place is smaller. Windows are judged on the input.
@@ -31,25 +34,32 @@ from pyspark.sql import functions as F
 
 from framewright.llm import blobs, spans
 from framewright.llm.blobs import Columns
-from framewright.llm.common import chunks, cut, ints, join_checked, row_key, text_buffers, total_bytes
+from framewright.llm.common import chunks, cut, ints, join_checked, map_arrow, row_key, text_buffers, total_bytes
 from framewright.llm.hashing import Prefixes, Words, super_kmers
 
 WINDOW, MINIMISER = 20, 7
 
-#: A path piece: minimiser, content hash, document, first window, number of windows; kind 1: removed already.
-PIECE = {"=a": "<u8", "=v": "<u8", "id": "<i8", "tag": "<i4", "lo": "<i4", "n": "<i4", "kind": "u1"}
-#: An edge: its hash, document and place.
-EDGE = {"=a": "<u8", "id": "<i8", "tag": "<i4", "lo": "<i4", "kind": "u1"}
-
-
-def later(c: Columns, *keys: str) -> np.ndarray:
-    """True where another record of the same keys has a smaller (id, lo); records of the least (id, lo) tie and are not later."""
-    order, group = blobs.groups(*(c[k] for k in keys), c["id"], c["lo"])
+#: A path piece: minimiser, content hash, document, first window, number of windows, and (kind 1: removed already) the earlier occurrence.
+PIECE = {"=a": "<u8", "=v": "<u8", "id": "<i8", "tag": "<i4", "lo": "<i4", "n": "<i4", "sid": "<i8", "stag": "<i4", "slo": "<i4", "kind": "u1"}
+#: An edge: its hash, document and place, and its earlier occurrence.
+EDGE = {"=a": "<u8", "id": "<i8", "tag": "<i4", "lo": "<i4", "n": "<i4", "sid": "<i8", "stag": "<i4", "slo": "<i4", "kind": "u1"}
+#: A repeated span of words and its earlier occurrence.
+COPY = {"id": "<i8", "tag": "<i4", "lo": "<i4", "n": "<i4", "sid": "<i8", "stag": "<i4", "slo": "<i4"}
+
+def previous(c: Columns, *keys: str) -> tuple[np.ndarray, Columns]:
+    """Whether a record of the same keys has a smaller (id, lo), and the coordinates of the last such record. Records of one (id, lo) tie: neither is later.
+
+    The last one, not the first: a text that repeats a phrase then copies itself at one
+    distance, and a copy of a copy points to its neighbour, so paths are long and no
+    single source serves a whole group.
+    """
+    order, place = blobs.groups(*(c[k] for k in keys), c["id"], c["lo"])
     _, own = blobs.groups(*(c[k] for k in keys))  # group numbers by keys only, in the same order of keys
-    first = np.flatnonzero(np.diff(own, prepend=-1))
-    out = np.zeros(len(order), bool)
-    out[order] = group != group[first][own]
-    return out
+    before = np.flatnonzero(np.diff(place, prepend=-1))[place] - 1 if len(order) else order
+    has = (before >= 0) & (own[before] == own)
+    late, source = np.empty(len(order), bool), np.empty(len(order), np.int64)
+    late[order], source[order] = has, order[np.maximum(before, 0)]
+    return late, {"sid": c["id"][source], "stag": c["tag"][source], "slo": c["lo"][source]}
 
 
 def bucket_of(a: np.ndarray, buckets: int) -> np.ndarray:
@@ -59,14 +69,15 @@ def bucket_of(a: np.ndarray, buckets: int) -> np.ndarray:
 def combine(parts: list[Columns], keys: tuple[str, ...], fields: dict[str, str], buckets: int) -> pa.RecordBatch:
     """One batch's records: those that are later than another of the batch are marked as removed, so one per key goes on as a candidate."""
     c = blobs.concat(parts)
-    c["kind"] = later(c, *keys).astype(np.uint8)
-    removed = c["kind"] > 0
+    late, source = previous(c, *keys)
+    c |= {k: np.where(late, x, 0) for k, x in source.items()} | {"kind": late.astype(np.uint8)}
     # removed records need no key any more; they travel with their document
-    bucket = np.where(removed, bucket_of(c["id"].view(np.uint64) * np.uint64(0x9E3779B97F4A7C15), buckets), bucket_of(c["a"], buckets))
+    bucket = np.where(late, bucket_of(c["id"].view(np.uint64) * np.uint64(0x9E3779B97F4A7C15), buckets), bucket_of(c["a"], buckets))
     for name in ("a", "v"):
         if name in c:
-            c[name] = np.where(removed, np.uint64(0), c[name])
-    return blobs.batch_of(*blobs.scatter(c, bucket, fields))
+            c[name] = np.where(late, np.uint64(0), c[name])
+    order = np.argsort(late, kind="stable")
+    return blobs.batch_of(*blobs.scatter(blobs.take(c, order), bucket[order], fields))
 
 
 def pieces(texts: DataFrame, buckets: int, window: int, k: int) -> DataFrame:
@@ -89,17 +100,18 @@ def pieces(texts: DataFrame, buckets: int, window: int, k: int) -> DataFrame:
         if size:
             yield combine(held, ("a", "v"), PIECE, buckets)
 
-    return texts.mapInArrow(run, "bucket long, blob binary")
+    return map_arrow(texts, run, "bucket long, blob binary")
 
 
 def judge_pieces(packed: DataFrame, buckets: int, window: int) -> DataFrame:
-    """kind 0: spans of words to remove, packed by document; kind 1: pieces whose edges must be compared one by one."""
+    """kind 0: COPY records by document; kind 1: pieces whose edges must be compared one by one."""
 
     def run(pdf: pd.DataFrame) -> pd.DataFrame:
         c = blobs.unpack(pdf["blob"], PIECE)
         gone = c["kind"] > 0
         live = blobs.take(c, ~gone)
-        late = later(live, "a", "v")
+        late, source = previous(live, "a", "v")
+        live |= source
         first = blobs.take(live, ~late)
         # contents of a minimiser: a group with several has a branch inside
         order, group = blobs.groups(first["a"], first["v"])
@@ -107,9 +119,9 @@ def judge_pieces(packed: DataFrame, buckets: int, window: int) -> DataFrame:
         cuts = np.flatnonzero(np.diff(own, prepend=-1))
         contents = np.diff(np.append(group[cuts], group[-1] + 1 if len(group) else 0))
         branch = blobs.take(first, order[contents[own] > 1]) if len(order) else first
-        removed = blobs.concat([blobs.take(x, m) | {} for x, m in ((c, gone), (live, late))])
-        removed["n"] = removed["n"] + np.int32(window - 1)
-        numbers, packed_rows = spans.spread(removed, buckets)
+        copies = blobs.concat([blobs.take(c, gone), blobs.take(live, late)])
+        copies["n"] = copies["n"] + np.int32(window - 1)
+        numbers, packed_rows = spans.spread(copies, buckets, COPY)
         more, more_rows = spans.spread(branch, buckets)
         return pd.DataFrame({"bucket": numbers + more, "kind": [0] * len(numbers) + [1] * len(more), "blob": packed_rows + more_rows})
 
@@ -133,7 +145,7 @@ def edges(texts: DataFrame, branches: DataFrame, buckets: int, window: int) -> D
                 lo += [np.arange(a, b) for a, b in pairs]
                 doc.append(np.full(int((pairs[:, 1] - pairs[:, 0]).sum()), number))
             doc, lo = np.concatenate(doc), np.concatenate(lo).astype(np.int32)
-            held.append({"a": grams[words.first[doc] + lo], "id": ints(batch.column("__id"))[doc], "tag": ints(batch.column("__tag"), np.int32)[doc], "lo": lo})
+            held.append({"a": grams[words.first[doc] + lo], "id": ints(batch.column("__id"))[doc], "tag": ints(batch.column("__tag"), np.int32)[doc], "lo": lo, "n": np.full(len(lo), window, np.int32)})
             size += len(doc)
             if size >= blobs.GATHER:
                 yield combine(held, ("a",), EDGE, buckets)
@@ -141,30 +153,81 @@ def edges(texts: DataFrame, branches: DataFrame, buckets: int, window: int) -> D
         if size:
             yield combine(held, ("a",), EDGE, buckets)
 
-    return rows.mapInArrow(run, "bucket long, blob binary")
+    return map_arrow(rows, run, "bucket long, blob binary")
 
 
-def judge_edges(packed: DataFrame, buckets: int, window: int) -> DataFrame:
+def judge_edges(packed: DataFrame, buckets: int) -> DataFrame:
     def run(pdf: pd.DataFrame) -> pd.DataFrame:
         c = blobs.unpack(pdf["blob"], EDGE)
         gone = c["kind"] > 0
         live = blobs.take(c, ~gone)
-        removed = blobs.concat([blobs.take(c, gone), blobs.take(live, later(live, "a"))])
-        removed["n"] = np.full(len(removed["lo"]), window, np.int32)
-        numbers, packed_rows = spans.spread(removed, buckets)
-        return pd.DataFrame({"bucket": numbers, "blob": packed_rows})
+        late, source = previous(live, "a")
+        numbers, rows = spans.spread(blobs.concat([blobs.take(c, gone), blobs.take(live | source, late)]), buckets, COPY)
+        return pd.DataFrame({"bucket": numbers, "blob": rows})
 
     return packed.groupBy("bucket").applyInPandas(run, "bucket long, blob binary")
 
 
+def paths(copies: DataFrame) -> DataFrame:
+    """Copies of one source document at one distance, compacted into maximal paths: id, tag, lo, n (words) and sid, stag, slo."""
+
+    def run(pdf: pd.DataFrame) -> pd.DataFrame:
+        c = blobs.unpack(pdf["blob"], COPY)
+        shift = c["lo"].astype(np.int64) - c["slo"]
+        order, _ = blobs.groups(c["id"], c["tag"], c["sid"], c["stag"], shift, c["lo"])
+        c = blobs.take(c, order)
+        _, own = blobs.groups(*(c[k] for k in ("id", "tag", "sid", "stag")), shift[order])
+        base = own.astype(np.int64) << 33  # keeps the groups apart while ends are accumulated
+        lo, hi = base + c["lo"], np.maximum.accumulate(base + c["lo"] + c["n"])
+        new = np.ones(len(lo), bool)
+        new[1:] = lo[1:] > hi[:-1]
+        cuts = np.flatnonzero(new)
+        ends = hi[np.append(cuts[1:], len(lo)) - 1] if len(cuts) else hi
+        return pd.DataFrame(blobs.take(c, cuts) | {"n": (ends - lo[cuts]).astype(np.int32)})
+
+    return copies.groupBy("bucket").applyInPandas(run, "id long, tag int, lo int, n int, sid long, stag int, slo int")
+
+
+def digests_of_spans(texts: DataFrame, wanted: DataFrame) -> DataFrame:
+    """id, tag, lo, n, digest of the words of every wanted span (id, tag, lo, n; distinct), by a join with the texts."""
+    lists = cut(wanted.groupBy(F.col("id").alias("__id"), F.col("tag").alias("__tag")).agg(F.collect_list("lo").alias("__lo"), F.collect_list("n").alias("__n")))
+    rows = join_checked(texts, lists, ["__id", "__tag"], F.size("__lo") * 8 + 48, "inner")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in chunks(batches):
+            raw, offsets = text_buffers(batch.column("__text"))
+            words = Words(raw, offsets)
+            counts = np.diff(batch.column("__lo").offsets.to_numpy())
+            lo, n = (ints(batch.column(k).flatten()) for k in ("__lo", "__n"))
+            doc = np.repeat(np.arange(batch.num_rows), counts)
+            at = words.first[doc] + lo
+            start, end = words.starts[at], words.ends[at + n - 1]
+            # bytes.split() cuts at exactly the characters between words
+            marks = [hashlib.blake2b(b" ".join(raw[a:b].tobytes().split()), digest_size=16).digest() for a, b in zip(start.tolist(), end.tolist())]
+            columns = (ints(batch.column("__id"))[doc], ints(batch.column("__tag"), np.int32)[doc], lo.astype(np.int32), n.astype(np.int32))
+            yield pa.RecordBatch.from_arrays([*map(pa.array, columns), pa.array(marks, pa.binary())], names=["id", "tag", "lo", "n", "digest"])
+
+    return map_arrow(rows, run, "id long, tag int, lo int, n int, digest binary")
+
+
+def verified(texts: DataFrame, found: DataFrame) -> DataFrame:
+    """__id, __tag, lo, n of the paths (cut) whose words equal those at their source coordinates; others (hash collisions) stay in their texts. A source that many share is read once."""
+    own, source = found.select("id", "tag", "lo", "n"), found.select(F.col("sid").alias("id"), F.col("stag").alias("tag"), F.col("slo").alias("lo"), "n")
+    read = cut(digests_of_spans(texts, own.union(source).distinct()).distinct())
+    there = read.select(F.col("id").alias("sid"), F.col("tag").alias("stag"), F.col("lo").alias("slo"), "n", F.col("digest").alias("expected"))
+    both = found.join(read, ["id", "tag", "lo", "n"]).join(there, ["sid", "stag", "slo", "n"])
+    return both.where("digest = expected").select(F.col("id").alias("__id"), F.col("tag").alias("__tag"), "lo", "n")
+
+
 def repeated(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", window: int = WINDOW, k: int = MINIMISER) -> DataFrame:
     """__id, __tag, __spans: word spans of every document that are later occurrences; cut."""
     texts = docs.select(*row_key(docs, id_col, text_col))
     buckets = blobs.buckets_for(total_bytes(docs, text_col))
     judged = cut(judge_pieces(pieces(texts, buckets, window, k), buckets, window))
     branches = cut(spans.by_document(judged.where("kind = 1").drop("kind")))
-    single = judge_edges(edges(texts, branches, buckets, window), buckets, window)
-    return cut(spans.by_document(judged.where("kind = 0").drop("kind").unionByName(single)))
+    single = judge_edges(edges(texts, branches, buckets, window), buckets)
+    found = cut(paths(judged.where("kind = 0").drop("kind").unionByName(single)))
+    return cut(spans.from_rows(verified(texts, found)))
 
 
 def keep(text: bytes, flat: np.ndarray) -> tuple[int, int, str, str]:
