@@ -73,7 +73,7 @@ def size_summary(rows: DataFrame, size: str, width: str = "width", height: str =
     k = base.first()["__k"]
     middle = running.where(F.col("end") > k // 2).agg(F.coalesce(F.min("v"), F.lit(0))).first()[0]
     names = [r[0] for r in rows.where(F.col(flag)).select(sample).orderBy(sample).limit(named).collect()]
-    return base.drop("__k").withColumns({"bytes_median": F.lit(middle), "flagged_samples": F.lit(names).cast("array<string>")})
+    return base.drop("__k").withColumns({"bytes_median": F.lit(middle).cast("long"), "flagged_samples": F.lit(names).cast("array<string>")})
 
 
 def resolutions(rows: DataFrame, width: str = "width", height: str = "height") -> DataFrame:

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from framewright.functions import canvas as cv
 from framewright.functions import geometry as g
 from framewright.plans import derived as d
-from framewright.plans.registry import query
+from framewright.plans.registry import joined, query
 
 _K = "l_orderkey, l_linenumber, l_partkey, l_suppkey"
 
@@ -88,15 +88,15 @@ def dilate_box(spark, sf_dir):
 
 
 @query(
-    f"SELECT {_K}, list_filter([CASE WHEN l_linenumber % 4 <= 2 AND p.x1 > 0 THEN 'left' END, CASE WHEN l_partkey % 4 <= 2 AND p.y1 > 0 THEN 'top' END, CASE WHEN l_suppkey % 4 <= 2 AND p.x2 < 854 THEN 'right' END,"
-    f" CASE WHEN l_orderkey % 4 <= 2 AND p.y2 < 480 THEN 'bottom' END], lambda x: x IS NOT NULL) AS edges FROM (SELECT {_K}, {_clamp()} FROM boxes) p",
+    f"SELECT {_K}, array_to_string(list_filter([CASE WHEN l_linenumber % 4 <= 2 AND p.x1 > 0 THEN 'left' END, CASE WHEN l_partkey % 4 <= 2 AND p.y1 > 0 THEN 'top' END, CASE WHEN l_suppkey % 4 <= 2 AND p.x2 < 854 THEN 'right' END,"
+    f" CASE WHEN l_orderkey % 4 <= 2 AND p.y2 < 480 THEN 'bottom' END], lambda x: x IS NOT NULL), ',') AS edges FROM (SELECT {_K}, {_clamp()} FROM boxes) p",
     d.BOXES,
 )
 def pinned_edges(spark, sf_dir):
     rows = d.boxes(spark, sf_dir).select(*d.KEYS, *g.clamp_box(g.Box.of(), *_w()).columns())
     p = g.Box.of()
     tight = g.Box(p.x1 + F.col("l_linenumber") % 4, p.y1 + F.col("l_partkey") % 4, p.x2 - F.col("l_suppkey") % 4, p.y2 - F.col("l_orderkey") % 4)
-    return rows.select(*d.KEYS, g.pinned_edges(tight, p, *_w()).alias("edges"))
+    return rows.select(*d.KEYS, joined(g.pinned_edges(tight, p, *_w())).alias("edges"))
 
 
 @query("SELECT l_orderkey, l_partkey, x1, y1, x2, y2 FROM boxes WHERE greatest(0.0, x2 - x1) * greatest(0.0, y2 - y1) >= greatest(1.0, 200.0 * (l_suppkey * 3)) * 0.3", d.BOXES)
@@ -155,7 +155,7 @@ def canvas_roundtrip(spark, sf_dir):
 
 
 @query(
-    "SELECT canvas, count(*) AS n, sum(CAST(x_out AS INTEGER)) AS over_right, sum(CAST(y_out AS INTEGER)) AS over_bottom FROM (SELECT s.canvas, b.x2 * s.sx > s.w + 1e-6 AS x_out, b.y2 * s.sy > s.h + 1e-6 AS y_out FROM boxes b JOIN scales s ON s.p_partkey = b.l_partkey) GROUP BY canvas",
+    "SELECT canvas, count(*) AS n, count(*) FILTER (x_out) AS over_right, count(*) FILTER (y_out) AS over_bottom FROM (SELECT s.canvas, b.x2 * s.sx > s.w + 1e-6 AS x_out, b.y2 * s.sy > s.h + 1e-6 AS y_out FROM boxes b JOIN scales s ON s.p_partkey = b.l_partkey) GROUP BY canvas",
     d.SIZES, _RESIZED, _SCALES, d.BOXES,
 )
 def canvas_compare(spark, sf_dir):
@@ -189,7 +189,7 @@ def storage_plan(spark, sf_dir):
     return d.sizes(spark, sf_dir).select("p_partkey", *(c.alias(n) for n, c in g.storage_plan(F.col("w"), F.col("h")).items()))
 
 
-@query("SELECT CASE WHEN h > w THEN 'portrait' ELSE 'landscape' END AS shape, count(*) AS n, sum(CAST(dw > 0.2 OR dh > 0.2 AS INTEGER)) AS flagged FROM lost GROUP BY 1", d.SIZES, _STORED)
+@query("SELECT CASE WHEN h > w THEN 'portrait' ELSE 'landscape' END AS shape, count(*) AS n, count(*) FILTER (dw > 0.2 OR dh > 0.2) AS flagged FROM lost GROUP BY 1", d.SIZES, _STORED)
 def discard_funnel(spark, sf_dir):
     plan = g.storage_plan(F.col("w"), F.col("h"))
     rows = d.sizes(spark, sf_dir).select(F.when(F.col("h") > F.col("w"), "portrait").otherwise("landscape").alias("shape"), plan["crop_discard_excessive"].alias("f"))

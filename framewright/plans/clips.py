@@ -8,7 +8,7 @@ from framewright.functions import ids
 from framewright.functions.text import strip_indices, subject_noun
 from framewright.operators import coverage, lookup, planner, select, unnest
 from framewright.plans import derived as d
-from framewright.plans.registry import query
+from framewright.plans.registry import joined, query
 
 
 @query("SELECT l_orderkey, l_quantity FROM lineitem WHERE l_quantity > 45")
@@ -55,10 +55,10 @@ def seed_index(spark, sf_dir):
     return d.table(spark, sf_dir, "orders").select("o_orderkey", ids.seed_index(F.expr(_T), F.lit(0.15625)).alias("i"))
 
 
-@query(f"SELECT o_orderkey, list_transform(range(0, 81), lambda k: least(CAST(round_even(({_T} + k / 16.0) * 29.97, 0) AS INTEGER), 200)) AS frames FROM orders WHERE o_orderkey % 40 = 1")
+@query(f"SELECT o_orderkey, array_to_string(list_transform(range(0, 81), lambda k: least(CAST(round_even(({_T} + k / 16.0) * 29.97, 0) AS INTEGER), 200)), ',') AS frames FROM orders WHERE o_orderkey % 40 = 1")
 def frame_indices(spark, sf_dir):
     rows = d.table(spark, sf_dir, "orders").where("o_orderkey % 40 = 1")
-    return rows.select("o_orderkey", ids.frame_indices(F.expr(_T), F.lit(29.97), F.lit(201)).alias("frames"))
+    return rows.select("o_orderkey", joined(ids.frame_indices(F.expr(_T), F.lit(29.97), F.lit(201))).alias("frames"))
 
 
 @query(f"SELECT o_orderkey, least(CAST(round_even({_T} * 25.0, 0) AS INTEGER), 99) AS frame FROM orders")
@@ -190,10 +190,10 @@ def _window_sql(source: str, length: float, keys: str) -> str:
 _DAY = "spans AS (SELECT user_id, day, CAST(0 AS DOUBLE) AS s0, CAST(86400 AS DOUBLE) AS e0, seeds FROM seeds)"
 
 
-@query("SELECT user_id, day, window_start, covered, dropped FROM placed", d.SEEDS, _DAY, _window_sql("spans", 21600.0, "user_id, day"))
+@query("SELECT user_id, CAST(day AS VARCHAR) AS day, window_start, array_to_string(covered, ',') AS covered, array_to_string(dropped, ',') AS dropped FROM placed", d.SEEDS, _DAY, _window_sql("spans", 21600.0, "user_id, day"))
 def max_coverage_window(spark, sf_dir):
     rows = d.seeds(spark, sf_dir).withColumns({"start": F.lit(0.0), "end": F.lit(86400.0)})
-    return coverage.with_window(rows, length=21600.0).select("user_id", "day", "window_start", "covered", "dropped")
+    return coverage.with_window(rows, length=21600.0).select("user_id", F.col("day").cast("string").alias("day"), "window_start", joined(F.col("covered")).alias("covered"), joined(F.col("dropped")).alias("dropped"))
 
 
 _PLAN = (
@@ -272,9 +272,9 @@ def subject_noun_query(spark, sf_dir):
 
 
 @query(
-    "SELECT o_orderkey, CASE WHEN total <= 8 THEN range(0, total) ELSE list_sort(list_distinct(list_concat(list_transform(range(0, 8), lambda i: CAST(round_even(CAST(i * (total - 1) AS DOUBLE) / 7, 0) AS BIGINT)),"
-    " CASE WHEN seed >= 0 AND seed < total THEN [seed] ELSE [] END))) END AS frames FROM (SELECT o_orderkey, o_orderkey % 97 AS total, CAST(o_custkey % 110 AS BIGINT) - 5 AS seed FROM orders)"
+    "SELECT o_orderkey, array_to_string(CASE WHEN total <= 8 THEN range(0, total) ELSE list_sort(list_distinct(list_concat(list_transform(range(0, 8), lambda i: CAST(round_even(CAST(i * (total - 1) AS DOUBLE) / 7, 0) AS BIGINT)),"
+    " CASE WHEN seed >= 0 AND seed < total THEN [seed] ELSE [] END))) END, ',') AS frames FROM (SELECT o_orderkey, o_orderkey % 97 AS total, CAST(o_custkey % 110 AS BIGINT) - 5 AS seed FROM orders)"
 )
 def strip_indices_query(spark, sf_dir):
     total, seed = (F.col("o_orderkey") % 97).cast("int"), (F.col("o_custkey") % 110 - 5).cast("int")
-    return d.table(spark, sf_dir, "orders").select("o_orderkey", strip_indices(total, seed).alias("frames"))
+    return d.table(spark, sf_dir, "orders").select("o_orderkey", joined(strip_indices(total, seed)).alias("frames"))

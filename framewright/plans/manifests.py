@@ -11,7 +11,7 @@ from framewright.operators import manifests, raster, select
 from framewright.operators.models import RectangleSegmenter
 from framewright.plans import derived as d
 from framewright.plans.boxes import _clamp
-from framewright.plans.registry import query
+from framewright.plans.registry import joined, query
 from framewright.sources import jsonl
 
 _OLD = "SELECT o_orderkey AS sample_id, o_totalprice AS size, 'old' AS made, o_orderkey AS pos FROM orders WHERE o_orderkey % 2 = 0"
@@ -45,12 +45,12 @@ def resume_pending(spark, sf_dir):
 
 
 @query(
-    "SELECT count(*) AS rows, sum(size) AS bytes_total, CAST(floor(sum(size) / count(size)) AS BIGINT) AS bytes_mean, count(*) FILTER (flagged) AS flagged, list_sort(list(size))[CAST(floor(count(size) / 2) AS BIGINT) + 1] AS bytes_median,"
-    " (SELECT list(sample_id ORDER BY sample_id) FROM (SELECT 'k' || o_orderkey AS sample_id FROM orders WHERE o_orderkey % 37 = 0 ORDER BY 1 LIMIT 50)) AS flagged_samples FROM (SELECT CAST(o_totalprice AS BIGINT) AS size, o_orderkey % 37 = 0 AS flagged FROM (SELECT floor(o_totalprice) AS o_totalprice, o_orderkey FROM orders))"
+    "SELECT count(*) AS rows, CAST(sum(size) AS BIGINT) AS bytes_total, CAST(floor(sum(size) / count(size)) AS BIGINT) AS bytes_mean, count(*) FILTER (flagged) AS flagged, list_sort(list(size))[CAST(floor(count(size) / 2) AS BIGINT) + 1] AS bytes_median,"
+    " (SELECT string_agg(sample_id, ',' ORDER BY sample_id) FROM (SELECT 'k' || o_orderkey AS sample_id FROM orders WHERE o_orderkey % 37 = 0 ORDER BY 1 LIMIT 50)) AS flagged_samples FROM (SELECT CAST(o_totalprice AS BIGINT) AS size, o_orderkey % 37 = 0 AS flagged FROM (SELECT floor(o_totalprice) AS o_totalprice, o_orderkey FROM orders))"
 )
 def extract_summary(spark, sf_dir):
     rows = d.table(spark, sf_dir, "orders").select(F.floor("o_totalprice").alias("size"), (F.col("o_orderkey") % 37 == 0).alias("flagged"), F.expr("'k' || o_orderkey").alias("sample_id"))
-    return manifests.size_summary(rows, "size")
+    return manifests.size_summary(rows, "size").withColumn("flagged_samples", joined(F.col("flagged_samples")))
 
 
 @query("SELECT w || 'x' || h AS resolution, count(*) AS n FROM sizes GROUP BY 1", d.SIZES)
@@ -139,9 +139,9 @@ def _masks(spark, sf_dir):
     return rows.select(F.col("l_orderkey").alias("key"), F.lit(30).alias("h"), F.lit(54).alias("w"), F.unhex(F.array_join(F.transform(F.sequence(F.lit(0), F.lit(29)), line), "")).alias("packed"))
 
 
-@query("SELECT l_orderkey, [min(x1), min(y1), max(x2), max(y2)] AS box FROM drawn GROUP BY l_orderkey", d.BOXES, _DRAWN)
+@query("SELECT l_orderkey, array_to_string([min(x1), min(y1), max(x2), max(y2)], ',') AS box FROM drawn GROUP BY l_orderkey", d.BOXES, _DRAWN)
 def mask_bbox(spark, sf_dir):
-    return raster.measured(_masks(spark, sf_dir)).select(F.col("key").alias("l_orderkey"), "box")
+    return raster.measured(_masks(spark, sf_dir)).select(F.col("key").alias("l_orderkey"), joined(F.col("box")).alias("box"))
 
 
 @query()

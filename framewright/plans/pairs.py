@@ -55,7 +55,7 @@ def pair_margin(spark, sf_dir):
     return pool.best_pair(pool.scored_pairs(left, right, ["label"]), left, right, ["label"]).where("margin < 0.02").select("label", "margin")
 
 
-@query("SELECT event_id, user_id, rank FROM (SELECT event_id, user_id, row_number() OVER (PARTITION BY user_id ORDER BY value DESC, event_id) - 1 AS rank FROM events WHERE value >= 0.25) WHERE rank < 6")
+@query("SELECT event_id, user_id, CAST(rank AS INTEGER) AS rank FROM (SELECT event_id, user_id, row_number() OVER (PARTITION BY user_id ORDER BY value DESC, event_id) - 1 AS rank FROM events WHERE value >= 0.25) WHERE rank < 6")
 def topk_scores(spark, sf_dir):
     rows = d.table(spark, sf_dir, "events").select("event_id", "user_id", "value")
     return pool.top_scores(rows, ["user_id"], "event_id", "value").select("event_id", "user_id", "rank")
@@ -157,7 +157,7 @@ def gate_keep_all(spark, sf_dir):
 
 
 @query(
-    "SELECT count(*) AS samples_in, sum(CAST(k > 0 AS INTEGER)) AS samples_out, sum(CAST(k = 0 AS INTEGER)) AS samples_emptied, sum(n) AS subjects_in, sum(k) AS subjects_out, sum(a) AS subjects_dropped, sum(w) AS subjects_kept_anyway, sum(g1) AS no_record, sum(g2) AS no_box, sum(g3) AS identity"
+    "SELECT count(*) AS samples_in, CAST(sum(CAST(k > 0 AS INTEGER)) AS BIGINT) AS samples_out, CAST(sum(CAST(k = 0 AS INTEGER)) AS BIGINT) AS samples_emptied, CAST(sum(n) AS BIGINT) AS subjects_in, CAST(sum(k) AS BIGINT) AS subjects_out, CAST(sum(a) AS BIGINT) AS subjects_dropped, CAST(sum(w) AS BIGINT) AS subjects_kept_anyway, CAST(sum(g1) AS BIGINT) AS no_record, CAST(sum(g2) AS BIGINT) AS no_box, CAST(sum(g3) AS BIGINT) AS identity"
     " FROM (SELECT sample_id, count(*) AS n, sum(CAST(out AS INTEGER)) AS k, count(gate) AS a, sum(CAST(kept_anyway AS INTEGER)) AS w, count(*) FILTER (gate = 'no_record') AS g1, count(*) FILTER (gate = 'no_box') AS g2, count(*) FILTER (gate = 'identity') AS g3 FROM gated GROUP BY sample_id)",
     d.SUBJECTS, d.RECORDS, _D, _gated_sql("true"),
 )

@@ -4,12 +4,18 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
 
 
+def joined(values: Column) -> Column:
+    """An array as text, so that any engine's rows compare alike."""
+    return F.array_join(values.cast("array<string>"), ",")
+
+
 def query(sql: str | None = None, *ctes: str):
     """Registers a query under its function's name; sql is what DuckDB runs, after the given common table expressions."""
 

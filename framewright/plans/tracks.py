@@ -8,7 +8,7 @@ from framewright.functions.geometry import Box
 from framewright.operators import tracks
 from framewright.plans import derived as d
 from framewright.plans.boxes import _clamp, _round
-from framewright.plans.registry import query
+from framewright.plans.registry import joined, query
 
 _STATS = (
     "seen AS (SELECT user_id, count(*) FILTER (area > 0) AS visible, min(frame) FILTER (area > 0) AS first, max(frame) FILTER (area > 0) AS last, max(area) AS most,"
@@ -25,11 +25,11 @@ def _stats(spark, sf_dir):
 
 @query(
     f"SELECT user_id, CAST(visible AS INTEGER) AS visible_frame_count, first AS first_mask_frame, last AS last_mask_frame, visible = 30 AS full_clip_covered, most AS max_mask_area, {_round('most / 100.0::DOUBLE', 6)} AS max_mask_area_ratio,"
-    " CAST(floor(med) AS INTEGER) AS area_median, lo_ratio AS area_min_ratio, hi_ratio AS area_max_ratio, gaps AS interior_gap_frames FROM stats",
+    " CAST(floor(med) AS INTEGER) AS area_median, lo_ratio AS area_min_ratio, hi_ratio AS area_max_ratio, array_to_string(gaps, ',') AS interior_gap_frames FROM stats",
     d.DAYS, _STATS,
 )
 def mask_stats(spark, sf_dir):
-    return _stats(spark, sf_dir).drop("areas", "area_median_exact")
+    return _stats(spark, sf_dir).drop("areas", "area_median_exact").withColumn("interior_gap_frames", joined(F.col("interior_gap_frames")))
 
 
 @query("SELECT user_id, CAST(unnest(gaps) AS INTEGER) AS frame FROM stats", d.DAYS, _STATS)
@@ -37,9 +37,9 @@ def interior_gaps(spark, sf_dir):
     return _stats(spark, sf_dir).select("user_id", F.explode("interior_gap_frames").alias("frame"))
 
 
-@query("SELECT s.user_id, list(f.area ORDER BY f.frame) AS areas, any_value(s.med) AS area_median FROM stats s JOIN frames f USING (user_id) GROUP BY s.user_id", d.DAYS, _STATS)
+@query("SELECT s.user_id, string_agg(CAST(f.area AS VARCHAR), ',' ORDER BY f.frame) AS areas, any_value(s.med) AS area_median FROM stats s JOIN frames f USING (user_id) GROUP BY s.user_id", d.DAYS, _STATS)
 def frame_series(spark, sf_dir):
-    return _stats(spark, sf_dir).select("user_id", "areas", F.col("area_median_exact").alias("area_median"))
+    return _stats(spark, sf_dir).select("user_id", joined(F.col("areas")).alias("areas"), F.col("area_median_exact").alias("area_median"))
 
 
 @query("SELECT visible = 30 AND len(gaps) = 0 AND lo_ratio >= 0.4 AND hi_ratio <= 2.5 AS healthy, count(*) AS n FROM stats GROUP BY 1", d.DAYS, _STATS)
