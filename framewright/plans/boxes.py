@@ -161,9 +161,13 @@ def canvas_roundtrip(spark, sf_dir):
 def canvas_compare(spark, sf_dir):
     rows = d.boxes(spark, sf_dir).join(d.sizes(spark, sf_dir), F.col("l_partkey") == F.col("p_partkey"))
     w, h = F.col("w"), F.col("h")
-    each = F.array(*(F.struct(F.lit(name).alias("canvas"), (m.x2 > w + 1e-6).alias("x_out"), (m.y2 > h + 1e-6).alias("y_out")) for name in cv.CANVASES for m in [cv.map_box(g.Box.of(), name, w, h)]))
-    out = rows.select(F.inline(each)).groupBy("canvas")
-    return out.agg(F.count("*").alias("n"), F.count_if("x_out").alias("over_right"), F.count_if("y_out").alias("over_bottom"))
+    # all canvases are counted in one pass, and one row is turned into seven
+    counts = [F.count("*").alias("n")]
+    for k, name in enumerate(cv.CANVASES):
+        mapped = cv.map_box(g.Box.of(), name, w, h)
+        counts += [F.count_if(mapped.x2 > w + 1e-6).alias(f"x{k}"), F.count_if(mapped.y2 > h + 1e-6).alias(f"y{k}")]
+    each = F.array(*(F.struct(F.lit(name).alias("canvas"), "n", F.col(f"x{k}").alias("over_right"), F.col(f"y{k}").alias("over_bottom")) for k, name in enumerate(cv.CANVASES)))
+    return rows.agg(*counts).where("n > 0").select(F.inline(each))
 
 
 _STORED = (

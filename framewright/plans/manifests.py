@@ -131,12 +131,12 @@ def _drawn(spark, sf_dir):
 
 
 def _masks(spark, sf_dir):
-    """key, h, w, packed: all boxes of an order in one mask of 54 x 30, bits set by integer arithmetic."""
-    pixels = _drawn(spark, sf_dir).select("l_orderkey", F.explode(F.sequence("y1", F.col("y2") - 1)).alias("y"), "x1", "x2").select("l_orderkey", "y", F.explode(F.sequence("x1", F.col("x2") - 1)).alias("x"))
-    rows = pixels.distinct().groupBy("l_orderkey", "y").agg(F.sort_array(F.collect_list("x")).alias("xs")).groupBy("l_orderkey").agg(F.map_from_entries(F.collect_list(F.struct("y", "xs"))).alias("m"))
-    bit = lambda y: F.array_join(F.transform(F.sequence(F.lit(0), F.lit(55)), lambda x: F.when(F.coalesce(F.array_contains(F.try_element_at("m", y), x), F.lit(False)), "1").otherwise("0")), "")
-    line = lambda y: F.lpad(F.conv(bit(y), 2, 16), 14, "0")
-    return rows.select(F.col("l_orderkey").alias("key"), F.lit(30).alias("h"), F.lit(54).alias("w"), F.unhex(F.array_join(F.transform(F.sequence(F.lit(0), F.lit(29)), line), "")).alias("packed"))
+    """key, h, w, packed: all boxes of an order in one mask of 54 x 30. A box is one run of bits in each of its lines, and lines are or-ed before the shuffle."""
+    lines = _drawn(spark, sf_dir).select("l_orderkey", F.expr("shiftleft(shiftleft(1L, x2 - x1) - 1L, 56 - x2)").alias("bits"), F.explode(F.sequence("y1", F.col("y2") - 1)).alias("y"))
+    lines = lines.groupBy("l_orderkey", "y").agg(F.lpad(F.hex(F.bit_or("bits")), 14, "0").alias("line"))
+    rows = lines.groupBy("l_orderkey").agg(F.map_from_entries(F.collect_list(F.struct("y", "line"))).alias("m"))
+    whole = F.array_join(F.transform(F.sequence(F.lit(0), F.lit(29)), lambda y: F.coalesce(F.try_element_at("m", y), F.lit("0" * 14))), "")
+    return rows.select(F.col("l_orderkey").alias("key"), F.lit(30).alias("h"), F.lit(54).alias("w"), F.unhex(whole).alias("packed"))
 
 
 @query("SELECT l_orderkey, array_to_string([min(x1), min(y1), max(x2), max(y2)], ',') AS box FROM drawn GROUP BY l_orderkey", d.BOXES, _DRAWN)
