@@ -120,19 +120,19 @@ def jsonl_strict(spark, sf_dir):
     return jsonl.read(spark, path, "c_custkey long, c_name string")
 
 
-# ---- rasters: boxes of every twentieth order drawn into small masks ----
+# ---- rasters: boxes of every order drawn into small masks; mask_bbox reads those of every twentieth, as its SQL twin does ----
 
 _DRAWN = f"drawn AS (SELECT l_orderkey, {_clamp('x1 / 16', 'y1 / 16', 'x2 / 16', 'y2 / 16', '54', '30')} FROM boxes WHERE l_orderkey % 20 = 0)"
 
 
-def _drawn(spark, sf_dir):
+def _drawn(rows):
     box = Box.of().each(lambda c: c / 16)
-    return d.boxes(spark, sf_dir).where("l_orderkey % 20 = 0").select("l_orderkey", *clamp_box(box, F.lit(54), F.lit(30)).columns())
+    return rows.select("l_orderkey", *clamp_box(box, F.lit(54), F.lit(30)).columns())
 
 
-def _masks(spark, sf_dir):
+def _masks(boxes):
     """key, h, w, packed: all boxes of an order in one mask of 54 x 30. A box is one run of bits in each of its lines, and lines are or-ed before the shuffle."""
-    lines = _drawn(spark, sf_dir).select("l_orderkey", F.expr("shiftleft(shiftleft(1L, x2 - x1) - 1L, 56 - x2)").alias("bits"), F.explode(F.sequence("y1", F.col("y2") - 1)).alias("y"))
+    lines = _drawn(boxes).select("l_orderkey", F.expr("shiftleft(shiftleft(1L, x2 - x1) - 1L, 56 - x2)").alias("bits"), F.explode(F.sequence("y1", F.col("y2") - 1)).alias("y"))
     lines = lines.groupBy("l_orderkey", "y").agg(F.lpad(F.hex(F.bit_or("bits")), 14, "0").alias("line"))
     rows = lines.groupBy("l_orderkey").agg(F.map_from_entries(F.collect_list(F.struct("y", "line"))).alias("m"))
     whole = F.array_join(F.transform(F.sequence(F.lit(0), F.lit(29)), lambda y: F.coalesce(F.try_element_at("m", y), F.lit("0" * 14))), "")
@@ -141,17 +141,17 @@ def _masks(spark, sf_dir):
 
 @query("SELECT l_orderkey, array_to_string([min(x1), min(y1), max(x2), max(y2)], ',') AS box FROM drawn GROUP BY l_orderkey", d.BOXES, _DRAWN)
 def mask_bbox(spark, sf_dir):
-    return raster.measured(_masks(spark, sf_dir)).select(F.col("key").alias("l_orderkey"), joined(F.col("box")).alias("box"))
+    return raster.measured(_masks(d.boxes(spark, sf_dir).where("l_orderkey % 20 = 0"))).select(F.col("key").alias("l_orderkey"), joined(F.col("box")).alias("box"))
 
 
 @query()
 def mask_components(spark, sf_dir):
-    return raster.measured(_masks(spark, sf_dir)).select(F.col("key").alias("l_orderkey"), "components", "largest_share", "pixels")
+    return raster.measured(_masks(d.boxes(spark, sf_dir))).select(F.col("key").alias("l_orderkey"), "components", "largest_share", "pixels")
 
 
 @query()
 def mask_pack(spark, sf_dir):
-    return raster.measured(_masks(spark, sf_dir)).select(F.col("key").alias("l_orderkey"), F.length("packed").alias("n_bytes"), F.sha2("packed", 256).alias("digest"))
+    return raster.measured(_masks(d.boxes(spark, sf_dir))).select(F.col("key").alias("l_orderkey"), F.length("packed").alias("n_bytes"), F.sha2("packed", 256).alias("digest"))
 
 
 @query()
@@ -168,5 +168,5 @@ def tighten_trace(spark, sf_dir):
                 rows.append((*(getattr(r, k) for k in d.KEYS), got["rounds"], got["stop"], got["tight"]))
             yield pd.DataFrame(rows, columns=[*d.KEYS, "rounds", "stop", "tight"])
 
-    rows = d.boxes(spark, sf_dir).where("l_orderkey % 20 = 0").select(*d.KEYS, *(b.alias(n) for b, n in zip(Box.of().each(lambda c: c / 4), ("x1", "y1", "x2", "y2"))))
+    rows = d.boxes(spark, sf_dir).select(*d.KEYS, *(b.alias(n) for b, n in zip(Box.of().each(lambda c: c / 4), ("x1", "y1", "x2", "y2"))))
     return rows.mapInPandas(run, "l_orderkey long, l_linenumber int, l_partkey long, l_suppkey long, rounds int, stop string, tight array<int>")

@@ -1,5 +1,6 @@
 """Operators on small inputs: selection, windows, un-nesting, pools, gate, tracks, manifests, rasters, sources, streams."""
 
+import hashlib
 import json
 import random
 
@@ -318,6 +319,30 @@ def test_tighten_loop():
     assert raster.tighten(models.RectangleSegmenter([0, 0, 600, 400]), frame, [100, 100, 120, 120])["stop"] == "limit"
 
 
+def test_raster_queries_draw_every_order(spark, tmp_path):
+    from framewright.plans import manifests as plans
+
+    rng = random.Random(12)
+    rows = [(o, n, o * 3, n, float(rng.randrange(1, 51)), rng.randrange(11) / 100, rng.randrange(9) / 100) for o in (1, 2, 7, 20, 33, 40) for n in range(1, 5)]
+    lines = spark.createDataFrame(rows, "l_orderkey long, l_linenumber int, l_partkey long, l_suppkey long, l_quantity double, l_discount double, l_tax double")
+    lines.write.parquet(f"{tmp_path}/lineitem.parquet")
+    masks, traces = {}, {}
+    for o, n, part, supp, quantity, discount, tax in rows:
+        x, y = quantity * 16, discount * 4000
+        box = [x, y, x + tax * 6000, y + n * 60]
+        x1, y1 = max(0, min(round(box[0] / 16), 53)), max(0, min(round(box[1] / 16), 29))
+        x2, y2 = max(x1 + 1, min(round(box[2] / 16), 54)), max(y1 + 1, min(round(box[3] / 16), 30))
+        masks.setdefault(o, np.zeros((30, 54), bool))[y1:y2, x1:x2] = True
+        got = raster.tighten(models.RectangleSegmenter([40, 20, 150, 100]), np.zeros((120, 214, 3), np.uint8), [c / 4 for c in box])
+        traces[o, n, part, supp] = (got["rounds"], got["stop"], got["tight"])
+    digests = {r.l_orderkey: (r.n_bytes, r.digest) for r in plans.mask_pack(spark, str(tmp_path)).collect()}
+    assert digests == {o: (210, hashlib.sha256(np.packbits(raster.without_speckle(m), axis=-1).tobytes()).hexdigest()) for o, m in masks.items()}
+    parts = {r.l_orderkey: (r.components, r.largest_share, r.pixels) for r in plans.mask_components(spark, str(tmp_path)).collect()}
+    assert parts == {o: (*raster.component_stats(m), int(raster.without_speckle(m).sum())) for o, m in masks.items()}
+    found = {tuple(r)[:4]: tuple(r)[4:] for r in plans.tighten_trace(spark, str(tmp_path)).collect()}
+    assert found == traces
+
+
 def test_stages(spark):
     codec = models.RawCodec()
     frames = np.zeros((6, 20, 30, 3), np.uint8)
