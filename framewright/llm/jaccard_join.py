@@ -348,9 +348,19 @@ def assign(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> D
 
 
 def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """docs without the documents of a component other than its least one, with all their columns. The documents that go are broadcast only if their measured size allows it."""
+    """docs without the rows of a component other than one of its least document, with all their columns; rows without words all stay. The documents that go are broadcast only if their measured size allows it."""
     found = cluster(docs, id_col, text_col)
     gone = cut(found.where((F.col("joint.__id") != F.col("__id")) | (F.col("joint.__tag") != F.col("__tag"))).select("__id", "__tag"))
-    id_, tag, _ = row_key(docs, id_col, text_col)
+    id_, tag, text = row_key(docs, id_col, text_col)
     rows = docs.withColumns({"__id": id_, "__tag": tag})
-    return join_checked(rows, gone, ["__id", "__tag"], F.lit(24), "left_anti").select(*(F.col(f"`{c}`") for c in docs.columns))
+    worded = F.coalesce(F.col(f"`{text_col}`").rlike(r"[^\x20\x09-\x0D]"), F.lit(False))
+    again = cut(rows.where(worded).groupBy("__id", "__tag").count().where("count > 1").select("__id", "__tag"))
+    columns = [F.col(f"`{c}`") for c in docs.columns]
+    rows = join_checked(rows, gone, ["__id", "__tag"], F.lit(24), "left_anti")
+    if again.isEmpty():
+        return rows.select(*columns)
+    single = join_checked(rows, again, ["__id", "__tag"], F.lit(24), "left_anti").select(*columns)
+    # whole texts are compared, and copies are combined before the shuffle
+    several = join_checked(rows, again, ["__id", "__tag"], F.lit(24), "left_semi").withColumn("__text", text)
+    one = several.groupBy("__id", "__tag", "__text").agg(F.min_by(F.struct(*columns), F.to_json(F.struct(*columns))).alias("__row"))
+    return single.unionByName(one.select("__row.*"))

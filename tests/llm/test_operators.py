@@ -284,6 +284,16 @@ def test_jaccard(spark, odd_docs, odd_rows, no_docs):
     assert kept.columns == docs.columns and sorted(r.doc_id for r in kept.collect()) == sorted(i for i, _, c in brute.jaccard(distinct) if i == c)
 
 
+def test_keep_one_drops_repeated_and_null_id_rows(spark):
+    near, shared = near_copies(12), " ".join(f"s{i}" for i in range(30))
+    wordless = [(1, None), (1, None), (2, ""), (2, ""), (None, " \n"), (None, " \n")]
+    rows = [*near, *near, (7, shared), (None, shared), (None, shared), (None, shared), (None, "p q"), (None, "p q"), *wordless]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").withColumn("a.b", F.lit("k")).repartition(4)
+    kept = jaccard_join.keep_one(docs)
+    want = [r for r, (i, _, c) in zip(near, brute.jaccard(near)) if i == c] + [(None, shared), (None, "p q"), *wordless]
+    assert kept.columns == docs.columns and sorted(str((r.doc_id, r.text)) for r in kept.collect()) == sorted(map(str, want))
+
+
 def test_jaccard_without_stars(spark, monkeypatch):
     monkeypatch.setattr(jaccard_join, "STARS", 0)
     monkeypatch.setattr(jaccard_join.blobs, "GATHER", 50)
