@@ -19,6 +19,9 @@ GATHER = 300_000
 #: Input text bytes for each bucket of a shuffle, and the least number of buckets.
 BUCKET_BYTES, LEAST_BUCKETS = 16 << 20, 64
 
+#: The fields of a record that name its document: see common.KEY.
+OWNER = {"id": "<i8", "tag": "<i8", "top": "<i4"}
+
 Columns = dict[str, np.ndarray]
 
 
@@ -73,6 +76,11 @@ def take(columns: Columns, which: np.ndarray) -> Columns:
     return {name: c[which] for name, c in columns.items()}
 
 
+def owner(columns: Columns) -> tuple[np.ndarray, ...]:
+    """The arrays that name each record's document, as keys for `groups`."""
+    return columns["id"], columns["tag"], columns["top"]
+
+
 def groups(*keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """An order in which equal keys stand together (earlier keys first, ties stable), and the group number of each place in it."""
     order = np.lexsort(keys[::-1])

@@ -22,11 +22,12 @@ CHUNK_BYTES = 1 << 19
 
 
 def checkpoint_dir(spark: SparkSession) -> str:
-    """The cluster's shared folder; a temporary one only where none is configured, as in tests."""
-    shared = spark.conf.get("spark.checkpoint.dir", None)
+    """The cluster's shared folder; a temporary one only where none is configured and all runs in one process, as in tests."""
+    shared = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not shared:
-        current = spark.sparkContext.getCheckpointDir()
-        shared = current or f"file://{tempfile.mkdtemp(prefix='framewright-')}"
+        if not spark.sparkContext.master.startswith("local["):
+            raise ValueError("spark.checkpoint.dir must name a folder that the driver and all executors share")
+        shared = f"file://{tempfile.mkdtemp(prefix='framewright-')}"
     if spark.sparkContext.getCheckpointDir() is None:
         spark.sparkContext.setCheckpointDir(shared)
     return shared
@@ -38,6 +39,12 @@ def cut(df: DataFrame) -> DataFrame:
     return df.checkpoint()
 
 
+def remove(spark: SparkSession, path: str) -> None:
+    """Deletes a folder of written tables that nothing reads any more."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+
+
 def map_arrow(df: DataFrame, function: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]], schema) -> DataFrame:
     """df.mapInArrow with batches of BATCH_ROWS: texts are large rows, and the default of 10,000 would hold tens of MB in every worker and beside every executor's heap. A session setting other than Spark's default is left alone."""
     conf = df.sparkSession.conf
@@ -51,12 +58,18 @@ def ascii_lower(text: Column) -> Column:
     return F.translate(text, "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
 
 
+#: What tells documents apart inside the operators: the id and 96 bits of the text's hashes, as null ids are all one id.
+KEY = ["__id", "__tag", "__top"]
+KEY_SCHEMA = "__id long, __tag long, __top int"
+
+
 def row_key(docs: DataFrame, id_col: str, text_col: str) -> list[Column]:
-    """__id (null ids first), __tag (32 bits of the text's hash, so rows that share an id but not a text stay apart) and __text (null: empty)."""
+    """KEY (null ids first; rows that share an id but not a text stay apart by their text's two hashes) and __text (null: empty)."""
     text = F.coalesce(F.col(f"`{text_col}`"), F.lit(""))
     return [
         F.coalesce(F.col(f"`{id_col}`").cast("long"), F.lit(NULL_ID)).alias("__id"),
-        F.hash(text).alias("__tag"),
+        F.xxhash64(text).alias("__tag"),
+        F.hash(text).alias("__top"),
         text.alias("__text"),
     ]
 
@@ -100,5 +113,10 @@ def chunks(batches: Iterator[pa.RecordBatch], text_col: str = "__text", most: in
             at = end
 
 
+def keys(batch: pa.RecordBatch) -> dict[str, np.ndarray]:
+    """The KEY columns of a batch as the fields of a packed record."""
+    return {"id": ints(batch.column("__id")), "tag": ints(batch.column("__tag")), "top": ints(batch.column("__top"), np.int32)}
+
+
 def ints(column: pa.Array, kind=np.int64) -> np.ndarray:
     return column.to_numpy(zero_copy_only=False).astype(kind, copy=False)

@@ -35,7 +35,7 @@ from pyspark.sql import functions as F
 
 from framewright.llm import blobs
 from framewright.llm.blobs import Columns
-from framewright.llm.common import NULL_ID, chunks, cut, ints, join_checked, map_arrow, row_key, text_buffers, total_bytes
+from framewright.llm.common import KEY, KEY_SCHEMA, NULL_ID, chunks, cut, ints, join_checked, keys, map_arrow, row_key, text_buffers, total_bytes
 from framewright.llm.components import components
 from framewright.llm.hashing import Prefixes, Words, mix
 
@@ -48,7 +48,7 @@ SAMPLED = 0.3
 STARS = 4
 
 #: kind 0: a shingle; 1: one that recurs in its batch; 2: a count of shared shingles; 3: a document's set (a: its hash, n: size, s: sampled shingles).
-SHARED = {"=a": "<u8", "id": "<i8", "tag": "<i4", "n": "<i4", "s": "<i4", "kind": "u1"}
+SHARED = {"=a": "<u8"} | blobs.OWNER | {"n": "<i4", "s": "<i4", "kind": "u1"}
 #: A shingle of a set.
 HELD = {"=a": "<u8", "node": "<i8", "n": "<i4"}
 #: A shingle of several sets: its number, its frequency.
@@ -91,8 +91,8 @@ def id_bucket(ids: np.ndarray, buckets: int) -> np.ndarray:
 
 
 def _per_document(c: Columns) -> tuple[np.ndarray, np.ndarray]:
-    """Order by (id, tag) and group starts."""
-    order, group = blobs.groups(c["id"], c["tag"])
+    """Order by document and group starts."""
+    order, group = blobs.groups(*blobs.owner(c))
     return order, np.flatnonzero(np.diff(group, prepend=-1))
 
 
@@ -107,7 +107,7 @@ def _counts(c: Columns) -> Columns:
 
 def _recurring(c: Columns, weight: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Whether each shingle record belongs to several documents (weight: 2 where that is known already), and whether it is the first of its shingle."""
-    order, group = blobs.groups(c["a"], c["id"], c["tag"])
+    order, group = blobs.groups(c["a"], *blobs.owner(c))
     _, own = blobs.groups(c["a"])
     new = np.diff(group, prepend=-1) != 0
     total = np.bincount(own, new * weight[order]) if len(own) else np.empty(0)
@@ -135,18 +135,18 @@ def sampled(texts: DataFrame, buckets: int) -> DataFrame:
         sets: list[Columns] = []
         size = 0
         for batch in chunks(batches):
-            ids, tags = ints(batch.column("__id")), ints(batch.column("__tag"), np.int32)
+            ids = keys(batch)
             doc, grams = shingle_sets(*text_buffers(batch.column("__text")))
-            n = np.bincount(doc, minlength=len(ids))
+            n = np.bincount(doc, minlength=batch.num_rows)
             low = grams < limit
-            sums = np.zeros(len(ids), np.uint64)
+            sums = np.zeros(batch.num_rows, np.uint64)
             np.add.at(sums, doc, mix(grams))
             key = mix(sums + n.astype(np.uint64))
-            s = np.bincount(doc[low], minlength=len(ids))
-            sets.append({"a": key, "id": ids, "tag": tags, "n": n.astype(np.int32), "s": s.astype(np.int32), "kind": np.full(len(ids), 3, np.uint8)})
+            s = np.bincount(doc[low], minlength=batch.num_rows)
+            sets.append({"a": key, **ids, "n": n.astype(np.int32), "s": s.astype(np.int32), "kind": np.full(batch.num_rows, 3, np.uint8)})
             own = doc[low]
-            parts.append({"a": grams[low], "id": ids[own], "tag": tags[own]})
-            size += len(own) + len(ids)
+            parts.append({"a": grams[low], **blobs.take(ids, own)})
+            size += len(own) + batch.num_rows
             if size >= blobs.GATHER:
                 yield combine(parts, sets)
                 parts, sets, size = [], [], 0
@@ -171,7 +171,7 @@ def shared_counts(packed: DataFrame, buckets: int) -> DataFrame:
 
 
 def document_sets(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """__id, __tag, key (hash of the set), n (its size), open (whether it may have a partner) of every distinct document; cut."""
+    """KEY, key (hash of the set), n (its size), open (whether it may have a partner) of every distinct document; cut."""
     texts = docs.select(*row_key(docs, id_col, text_col))
     buckets = blobs.buckets_for(total_bytes(docs, text_col))
 
@@ -186,18 +186,18 @@ def document_sets(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
         own = blobs.take(c, np.flatnonzero(whole)[keep])
         n, s = own["n"].astype(np.int64), own["s"].astype(np.int64)
         may = (n > 0) & (shared[which[keep]] >= s - (n - least_overlap(n)))
-        return pd.DataFrame({"__id": own["id"], "__tag": own["tag"], "key": own["a"].view(np.int64), "n": own["n"], "open": may})
+        return pd.DataFrame({f"__{k}": own[k] for k in blobs.OWNER} | {"key": own["a"].view(np.int64), "n": own["n"], "open": may})
 
     counted = shared_counts(sampled(texts, buckets), buckets)
-    return cut(counted.groupBy("bucket").applyInPandas(run, "__id long, __tag int, key long, n int, open boolean"))
+    return cut(counted.groupBy("bucket").applyInPandas(run, f"{KEY_SCHEMA}, key long, n int, open boolean"))
 
 
 def ranked_sets(docs: DataFrame, sets: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> tuple[DataFrame, DataFrame]:
     """The open classes (node, key, n), and of those with a shared prefix: node, n, shared (numbers of its shared shingles, packed), prefix (the shared ones of its prefix, rare first), at (place of the first of them). Both cut."""
-    one = sets.where("open").groupBy("key", "n").agg(F.min(F.struct("__id", "__tag")).alias("d"))
-    nodes = cut(cut(one.select("key", "n", "d.__id", "d.__tag")).withColumn("node", F.monotonically_increasing_id()))
+    one = sets.where("open").groupBy("key", "n").agg(F.min(F.struct(*KEY)).alias("d"))
+    nodes = cut(cut(one.select("key", "n", "d.*")).withColumn("node", F.monotonically_increasing_id()))
     texts = docs.select(*row_key(docs, id_col, text_col))
-    rows = join_checked(texts, nodes.select("node", "__id", "__tag"), ["__id", "__tag"], F.lit(40), "inner")
+    rows = join_checked(texts, nodes.select("node", *KEY), KEY, F.lit(48), "inner")
     buckets = blobs.buckets_for(total_bytes(docs, text_col))
 
     def held(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -325,42 +325,40 @@ def _remaining(here: DataFrame) -> DataFrame:
 
 
 def cluster(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """__id, __tag, n_shingles, joint (the least (__id, __tag) reachable; __id is NULL_ID for null) of every distinct document."""
+    """KEY, n_shingles, joint (the least KEY reachable; __id is NULL_ID for null) of every distinct document."""
     sets = document_sets(docs, id_col, text_col)
     nodes, ranked = ranked_sets(docs, sets, id_col, text_col)
     roots = links(ranked)
     # the least document of each class, then of each component
-    classes = sets.where("n > 0").groupBy("key", "n").agg(F.min(F.struct("__id", "__tag")).alias("least"))
+    classes = sets.where("n > 0").groupBy("key", "n").agg(F.min(F.struct(*KEY)).alias("least"))
     placed = nodes.select("key", "n", "node").join(roots, "node")
     classes = cut(classes.join(placed.select("key", "n", "root"), ["key", "n"], "left"))
     joint = classes.where("root is not null").groupBy("root").agg(F.min("least").alias("joint"))
     classes = classes.join(joint, "root", "left").select("key", "n", F.coalesce("joint", "least").alias("joint"))
-    own = F.struct("__id", "__tag")
-    return sets.join(classes, ["key", "n"], "left").select("__id", "__tag", F.col("n").cast("long").alias("n_shingles"), F.coalesce("joint", own).alias("joint"))
+    own = F.struct(*KEY)
+    return sets.join(classes, ["key", "n"], "left").select(*KEY, F.col("n").cast("long").alias("n_shingles"), F.coalesce("joint", own).alias("joint"))
 
 
 def assign(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """id, n_shingles, component_id of every row (repeated rows repeat)."""
     found = cluster(docs, id_col, text_col)
     rows = docs.select(F.col(f"`{id_col}`").alias("doc"), *row_key(docs, id_col, text_col)).drop("__text")
-    out = rows.join(found, ["__id", "__tag"]).select("doc", "n_shingles", F.when(F.col("joint.__id") != NULL_ID, F.col("joint.__id")).alias("component_id"))
+    out = rows.join(found, KEY).select("doc", "n_shingles", F.when(F.col("joint.__id") != NULL_ID, F.col("joint.__id")).alias("component_id"))
     return out.withColumnRenamed("doc", id_col)
 
 
 def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """docs without the rows of a component other than one of its least document, with all their columns; rows without words all stay. The documents that go are broadcast only if their measured size allows it."""
+    """docs without the rows of a component other than one of its least document, with all their columns, whatever their names; rows without words all stay. The documents that go are broadcast only if their measured size allows it."""
     found = cluster(docs, id_col, text_col)
-    gone = cut(found.where((F.col("joint.__id") != F.col("__id")) | (F.col("joint.__tag") != F.col("__tag"))).select("__id", "__tag"))
-    id_, tag, text = row_key(docs, id_col, text_col)
-    rows = docs.withColumns({"__id": id_, "__tag": tag})
-    worded = F.coalesce(F.col(f"`{text_col}`").rlike(r"[^\x20\x09-\x0D]"), F.lit(False))
-    again = cut(rows.where(worded).groupBy("__id", "__tag").count().where("count > 1").select("__id", "__tag"))
-    columns = [F.col(f"`{c}`") for c in docs.columns]
-    rows = join_checked(rows, gone, ["__id", "__tag"], F.lit(24), "left_anti")
-    if again.isEmpty():
-        return rows.select(*columns)
-    single = join_checked(rows, again, ["__id", "__tag"], F.lit(24), "left_anti").select(*columns)
-    # whole texts are compared, and copies are combined before the shuffle
-    several = join_checked(rows, again, ["__id", "__tag"], F.lit(24), "left_semi").withColumn("__text", text)
-    one = several.groupBy("__id", "__tag", "__text").agg(F.min_by(F.struct(*columns), F.to_json(F.struct(*columns))).alias("__row"))
-    return single.unionByName(one.select("__row.*"))
+    gone = cut(found.where(F.col("joint") != F.struct(*KEY)).select(*KEY))
+    # the row stands apart from the key, so none of its columns can clash
+    key = row_key(docs, id_col, text_col)
+    rows = docs.select(*key[:3], F.coalesce(F.col(f"`{text_col}`").rlike(r"[^\x20\x09-\x0D]"), F.lit(False)).alias("__worded"), F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("__row"))
+    again = cut(rows.where("__worded").groupBy(*KEY).count().where("count > 1").select(*KEY))
+    rows = join_checked(rows, gone, KEY, F.lit(32), "left_anti")
+    if not again.isEmpty():
+        single = join_checked(rows, again, KEY, F.lit(32), "left_anti").select("__row")
+        # whole texts are compared, and copies are combined before the shuffle
+        several = join_checked(rows, again, KEY, F.lit(32), "left_semi").withColumn("__text", F.col("__row").getField(text_col))
+        rows = single.unionByName(several.groupBy(*KEY, "__text").agg(F.min_by("__row", F.to_json("__row")).alias("__row")).select("__row"))
+    return rows.select("__row.*")

@@ -9,7 +9,8 @@ Defined results: a null text stays null and has no lines; a null host is a site
 its own; lines without a character other than white space are never boilerplate
 and always stay; a line that a page repeats counts once for the page; repeated
 rows count as pages of their own; an empty table gives an empty table. Columns
-besides the text pass through whatever their names are.
+besides the text pass through whatever their names are (a column __dropped of the input
+stands beside the count that `drop_lines` adds, so leave it out to read the count).
 """
 
 from __future__ import annotations
@@ -56,14 +57,15 @@ def drop_lines(docs: DataFrame, host_col: str = "source", text_col: str = "text"
     """
     found = cut(boilerplate(docs, host_col, text_col, ratio, min_pages).groupBy("host").agg(F.collect_set(F.struct("a", "b")).alias("__lines")))
     size = found.agg(F.sum(F.size("__lines") * 40 + 64)).first()[0] or 0
-    found = found.withColumnRenamed("host", "__host")
-    text = F.col(f"`{text_col}`")
-    joined = docs.join(F.broadcast(found) if size <= limit else found, F.col(f"`{host_col}`").eqNullSafe(F.col("__host")), "left")
+    # the row stands apart from what is joined, so none of its columns can clash
+    rows = docs.select(F.col(f"`{host_col}`").alias("__host"), F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("__row"))
+    joined = rows.join(F.broadcast(found) if size <= limit else found, F.col("__host").eqNullSafe(F.col("host")), "left")
+    text = F.col("__row").getField(text_col)
     split = F.split(text, "\n", -1)
     kept = F.filter(split, lambda x: x.rlike(_BLANK) | ~F.array_contains(F.col("__lines"), line_key(x)))
     cleaned = F.when(F.col("__lines").isNull() | text.isNull(), text).otherwise(F.array_join(kept, "\n"))
     n = F.when(F.col("__lines").isNull() | text.isNull(), F.lit(0)).otherwise(F.size(split) - F.size(kept))
-    return joined.select(*[cleaned.alias(c) if c == text_col else F.col(f"`{c}`") for c in docs.columns], n.cast("long").alias("__dropped"))
+    return joined.select(*[(cleaned if c == text_col else F.col("__row").getField(c)).alias(c) for c in docs.columns], n.cast("long").alias("__dropped"))
 
 
 def digests(docs: DataFrame) -> DataFrame:

@@ -12,36 +12,41 @@ from pyspark.sql import functions as F
 
 from framewright.llm import blobs
 from framewright.llm.blobs import Columns
-from framewright.llm.common import join_checked, map_arrow, row_key
+from framewright.llm.common import KEY, KEY_SCHEMA, join_checked, map_arrow, row_key
 
-#: A span of a document: its id, its text's tag, first place and length.
-SPAN = {"id": "<i8", "tag": "<i4", "lo": "<i4", "n": "<i4"}
+#: A span of a document: its owner, first place and length.
+SPAN = blobs.OWNER | {"lo": "<i4", "n": "<i4"}
+
+
+def bucket_of(ids: np.ndarray, buckets: int) -> np.ndarray:
+    """The bucket of a document's spans."""
+    return (ids.view(np.uint64) * np.uint64(0x9E3779B97F4A7C15) >> np.uint64(20)).astype(np.int64) % buckets
 
 
 def spread(columns: Columns, buckets: int, fields: dict[str, str] = SPAN) -> tuple[list[int], list[bytes]]:
     """Spans packed by their document's bucket."""
-    order = np.lexsort((columns["lo"], columns["id"]))
+    order = np.lexsort((columns["lo"], columns["tag"], columns["id"]))
     own = blobs.take(columns, order)
-    return blobs.scatter(own, (own["id"].view(np.uint64) * np.uint64(0x9E3779B97F4A7C15) >> np.uint64(20)).astype(np.int64) % buckets, fields)
+    return blobs.scatter(own, bucket_of(own["id"], buckets), fields)
 
 
 def by_document(packed: DataFrame) -> DataFrame:
-    """One row per document that has spans: __id, __tag, __spans (disjoint sorted [start, end) pairs, packed 32-bit). A document's spans are bounded by its own length."""
+    """One row per document that has spans: KEY, __spans (disjoint sorted [start, end) pairs, packed 32-bit). A document's spans are bounded by its own length."""
 
     def run(pdf: pd.DataFrame) -> pd.DataFrame:
         c = blobs.unpack(pdf["blob"], SPAN)
-        order, group = blobs.groups(c["id"], c["tag"])
+        order, group = blobs.groups(*blobs.owner(c))
         c = blobs.take(c, order)
         cut = np.append(np.flatnonzero(np.diff(group, prepend=-1)), len(group))
         spans = [blobs.merged(c["lo"][a:b], c["lo"][a:b] + c["n"][a:b]).astype("<i4").tobytes() for a, b in zip(cut, cut[1:])]
-        return pd.DataFrame({"__id": c["id"][cut[:-1]], "__tag": c["tag"][cut[:-1]], "__spans": spans})
+        return pd.DataFrame({f"__{k}": c[k][cut[:-1]] for k in blobs.OWNER} | {"__spans": spans})
 
-    return packed.groupBy("bucket").applyInPandas(run, "__id long, __tag int, __spans binary")
+    return packed.groupBy("bucket").applyInPandas(run, f"{KEY_SCHEMA}, __spans binary")
 
 
 def from_rows(rows: DataFrame) -> DataFrame:
-    """Like by_document, of rows __id, __tag, lo, n."""
-    lists = rows.groupBy("__id", "__tag").agg(F.collect_list("lo").alias("lo"), F.collect_list("n").alias("n"))
+    """Like by_document, of rows KEY, lo, n."""
+    lists = rows.groupBy(*KEY).agg(F.collect_list("lo").alias("lo"), F.collect_list("n").alias("n"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -49,15 +54,15 @@ def from_rows(rows: DataFrame) -> DataFrame:
             for lo, n in zip(batch.column("lo"), batch.column("n")):
                 lo, n = (x.values.to_numpy(zero_copy_only=False).astype(np.int64) for x in (lo, n))
                 packed.append(blobs.merged(lo, lo + n).astype("<i4").tobytes())
-            yield pa.RecordBatch.from_arrays([batch.column("__id"), batch.column("__tag"), pa.array(packed, pa.binary())], names=["__id", "__tag", "__spans"])
+            yield pa.RecordBatch.from_arrays([*map(batch.column, KEY), pa.array(packed, pa.binary())], names=[*KEY, "__spans"])
 
-    return map_arrow(lists, run, "__id long, __tag int, __spans binary")
+    return map_arrow(lists, run, f"{KEY_SCHEMA}, __spans binary")
 
 
 def with_spans(docs: DataFrame, spans: DataFrame, id_col: str, text_col: str) -> DataFrame:
     """doc, __text and __spans of every row; spans must be cut. They are broadcast only under the size limit, else both sides shuffle by document."""
     texts = docs.select(F.col(f"`{id_col}`").alias("doc"), *row_key(docs, id_col, text_col))
-    return join_checked(texts, spans, ["__id", "__tag"], F.length("__spans") + 32).select("doc", "__text", "__spans")
+    return join_checked(texts, spans, KEY, F.length("__spans") + 40).select("doc", "__text", "__spans")
 
 
 def apply_spans(rows: DataFrame, each: Callable[[bytes, np.ndarray], tuple], fields: list[tuple[str, pa.DataType]], schema: str) -> DataFrame:

@@ -34,18 +34,17 @@ from pyspark.sql import functions as F
 
 from framewright.llm import blobs, spans
 from framewright.llm.blobs import Columns
-from framewright.llm.common import chunks, cut, ints, join_checked, map_arrow, row_key, text_buffers, total_bytes
+from framewright.llm.common import KEY, chunks, cut, ints, join_checked, keys, map_arrow, row_key, text_buffers, total_bytes
 from framewright.llm.hashing import Prefixes, Words, super_kmers
 
 WINDOW, MINIMISER = 20, 7
 
+#: A span of words and its earlier occurrence.
+COPY = spans.SPAN | {f"s{k}": kind for k, kind in (blobs.OWNER | {"lo": "<i4"}).items()}
 #: A path piece: minimiser, content hash, document, first window, number of windows, and (kind 1: removed already) the earlier occurrence.
-PIECE = {"=a": "<u8", "=v": "<u8", "id": "<i8", "tag": "<i4", "lo": "<i4", "n": "<i4", "sid": "<i8", "stag": "<i4", "slo": "<i4", "kind": "u1"}
+PIECE = {"=a": "<u8", "=v": "<u8"} | COPY | {"kind": "u1"}
 #: An edge: its hash, document and place, and its earlier occurrence.
-EDGE = {"=a": "<u8", "id": "<i8", "tag": "<i4", "lo": "<i4", "n": "<i4", "sid": "<i8", "stag": "<i4", "slo": "<i4", "kind": "u1"}
-#: A repeated span of words and its earlier occurrence.
-COPY = {"id": "<i8", "tag": "<i4", "lo": "<i4", "n": "<i4", "sid": "<i8", "stag": "<i4", "slo": "<i4"}
-
+EDGE = {"=a": "<u8"} | COPY | {"kind": "u1"}
 def previous(c: Columns, *keys: str) -> tuple[np.ndarray, Columns]:
     """Whether a record of the same keys has a smaller (id, lo), and the coordinates of the last such record. Records of one (id, lo) tie: neither is later.
 
@@ -59,7 +58,7 @@ def previous(c: Columns, *keys: str) -> tuple[np.ndarray, Columns]:
     has = (before >= 0) & (own[before] == own)
     late, source = np.empty(len(order), bool), np.empty(len(order), np.int64)
     late[order], source[order] = has, order[np.maximum(before, 0)]
-    return late, {"sid": c["id"][source], "stag": c["tag"][source], "slo": c["lo"][source]}
+    return late, {f"s{k}": c[k][source] for k in (*blobs.OWNER, "lo")}
 
 
 def bucket_of(a: np.ndarray, buckets: int) -> np.ndarray:
@@ -92,7 +91,7 @@ def pieces(texts: DataFrame, buckets: int, window: int, k: int) -> DataFrame:
             found = super_kmers(words.hashes(), words.first, window, k)
             doc = found.pop("doc")
             found.pop("at")
-            held.append(found | {"id": ints(batch.column("__id"))[doc], "tag": ints(batch.column("__tag"), np.int32)[doc]})
+            held.append(found | blobs.take(keys(batch), doc))
             size += len(doc)
             if size >= blobs.GATHER:
                 yield combine(held, ("a", "v"), PIECE, buckets)
@@ -130,7 +129,7 @@ def judge_pieces(packed: DataFrame, buckets: int, window: int) -> DataFrame:
 
 def edges(texts: DataFrame, branches: DataFrame, buckets: int, window: int) -> DataFrame:
     """bucket, blob of EDGE records: the single windows of the given pieces."""
-    rows = join_checked(texts, branches, ["__id", "__tag"], F.length("__spans") + 32, "inner")
+    rows = join_checked(texts, branches, KEY, F.length("__spans") + 32, "inner")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[Columns] = []
@@ -145,7 +144,7 @@ def edges(texts: DataFrame, branches: DataFrame, buckets: int, window: int) -> D
                 lo += [np.arange(a, b) for a, b in pairs]
                 doc.append(np.full(int((pairs[:, 1] - pairs[:, 0]).sum()), number))
             doc, lo = np.concatenate(doc), np.concatenate(lo).astype(np.int32)
-            held.append({"a": grams[words.first[doc] + lo], "id": ints(batch.column("__id"))[doc], "tag": ints(batch.column("__tag"), np.int32)[doc], "lo": lo, "n": np.full(len(lo), window, np.int32)})
+            held.append({"a": grams[words.first[doc] + lo], **blobs.take(keys(batch), doc), "lo": lo, "n": np.full(len(lo), window, np.int32)})
             size += len(doc)
             if size >= blobs.GATHER:
                 yield combine(held, ("a",), EDGE, buckets)
@@ -168,15 +167,20 @@ def judge_edges(packed: DataFrame, buckets: int) -> DataFrame:
     return packed.groupBy("bucket").applyInPandas(run, "bucket long, blob binary")
 
 
+#: Fields that name a span's document, and those of its source.
+OWN, SOURCE = [*blobs.OWNER], [f"s{k}" for k in blobs.OWNER]
+_SPAN_SCHEMA = "id long, tag long, top int, lo int, n int"
+
+
 def paths(copies: DataFrame) -> DataFrame:
-    """Copies of one source document at one distance, compacted into maximal paths: id, tag, lo, n (words) and sid, stag, slo."""
+    """Copies of one source document at one distance, compacted into maximal paths: the fields of COPY."""
 
     def run(pdf: pd.DataFrame) -> pd.DataFrame:
         c = blobs.unpack(pdf["blob"], COPY)
         shift = c["lo"].astype(np.int64) - c["slo"]
-        order, _ = blobs.groups(c["id"], c["tag"], c["sid"], c["stag"], shift, c["lo"])
+        order, _ = blobs.groups(*(c[k] for k in OWN + SOURCE), shift, c["lo"])
         c = blobs.take(c, order)
-        _, own = blobs.groups(*(c[k] for k in ("id", "tag", "sid", "stag")), shift[order])
+        _, own = blobs.groups(*(c[k] for k in OWN + SOURCE), shift[order])
         base = own.astype(np.int64) << 33  # keeps the groups apart while ends are accumulated
         lo, hi = base + c["lo"], np.maximum.accumulate(base + c["lo"] + c["n"])
         new = np.ones(len(lo), bool)
@@ -185,13 +189,13 @@ def paths(copies: DataFrame) -> DataFrame:
         ends = hi[np.append(cuts[1:], len(lo)) - 1] if len(cuts) else hi
         return pd.DataFrame(blobs.take(c, cuts) | {"n": (ends - lo[cuts]).astype(np.int32)})
 
-    return copies.groupBy("bucket").applyInPandas(run, "id long, tag int, lo int, n int, sid long, stag int, slo int")
+    return copies.groupBy("bucket").applyInPandas(run, f"{_SPAN_SCHEMA}, sid long, stag long, stop int, slo int")
 
 
 def digests_of_spans(texts: DataFrame, wanted: DataFrame) -> DataFrame:
-    """id, tag, lo, n, digest of the words of every wanted span (id, tag, lo, n; distinct), by a join with the texts."""
-    lists = cut(wanted.groupBy(F.col("id").alias("__id"), F.col("tag").alias("__tag")).agg(F.collect_list("lo").alias("__lo"), F.collect_list("n").alias("__n")))
-    rows = join_checked(texts, lists, ["__id", "__tag"], F.size("__lo") * 8 + 48, "inner")
+    """Every wanted span (OWN, lo, n; distinct) with the digest of its words, by a join with the texts."""
+    lists = cut(wanted.groupBy(*(F.col(k).alias(f"__{k}") for k in OWN)).agg(F.collect_list("lo").alias("__lo"), F.collect_list("n").alias("__n")))
+    rows = join_checked(texts, lists, KEY, F.size("__lo") * 8 + 56, "inner")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in chunks(batches):
@@ -204,30 +208,41 @@ def digests_of_spans(texts: DataFrame, wanted: DataFrame) -> DataFrame:
             start, end = words.starts[at], words.ends[at + n - 1]
             # bytes.split() cuts at exactly the characters between words
             marks = [hashlib.blake2b(b" ".join(raw[a:b].tobytes().split()), digest_size=16).digest() for a, b in zip(start.tolist(), end.tolist())]
-            columns = (ints(batch.column("__id"))[doc], ints(batch.column("__tag"), np.int32)[doc], lo.astype(np.int32), n.astype(np.int32))
-            yield pa.RecordBatch.from_arrays([*map(pa.array, columns), pa.array(marks, pa.binary())], names=["id", "tag", "lo", "n", "digest"])
+            own = blobs.take(keys(batch), doc) | {"lo": lo.astype(np.int32), "n": n.astype(np.int32)}
+            yield pa.RecordBatch.from_arrays([*map(pa.array, own.values()), pa.array(marks, pa.binary())], names=[*own, "digest"])
 
-    return map_arrow(rows, run, "id long, tag int, lo int, n int, digest binary")
+    return map_arrow(rows, run, f"{_SPAN_SCHEMA}, digest binary")
 
 
-def verified(texts: DataFrame, found: DataFrame) -> DataFrame:
-    """__id, __tag, lo, n of the paths (cut) whose words equal those at their source coordinates; others (hash collisions) stay in their texts. A source that many share is read once."""
-    own, source = found.select("id", "tag", "lo", "n"), found.select(F.col("sid").alias("id"), F.col("stag").alias("tag"), F.col("slo").alias("lo"), "n")
+def compared(texts: DataFrame, found: DataFrame) -> DataFrame:
+    """The spans of found (fields of COPY) with same: whether their words equal those at their source coordinates. A source that many share is read once. Cut."""
+    own, source = found.select(*OWN, "lo", "n"), found.select(*(F.col(s).alias(k) for k, s in zip(OWN, SOURCE)), F.col("slo").alias("lo"), "n")
     read = cut(digests_of_spans(texts, own.union(source).distinct()).distinct())
-    there = read.select(F.col("id").alias("sid"), F.col("tag").alias("stag"), F.col("lo").alias("slo"), "n", F.col("digest").alias("expected"))
-    both = found.join(read, ["id", "tag", "lo", "n"]).join(there, ["sid", "stag", "slo", "n"])
-    return both.where("digest = expected").select(F.col("id").alias("__id"), F.col("tag").alias("__tag"), "lo", "n")
+    there = read.select(*(F.col(k).alias(s) for k, s in zip(OWN, SOURCE)), F.col("lo").alias("slo"), "n", F.col("digest").alias("expected"))
+    both = found.join(read, [*OWN, "lo", "n"]).join(there, [*SOURCE, "slo", "n"])
+    return cut(both.select(*COPY, (F.col("digest") == F.col("expected")).alias("same")))
+
+
+def verified(texts: DataFrame, found: DataFrame, window: int = WINDOW) -> DataFrame:
+    """KEY, lo, n of the paths (cut) whose words equal those at their source coordinates. A path with a collision in it is taken apart into its edges, and those that differ stay in their texts."""
+    judged = compared(texts, found)
+    good, bad = judged.where("same").drop("same"), judged.where("not same").drop("same")
+    if not bad.isEmpty():
+        step = F.explode(F.sequence(F.lit(0), F.col("n") - window)).alias("step")
+        single = bad.select(*OWN, *SOURCE, "lo", "slo", step).select(*OWN, *SOURCE, (F.col("lo") + F.col("step")).alias("lo"), (F.col("slo") + F.col("step")).alias("slo"), F.lit(window).alias("n"))
+        good = good.unionByName(compared(texts, cut(single.distinct())).where("same").drop("same"))
+    return good.select(*(F.col(k).alias(f"__{k}") for k in OWN), "lo", "n")
 
 
 def repeated(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", window: int = WINDOW, k: int = MINIMISER) -> DataFrame:
-    """__id, __tag, __spans: word spans of every document that are later occurrences; cut."""
+    """KEY, __spans: word spans of every document that are later occurrences; cut."""
     texts = docs.select(*row_key(docs, id_col, text_col))
     buckets = blobs.buckets_for(total_bytes(docs, text_col))
     judged = cut(judge_pieces(pieces(texts, buckets, window, k), buckets, window))
     branches = cut(spans.by_document(judged.where("kind = 1").drop("kind")))
     single = judge_edges(edges(texts, branches, buckets, window), buckets)
     found = cut(paths(judged.where("kind = 0").drop("kind").unionByName(single)))
-    return cut(spans.from_rows(verified(texts, found)))
+    return cut(spans.from_rows(verified(texts, found, window)))
 
 
 def keep(text: bytes, flat: np.ndarray) -> tuple[int, int, str, str]:
