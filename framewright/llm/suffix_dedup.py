@@ -8,17 +8,23 @@ their common lengths, which are then verified byte by byte.
 
 Sorting every suffix of a corpus is not needed. Every 200-byte window has a minimiser
 (its leftmost 40-byte gram of least hash), and equal windows have equal minimisers at
-equal places. Runs of windows with one minimiser whose whole content recurs are found
-by their hash alone. Where only part of a run recurs, its text is read again: the
-suffixes (rightwards) and reversed prefixes (leftwards) around equal minimisers of a
-batch are sorted, and windows at offset o are equal where the left parts share o bytes
-and the right parts 200 - o. Windows that the sort has not matched within their batch
-are matched across batches by 96 bits of their hashes, so that no minimiser, however
-common, gathers its texts in one task.
+equal places.
+
+1. Runs of windows with one minimiser are counted by it. A run whose minimiser is found
+   nowhere else is done; nothing else is decided here.
+2. The bytes of the other runs meet by their minimiser, as an anchor: first in the
+   mapper's batch, of which one run of each content goes on, then in the shuffle. In both
+   places the suffixes from the anchor on, and the reversed prefixes before it, are
+   sorted; windows at offset o are equal where their left parts share o bytes and their
+   right parts 200 - o. Every removal comes from these sorts.
+3. An anchor that more runs share than one task should sort is split before any bytes
+   are sent: the windows that reach far to the left take a longer anchor to the left, the
+   others one to the right, twice a level, until no anchor is that common or the anchor
+   is a whole window. So no string, however common, gathers its texts in one task.
 
 Defined results: a null text is empty; texts under 200 bytes lose nothing; matches
 never cross documents; repeated rows are copies like any others, so they lose what
-recurs; extra columns are not read.
+recurs; an empty table gives an empty one; extra columns are not read.
 """
 
 from __future__ import annotations
@@ -29,49 +35,51 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from framewright.llm import blobs, spans
 from framewright.llm.blobs import Columns
-from framewright.llm.common import chunks, cut, ints, join_checked, map_arrow, row_key, text_buffers, total_bytes
+from framewright.llm.common import KEY, KEY_SCHEMA, chunks, cut, join_checked, keys, map_arrow, row_key, text_buffers, total_bytes
 from framewright.llm.hashing import Prefixes, byte_values, mix, super_kmers
 
 WINDOW, GRAM = 200, 40
+#: Runs of one anchor that a task sorts; more common anchors are split.
+HOT = 8_000
+#: Split anchors that are sent to every task (8 bytes each). The next common one has at most (runs in all) / HOT_KEYS runs.
+HOT_KEYS = 4 << 20
+#: Text bytes whose runs are sorted together in a mapper, and run bytes sorted together in a reducer (or one anchor's).
+TEXT_BYTES, SORT_BYTES = 2 << 20, 2 << 20
 
-#: A run of windows: minimiser, content hash, document, first window, number of windows, minimiser's place; kind 0 single, 1 seen again in its batch, 2 a span to remove.
-RUN = {"=a": "<u8", "=v": "<u8", "id": "<i8", "tag": "<i4", "lo": "<i4", "n": "<i4", "at": "<i4", "kind": "u1"}
-#: The same where only a part may recur.
-PART = {"=a": "<u8", "id": "<i8", "tag": "<i4", "lo": "<i4", "n": "<i4", "at": "<i4"}
-#: A window of such a run (kinds 0 and 1 as above), or a span to remove (kind 2).
-WINDOW_OF = {"=a": "<u8", "=v": "<u4", "id": "<i8", "tag": "<i4", "lo": "<i4", "n": "<i4", "kind": "u1"}
-#: Runs whose suffixes are sorted together.
-RUNS_AT_ONCE = 6_000
+#: A run of windows by its minimiser a: document, first window, windows, the minimiser's place. kind 0: alone in its batch; 1: one of several (m contents); 2: a run to be sorted.
+RUN = {"=a": "<u8"} | spans.SPAN | {"at": "<i4", "m": "<i4", "kind": "u1"}
+#: The same, of one document.
+PART = {"=a": "<u8", "lo": "<i4", "n": "<i4", "at": "<i4"}
+#: A run with its bytes, by its anchor; kind 1: known to recur whole.
+PIECE = {"=a": "<u8"} | spans.SPAN | {"at": "<i4", "kind": "u1"}
 
 
 def bucket_of(a: np.ndarray, buckets: int) -> np.ndarray:
     return ((a >> np.uint64(24)) % np.uint64(buckets)).astype(np.int64)
 
 
-def id_bucket(ids: np.ndarray, buckets: int) -> np.ndarray:
-    return bucket_of(ids.view(np.uint64) * np.uint64(0x9E3779B97F4A7C15), buckets)
-
-
 def combine(parts: list[Columns], buckets: int) -> pa.RecordBatch:
-    """Runs whose content recurs within the batch become spans to remove, with one record of it sent on; so a hot run costs a record a batch."""
+    """Runs whose minimiser recurs within the batch will be sorted, whatever other batches hold; one record of each minimiser is sent on, so a hot one costs a record a batch."""
     c = blobs.concat(parts)
-    order, group = blobs.groups(c["a"], c["v"])
-    size = np.bincount(group)[group] if len(group) else group
-    first = np.diff(group, prepend=-1) != 0
-    again = np.zeros(len(order), bool)
-    again[order] = size > 1
-    sent = np.zeros(len(order), bool)
-    sent[order] = first
-    gone = blobs.take(c, again) | {"kind": np.full(int(again.sum()), 2, np.uint8)}
-    on = blobs.take(c, sent) | {"kind": again[sent].astype(np.uint8)}
-    bucket = np.concatenate((id_bucket(gone["id"], buckets), bucket_of(on["a"], buckets)))
-    gone["a"], gone["v"] = np.zeros_like(gone["a"]), np.zeros_like(gone["v"])
-    return blobs.batch_of(*blobs.scatter(blobs.concat([gone, on]), bucket, RUN))
+    order, group = blobs.groups(c["a"], c.pop("v"))
+    a = c["a"][order]
+    first = np.ones(len(a), bool)
+    first[1:] = a[1:] != a[:-1]
+    own = np.cumsum(first) - 1
+    size = np.bincount(own)
+    contents = np.bincount(own, np.diff(group, prepend=-1) != 0).astype(np.int32)
+    several = size[own] > 1
+    c = blobs.take(c, order) | {"m": contents[own], "kind": several.astype(np.uint8)}
+    sure = blobs.take(c, several) | {"kind": np.full(int(several.sum()), 2, np.uint8)}
+    on = blobs.take(c, first)
+    bucket = np.concatenate((spans.bucket_of(sure["id"], buckets), bucket_of(on["a"], buckets)))
+    return blobs.batch_of(*blobs.scatter(blobs.concat([sure, on]), bucket, RUN))
 
 
 def runs(texts: DataFrame, buckets: int, window: int, gram: int) -> DataFrame:
@@ -84,7 +92,7 @@ def runs(texts: DataFrame, buckets: int, window: int, gram: int) -> DataFrame:
             raw, offsets = text_buffers(batch.column("__text"))
             found = super_kmers(byte_values(raw), offsets, window, gram)
             doc = found.pop("doc")
-            held.append(found | {"id": ints(batch.column("__id"))[doc], "tag": ints(batch.column("__tag"), np.int32)[doc]})
+            held.append(found | blobs.take(keys(batch), doc))
             size += len(doc)
             if size >= blobs.GATHER:
                 yield combine(held, buckets)
@@ -95,96 +103,107 @@ def runs(texts: DataFrame, buckets: int, window: int, gram: int) -> DataFrame:
     return map_arrow(texts, run, "bucket long, blob binary")
 
 
-def judge_runs(packed: DataFrame, buckets: int, window: int) -> DataFrame:
-    """kind 0: spans to remove, packed by document; kind 1: runs of which only a part may recur, packed by document."""
+def judge_runs(packed: DataFrame, buckets: int) -> DataFrame:
+    """kind 1: the runs whose minimiser is found elsewhere too, packed by document; kind 2: a minimiser (bucket) of more than HOT contents and their number (n)."""
 
     def run(pdf: pd.DataFrame) -> pd.DataFrame:
         c = blobs.unpack(pdf["blob"], RUN)
         live = blobs.take(c, c["kind"] < 2)
-        order, group = blobs.groups(live["a"], live["v"])
+        order, own = blobs.groups(live["a"])
         live = blobs.take(live, order)
-        count = np.bincount(group, 1 + live["kind"].astype(np.int64)) if len(order) else np.empty(0)
-        whole = count[group] > 1 if len(order) else np.empty(0, bool)
-        first = np.diff(group, prepend=-1) != 0
-        # contents of a minimiser, and whether any is found only once
-        _, own = blobs.groups(live["a"])
-        contents = np.bincount(own, first) if len(own) else np.empty(0)
-        single = np.bincount(own, ~whole) if len(own) else np.empty(0)
-        part = first & (contents[own] > 1) & (single[own] > 0) if len(own) else first
-        gone = blobs.concat([blobs.take(c, c["kind"] == 2), blobs.take(live, whole & (live["kind"] == 0))])
-        gone["n"] = gone["n"] + np.int32(window - 1)
-        numbers, rows = spans.spread(gone, buckets)
-        more, more_rows = spans.spread(blobs.take(live, part), buckets, PART)
-        return pd.DataFrame({"bucket": numbers + more, "kind": [0] * len(numbers) + [1] * len(more), "blob": rows + more_rows})
-
-    return packed.groupBy("bucket").applyInPandas(run, "bucket long, kind int, blob binary")
-
-
-def parts_by_document(packed: DataFrame) -> DataFrame:
-    """One row per document: __id, __tag, __parts (its PART records, packed)."""
+        many = np.bincount(own)[own] > 1 if len(own) else np.empty(0, bool)
+        total = np.bincount(own, live["m"]).astype(np.int64)
+        hot = np.flatnonzero(total > HOT)
+        again = blobs.concat([blobs.take(c, c["kind"] == 2), blobs.take(live, many & (live["kind"] == 0))])
+        numbers, rows = spans.spread(again, buckets, spans.SPAN | PART)
+        names = live["a"][np.searchsorted(own, hot)].view(np.int64)
+        return pd.DataFrame({"bucket": numbers + names.tolist(), "kind": [1] * len(numbers) + [2] * len(hot), "n": [0] * len(numbers) + total[hot].tolist(), "blob": rows + [None] * len(hot)})
 
-    def run(pdf: pd.DataFrame) -> pd.DataFrame:
-        c = blobs.unpack(pdf["blob"], PART)
-        order, group = blobs.groups(c["id"], c["tag"])
-        c = blobs.take(c, order)
-        cuts = np.append(np.flatnonzero(np.diff(group, prepend=-1)), len(group))
-        rows = [blobs.pack({k: x[a:b] for k, x in c.items()}, PART) for a, b in zip(cuts, cuts[1:])]
-        return pd.DataFrame({"__id": c["id"][cuts[:-1]], "__tag": c["tag"][cuts[:-1]], "__parts": rows})
+    return packed.groupBy("bucket").applyInPandas(run, "bucket long, kind int, n long, blob binary")
 
-    return packed.groupBy("bucket").applyInPandas(run, "__id long, __tag int, __parts binary")
 
+def most_common(found: DataFrame) -> np.ndarray:
+    """The anchors of rows bucket, n: all of them, or the HOT_KEYS most common ones; sorted."""
+    rows = found.orderBy(F.col("n").desc(), "bucket").limit(HOT_KEYS).select("bucket").toPandas()
+    return np.sort(rows["bucket"].to_numpy(np.int64).view(np.uint64))
 
-def part_windows(texts: DataFrame, parts: DataFrame, buckets: int, window: int) -> DataFrame:
-    """bucket, blob of WINDOW_OF records: the windows of the given runs.
 
-    The suffix sort decides those that recur among the runs of its batch; they become
-    spans, and one window of each content is sent on, so a hot passage costs a record a
-    batch. The others are sent on by their hash.
-    """
-    rows = join_checked(texts, parts, ["__id", "__tag"], F.length("__parts") + 32, "inner")
+def parts_by_document(packed: DataFrame, hot: np.ndarray) -> DataFrame:
+    """One row per document: KEY, __parts (its PART records, packed), __hot (whether one of them is split)."""
 
-    def flush(held: list[Columns], bodies: list[bytes]) -> pa.RecordBatch:
-        c = blobs.concat(held)
-        body = np.frombuffer(b"".join(bodies), np.uint8)
-        n = c["n"].astype(np.int64)
-        size = n + window - 1
-        begin = np.cumsum(size) - size
-        record = np.repeat(np.arange(len(n)), n)
-        number = np.arange(len(record)) - np.repeat(np.cumsum(n) - n, n)
-        place = begin[record] + number
-        found_record, found_number = shared_windows(c, body, window)
-        again = np.zeros(len(record), bool)
-        again[(np.cumsum(n) - n)[found_record] + found_number] = True
-        values = byte_values(body)
-        a = mix(Prefixes(values).ranges(place, place + window))
-        v = (mix(Prefixes(values, 1).ranges(place, place + window)) >> np.uint64(32)).astype(np.uint32)
-        one = np.zeros(len(record), bool)
-        one[np.flatnonzero(again)[np.unique(a[again], return_index=True)[1]]] = True
-        out = {"a": a, "v": v, "id": c["id"][record], "tag": c["tag"][record], "lo": (c["lo"][record] + number).astype(np.int32)}
-        on = blobs.take(out, ~again | one) | {"n": np.full(int((~again | one).sum()), window, np.int32), "kind": again[~again | one].astype(np.uint8)}
-        gone = joined_windows(blobs.take(out, again), window)
-        zero = np.zeros(len(gone["id"]))
-        gone |= {"a": zero.astype(np.uint64), "v": zero.astype(np.uint32), "kind": np.full(len(zero), 2, np.uint8)}
-        bucket = np.concatenate((id_bucket(gone["id"], buckets), bucket_of(on["a"], buckets)))
-        return blobs.batch_of(*blobs.scatter(blobs.concat([gone, on]), bucket, WINDOW_OF))
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: list[Columns] = []
-        bodies: list[bytes] = []
-        for batch in batches:
-            for text, blob in zip(batch.column("__text").cast(pa.large_binary()), batch.column("__parts").to_pylist()):
-                text, c = text.as_py(), blobs.unpack([blob], PART)
-                for at in range(0, len(c["a"]), RUNS_AT_ONCE):
-                    own = {k: x[at : at + RUNS_AT_ONCE] for k, x in c.items()}
-                    held.append(own)
-                    bodies += [text[lo : lo + n + window - 1] for lo, n in zip(own["lo"].tolist(), own["n"].tolist())]
-                    if len(bodies) >= RUNS_AT_ONCE:
-                        yield flush(held, bodies)
-                        held, bodies = [], []
-        if bodies:
-            yield flush(held, bodies)
-
-    return map_arrow(rows, run, "bucket long, blob binary")
+    def run(pdf: pd.DataFrame) -> pd.DataFrame:
+        c = blobs.unpack(pdf["blob"], spans.SPAN | PART)
+        order, group = blobs.groups(*blobs.owner(c), c["lo"])
+        c = blobs.take(c, order[np.diff(group, prepend=-1) != 0])  # repeated rows
+        _, own = blobs.groups(*blobs.owner(c))
+        cuts = np.append(np.flatnonzero(np.diff(own, prepend=-1)), len(own))
+        split = np.isin(c["a"], hot)
+        rows = [blobs.pack({k: c[k][a:b] for k in ("a", "lo", "n", "at")}, PART) for a, b in zip(cuts, cuts[1:])]
+        return pd.DataFrame({f"__{k}": c[k][cuts[:-1]] for k in blobs.OWNER} | {"__parts": rows, "__hot": [bool(split[a:b].any()) for a, b in zip(cuts, cuts[1:])]})
+
+    return packed.groupBy("bucket").applyInPandas(run, f"{KEY_SCHEMA}, __parts binary, __hot boolean")
+
+
+def halves(c: Columns, window: int) -> Columns:
+    """Runs (start, n, and the anchor from s to e in the same coordinates) by longer anchors: windows that reach at least half of the rest to the left of their anchor, and the others."""
+    free = window - (c["e"] - c["s"])
+    half = (free + 1) // 2
+    most, least = c["s"] - c["start"], c["s"] - c["start"] - c["n"] + 1
+    whole, far, near = free <= 0, np.maximum(half, least), np.minimum(half - 1, most)
+    left = c | {"n": np.where(whole, c["n"], most - far + 1), "s": np.where(whole, c["s"], c["s"] - half)}
+    right = c | {"start": c["s"] - near, "n": near - least + 1, "e": c["e"] + free - half + 1}
+    return blobs.concat([blobs.take(left, left["n"] > 0), blobs.take(right, ~whole & (right["n"] > 0))])
+
+
+def split(c: Columns, sums: Prefixes, hots: list[np.ndarray], window: int) -> tuple[Columns, np.ndarray]:
+    """The runs with every hot anchor split, level by level; and the level of each."""
+    done, levels = [], []
+    for level, hot in enumerate(hots):
+        again = np.isin(c["a"], hot)
+        done.append(blobs.take(c, ~again))
+        levels.append(np.full(int((~again).sum()), level))
+        c = halves(halves(blobs.take(c, again), window), window)
+        c["a"] = mix(sums.ranges(c["s"], c["e"]) + np.uint64(level + 1))
+    done.append(c)
+    levels.append(np.full(len(c["a"]), len(hots)))
+    return blobs.concat(done), np.concatenate(levels)
+
+
+def pieces_of(batch: pa.RecordBatch, hots: list[np.ndarray], window: int, gram: int) -> tuple[Columns, np.ndarray, np.ndarray, np.ndarray]:
+    """The runs of a batch of texts with __parts (doc: number in the batch; start, s, e: places in its bytes), their levels, the bytes and the texts' offsets."""
+    raw, offsets = text_buffers(batch.column("__text"))
+    found = [blobs.unpack([x], PART) for x in batch.column("__parts").to_pylist()]
+    doc = np.repeat(np.arange(len(found)), [len(f["a"]) for f in found])
+    c = blobs.concat(found)
+    start = offsets[doc] + c["lo"]
+    c = {"a": c["a"], "doc": doc, "start": start, "n": c["n"].astype(np.int64), "s": start + c["at"], "e": start + c["at"] + gram}
+    c, level = split(c, Prefixes(byte_values(raw)), hots, window) if hots else (c, np.zeros(len(doc), np.int64))
+    return c, level, raw, offsets
+
+
+def common_anchors(texts: DataFrame, parts: DataFrame, hots: list[np.ndarray], buckets: int, window: int, gram: int) -> DataFrame:
+    """bucket (the anchor), n of the anchors of the last split that more than HOT contents share; counted, no bytes are sent."""
+    rows = join_checked(texts, parts.where("__hot").drop("__hot"), KEY, F.length("__parts") + 40, "inner")
+    fields = {"=a": "<u8", "m": "<i4"}
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in chunks(batches, most=TEXT_BYTES):
+            c, level, raw, _ = pieces_of(batch, hots, window, gram)
+            c = blobs.take(c, level == len(hots))
+            v = Prefixes(byte_values(raw), 1).ranges(c["start"], c["start"] + c["n"] + window - 1)
+            order, group = blobs.groups(c["a"], v, c["n"])
+            a = c["a"][order][np.diff(group, prepend=-1) != 0]
+            a, m = np.unique(a, return_counts=True)
+            if len(a):
+                yield blobs.batch_of(*blobs.scatter({"a": a, "m": m.astype(np.int32)}, bucket_of(a, buckets), fields))
+
+    def add(pdf: pd.DataFrame) -> pd.DataFrame:
+        c = blobs.unpack(pdf["blob"], fields)
+        a, own = np.unique(c["a"], return_inverse=True)
+        total = np.bincount(own, c["m"]).astype(np.int64)
+        return pd.DataFrame({"bucket": a[total > HOT].view(np.int64), "n": total[total > HOT]})
+
+    return map_arrow(rows, count, "bucket long, blob binary").groupBy("bucket").applyInPandas(add, "bucket long, n long")
 
 
 class Suffixes:
@@ -241,87 +260,193 @@ class Suffixes:
             width *= 2
         return order
 
-    def neighbours(self, order: np.ndarray, group: np.ndarray) -> np.ndarray:
-        """Common length of each ordered piece with the one before it in its group (0 at a group's start), verified on the bytes."""
+    def neighbours(self, order: np.ndarray, group: np.ndarray) -> tuple[np.ndarray, bool]:
+        """Common length of each ordered piece with the one before it in its group (0 at a group's start), verified on the bytes; and whether a hash collided."""
         out = np.zeros(len(order), np.int64)
         inner = np.flatnonzero(np.diff(group, prepend=-1) == 0)
         n = self.common(order[inner], order[inner - 1])
         a, b = self.start[order[inner]], self.start[order[inner - 1]]
-        total = np.cumsum(n)
+        total, bad = np.cumsum(n), []
         if len(total) and total[-1]:
             shift = np.arange(total[-1]) - np.repeat(total - n, n)
             wrong = self.raw[np.repeat(a, n) + shift] != self.raw[np.repeat(b, n) + shift]
             bad = np.unique(np.repeat(np.arange(len(n)), n)[wrong])
-            for x in bad:  # a hash collision: the true common length
+            for x in bad:  # the true common length
                 n[x] = int(np.argmax(self.raw[a[x] : a[x] + n[x]] != self.raw[b[x] : b[x] + n[x]]))
         out[inner] = n
-        return out
+        return out, len(bad) > 0
+
+    def ordered(self, group: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The sorted piece numbers and their neighbours' common lengths. After a collision the pieces are sorted again by their bytes."""
+        order = self.sort(group)
+        near, collided = self.neighbours(order, group)
+        if collided:
+            body = self.raw.tobytes()
+            order = np.array(sorted(range(len(order)), key=lambda k: (group[k], body[self.start[k] : self.start[k] + self.length[k]], k)))
+            near, _ = self.neighbours(order, group)
+        return order, near
 
 
-def shared_windows(c: Columns, body: np.ndarray, window: int) -> tuple[np.ndarray, np.ndarray]:
-    """(record, window) numbers of the windows that recur among records of the same minimiser. Records hold n + window - 1 bytes of body each, in order."""
-    order, group = blobs.groups(c["a"])
-    size = (c["n"] + window - 1).astype(np.int64)
-    begin = (np.cumsum(size) - size)[order]
-    n, at, size = c["n"][order].astype(np.int64), c["at"][order].astype(np.int64), size[order]
+def shared_windows(a: np.ndarray, begin: np.ndarray, n: np.ndarray, at: np.ndarray, body: np.ndarray, window: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """What recurs among runs that share an anchor: whether a run recurs whole, whether it is the first of its content, and (run, window) numbers of windows that recur in other contents.
+
+    Runs hold n + window - 1 bytes of body from begin on, with their anchor at `at`.
+    """
+    line, group = blobs.groups(a)
+    begin, n, at, size = begin[line], n[line], at[line], n[line] + window - 1
     right = Suffixes(body, begin + at, size - at)
-    back = body[::-1].copy()
-    left = Suffixes(back, len(body) - (begin + at), at)
-    by_right, by_left = right.sort(group), left.sort(group)
-    far, near = right.neighbours(by_right, group), left.neighbours(by_left, group)
-    where, what = [], []
-    new = np.diff(group, prepend=-1) != 0
-    right_class, left_class = np.empty(len(order), np.int64), np.empty(len(order), np.int64)
-    for o in range(int(at.max()) + 1 if len(at) else 0):
-        # pieces of one class share `o` bytes to the left and the rest of the window to the right
-        right_class[by_right] = np.cumsum(new | (far < window - o))
-        left_class[by_left] = np.cumsum(new | (near < o))
-        own = np.flatnonzero((o <= at) & (at - o < n))
-        key = right_class[own] * (len(order) + 1) + left_class[own]
-        sorted_ = np.argsort(key, kind="stable")
-        same = np.diff(key[sorted_]) == 0
-        again = np.zeros(len(own), bool)
-        again[sorted_[1:][same]] = again[sorted_[:-1][same]] = True
-        where.append(order[own[again]])
-        what.append((at[own] - o)[again])
-    return (np.concatenate(where), np.concatenate(what)) if where else (np.empty(0, np.int64),) * 2
-
-
-def joined_windows(found: Columns, window: int) -> Columns:
-    """Spans (id, tag, lo, n) of windows, successive and overlapping ones of a document made one."""
-    found = blobs.take(found, np.lexsort((found["lo"], found["tag"], found["id"])))
-    new = np.ones(len(found["lo"]), bool)
-    new[1:] = (np.diff(found["id"]) != 0) | (np.diff(found["tag"]) != 0) | (np.diff(found["lo"]) > window)
+    left = Suffixes(body[::-1].copy(), len(body) - (begin + at), at)
+    by_right, far = right.ordered(group)
+    by_left, near = left.ordered(group)
+
+    def classes(order: np.ndarray, common: np.ndarray, least: np.ndarray) -> np.ndarray:
+        """Class numbers of pieces whose neighbours share `least` bytes."""
+        out = np.empty(len(order), np.int64)
+        out[order] = np.cumsum((np.diff(group[order], prepend=-1) != 0) | (common < least))
+        return out
+
+    def longest(order: np.ndarray, length: np.ndarray) -> np.ndarray:
+        own = length[order]
+        return np.maximum(own, np.append(own[:1], own[:-1]))
+
+    same, content = blobs.groups(classes(by_right, far, longest(by_right, right.length)), classes(by_left, near, longest(by_left, left.length)))
+    whole, first = np.zeros(len(line), bool), np.zeros(len(line), bool)
+    if len(line):
+        whole[same] = np.bincount(content)[content] > 1
+        first[same] = np.diff(content, prepend=-1) != 0
+    # partial matches: one run of each content, in groups of several contents
+    several = first & (np.bincount(group, first)[group] > 1) if len(group) else first
+    where, what = [np.empty(0, np.int64)], [np.empty(0, np.int64)]
+    if several.any():
+        kept_right, kept_left = by_right[several[by_right]], by_left[several[by_left]]
+        (far, _), (near, _) = right.neighbours(kept_right, group[kept_right]), left.neighbours(kept_left, group[kept_left])
+        most_right, most_left = np.zeros(len(line), np.int64), np.zeros(len(line), np.int64)
+        most_right[kept_right] = np.maximum(far, np.append(far[1:], 0))
+        most_left[kept_left] = np.maximum(near, np.append(near[1:], 0))
+        open_ = np.flatnonzero(several & (most_right + most_left >= window))
+        edge_right, edge_left = np.diff(group[kept_right], prepend=-1) != 0, np.diff(group[kept_left], prepend=-1) != 0
+        right_class, left_class = np.empty(len(line), np.int64), np.empty(len(line), np.int64)
+        lowest = int((window - most_right[open_]).min()) if len(open_) else 1
+        for o in range(max(0, lowest), int(most_left[open_].max()) + 1 if len(open_) else 0):
+            # pieces of one class share `o` bytes to the left and the rest of the window to the right
+            own = open_[(o <= most_left[open_]) & (window - o <= most_right[open_]) & (o <= at[open_]) & (at[open_] - o < n[open_])]
+            if not len(own):
+                continue
+            right_class[kept_right] = np.cumsum(edge_right | (far < window - o))
+            left_class[kept_left] = np.cumsum(edge_left | (near < o))
+            key = right_class[own] * (len(line) + 1) + left_class[own]
+            sorted_ = np.argsort(key, kind="stable")
+            equal = np.diff(key[sorted_]) == 0
+            again = np.zeros(len(own), bool)
+            again[sorted_[1:][equal]] = again[sorted_[:-1][equal]] = True
+            where.append(line[own[again]])
+            what.append((at[own] - o)[again])
+    out_whole, out_first = np.empty_like(whole), np.empty_like(first)
+    out_whole[line], out_first[line] = whole, first
+    return out_whole, out_first, np.concatenate(where), np.concatenate(what)
+
+
+def removed(c: Columns, whole: np.ndarray, number: np.ndarray, at: np.ndarray, window: int) -> Columns:
+    """Spans to remove: runs that recur whole, and single windows (run number, window number), successive ones made one."""
+    lo = np.concatenate((c["lo"][whole], c["lo"][number] + at)).astype(np.int64)
+    n = np.concatenate((c["n"][whole] + window - 1, np.full(len(number), window))).astype(np.int64)
+    own = {k: np.concatenate((c[k][whole], c[k][number])) for k in blobs.OWNER}
+    order, _ = blobs.groups(*own.values(), lo)
+    own, lo, n = blobs.take(own, order), lo[order], n[order]
+    _, group = blobs.groups(*own.values())
+    base = group.astype(np.int64) << 33  # keeps documents apart while ends are accumulated
+    high = np.maximum.accumulate(base + lo + n) if len(lo) else lo
+    new = np.ones(len(lo), bool)
+    new[1:] = (base + lo)[1:] > high[:-1]
     cuts = np.flatnonzero(new)
-    last = np.append(cuts[1:], len(new)) - 1 if len(cuts) else cuts
-    n = found["lo"][last] - found["lo"][cuts] + window
-    return {"id": found["id"][cuts], "tag": found["tag"][cuts], "lo": found["lo"][cuts], "n": n.astype(np.int32)}
+    ends = high[np.append(cuts[1:], len(lo)) - 1] if len(cuts) else high
+    return blobs.take(own, cuts) | {"lo": lo[cuts].astype(np.int32), "n": (ends - (base + lo)[cuts]).astype(np.int32)}
+
+
+def bytes_of(body: np.ndarray, begin: np.ndarray, size: np.ndarray) -> np.ndarray:
+    """The bytes of all ranges, one after another."""
+    total = np.cumsum(size)
+    return body[np.repeat(begin - (total - size), size) + np.arange(total[-1] if len(total) else 0)]
+
 
+def packed_pieces(c: Columns, body: np.ndarray, begin: np.ndarray, buckets: int, window: int) -> tuple[list[int], list[bytes]]:
+    """PIECE records by bucket, each blob with the bytes of its runs behind them."""
+    bucket = bucket_of(c["a"], buckets)
+    order = np.lexsort((c["a"], bucket))
+    cuts = np.append(np.flatnonzero(np.diff(bucket[order], prepend=-1)), len(order))
+    rows = []
+    for x, y in zip(cuts, cuts[1:]):
+        own = order[x:y]
+        head = blobs.pack(blobs.take(c, own), PIECE)
+        rows.append(len(head).to_bytes(4, "little") + head + zstandard.compress(bytes_of(body, begin[own], c["n"][own].astype(np.int64) + window - 1).tobytes(), 3))
+    return [int(bucket[order[x]]) for x in cuts[:-1]], rows
+
+
+def sorted_in_batch(texts: DataFrame, parts: DataFrame, hots: list[np.ndarray], buckets: int, window: int, gram: int) -> DataFrame:
+    """kind 0: spans to remove, by document; kind 1: one run of each content of the batch with its bytes, by anchor."""
+    rows = join_checked(texts, parts.drop("__hot"), KEY, F.length("__parts") + 40, "inner")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in chunks(batches, most=TEXT_BYTES):
+            c, _, raw, offsets = pieces_of(batch, hots, window, gram)
+            whole, first, number, at = shared_windows(c["a"], c["start"], c["n"], c["s"] - c["start"], raw, window)
+            start, lo = c["start"], (c["start"] - offsets[c["doc"]]).astype(np.int32)
+            c = {"a": c["a"], **blobs.take(keys(batch), c["doc"]), "lo": lo, "n": c["n"].astype(np.int32), "at": (c["s"] - start).astype(np.int32), "kind": whole.astype(np.uint8)}
+            gone, gone_rows = spans.spread(removed(c, whole, number, at, window), buckets)
+            on, on_rows = packed_pieces(blobs.take(c, first), raw, start[first], buckets, window)
+            columns = [pa.array(gone + on, pa.int64()), pa.array([0] * len(gone) + [1] * len(on), pa.int32()), pa.array(gone_rows + on_rows, pa.binary())]
+            yield pa.RecordBatch.from_arrays(columns, names=["bucket", "kind", "blob"])
+
+    return map_arrow(rows, run, "bucket long, kind int, blob binary")
+
+
+def sorted_in_bucket(packed: DataFrame, buckets: int, window: int) -> DataFrame:
+    """Spans to remove, by document, of the runs that batches sent on. A slice of whole anchors is sorted at a time."""
 
-def judge_windows(packed: DataFrame, buckets: int, window: int) -> DataFrame:
     def run(pdf: pd.DataFrame) -> pd.DataFrame:
-        c = blobs.unpack(pdf["blob"], WINDOW_OF)
-        live = blobs.take(c, c["kind"] < 2)
-        order, group = blobs.groups(live["a"], live["v"])
-        again = np.zeros(len(order), bool)
-        if len(order):
-            again[order] = np.bincount(group, 1 + live["kind"][order].astype(np.int64))[group] > 1
-        spans_ = blobs.take(c, c["kind"] == 2)
-        found = joined_windows(blobs.take(live, again & (live["kind"] == 0)), window)
-        numbers, rows = spans.spread(blobs.concat([found, {k: spans_[k] for k in found}]), buckets)
+        held, bodies = [], []
+        for blob in pdf["blob"]:
+            end = 4 + int.from_bytes(blob[:4], "little")
+            held.append(blobs.unpack([blob[4:end]], PIECE))
+            bodies.append(zstandard.decompress(blob[end:]))
+        c, body = blobs.concat(held), np.frombuffer(b"".join(bodies), np.uint8)
+        del held, bodies
+        size = c["n"].astype(np.int64) + window - 1
+        begin = np.cumsum(size) - size
+        order, group = blobs.groups(c["a"])
+        # anchors of a single run have nothing to be compared with
+        order = order[np.bincount(group)[group] > 1]
+        first = np.append(True, np.diff(c["a"][order].view(np.int64)) != 0)[: len(order)]
+        total = np.cumsum(size[order])
+        edges, out, x = np.append(np.flatnonzero(first), len(order)), [], 0
+        while x < len(order):
+            y = max(int(edges[np.searchsorted(edges, np.searchsorted(total, total[x] - size[order[x]] + SORT_BYTES), "right") - 1]), int(edges[np.searchsorted(edges, x, "right")]))
+            own = order[x:y]
+            part, n = blobs.take(c, own), size[own]
+            whole, _, number, at = shared_windows(part["a"], np.cumsum(n) - n, part["n"].astype(np.int64), part["at"].astype(np.int64), bytes_of(body, begin[own], n), window)
+            open_ = part["kind"] == 0
+            out.append(removed(part, whole & open_, number[open_[number]], at[open_[number]], window))
+            x = y
+        numbers, rows = spans.spread(blobs.concat(out), buckets) if out else ([], [])
         return pd.DataFrame({"bucket": numbers, "blob": rows})
 
     return packed.groupBy("bucket").applyInPandas(run, "bucket long, blob binary")
 
 
 def repeated(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", window: int = WINDOW, gram: int = GRAM) -> DataFrame:
-    """__id, __tag, __spans: byte spans of every document that recur anywhere; cut."""
+    """KEY, __spans: byte spans of every document that recur anywhere; cut."""
     texts = docs.select(*row_key(docs, id_col, text_col))
     buckets = blobs.buckets_for(total_bytes(docs, text_col))
-    judged = cut(judge_runs(runs(texts, buckets, window, gram), buckets, window))
-    parts = cut(parts_by_document(judged.where("kind = 1").drop("kind")))
-    single = judge_windows(part_windows(texts, parts, buckets, window), buckets, window)
-    return cut(spans.by_document(judged.where("kind = 0").drop("kind").unionByName(single)))
+    judged = cut(judge_runs(runs(texts, buckets, window, gram), buckets))
+    hots = [most_common(judged.where("kind = 2"))]
+    parts = cut(parts_by_document(judged.where("kind = 1").select("bucket", "blob"), hots[0]))
+    free = window - gram
+    while len(hots[-1]) and free > 0:
+        free = free // 2 // 2  # the larger rest after two splits
+        hots.append(most_common(cut(common_anchors(texts, parts, hots, buckets, window, gram))) if free > 0 else np.empty(0, np.uint64))
+    found = cut(sorted_in_batch(texts, parts, hots if len(hots[0]) else [], buckets, window, gram))
+    across = sorted_in_bucket(found.where("kind = 1").drop("kind"), buckets, window)
+    return cut(spans.by_document(found.where("kind = 0").drop("kind").unionByName(across)))
 
 
 def keep(text: bytes, flat: np.ndarray) -> tuple[int, int, int, bytes]:

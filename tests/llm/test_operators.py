@@ -340,14 +340,61 @@ def test_suffix_dedup(spark, odd_docs, odd_rows, no_docs):
     assert suffix_dedup.digests(no_docs).count() == 0
 
 
+def chopped(n=12, seed=8, letters="abcd"):
+    rng = random.Random(seed)
+    base = "".join(rng.choice(letters) for _ in range(1200))
+    return [(i, base[rng.randrange(600) : rng.randrange(600, 1200)]) for i in range(n)]
+
+
+SPANNED = ("doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256")
+
+
 def test_suffix_dedup_over_batches(spark, monkeypatch):
-    monkeypatch.setattr(suffix_dedup, "RUNS_AT_ONCE", 2)
+    monkeypatch.setattr(suffix_dedup, "TEXT_BYTES", 700)
+    monkeypatch.setattr(suffix_dedup, "SORT_BYTES", 900)
     monkeypatch.setattr(suffix_dedup.blobs, "GATHER", 3)
-    rng = random.Random(8)
-    base = "".join(rng.choice("abcd") for _ in range(1200))
-    rows = [(i, base[rng.randrange(600) : rng.randrange(600, 1200)]) for i in range(12)]
+    rows = chopped()
     got = suffix_dedup.digests(spark.createDataFrame(rows, "doc_id long, text string").repartition(3))
-    assert rows_of(got, "doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256") == by_text(brute.suffix_dedup(rows))
+    assert rows_of(got, *SPANNED) == by_text(brute.suffix_dedup(rows))
+
+
+@pytest.mark.parametrize("hot", [0, 1, 4])
+def test_common_anchors_are_split(spark, monkeypatch, hot):
+    """Strings of 50 to 198 bytes in many contexts, some of whose windows recur."""
+    monkeypatch.setattr(suffix_dedup, "HOT", hot)
+    monkeypatch.setattr(suffix_dedup, "TEXT_BYTES", 2000)
+    rng = random.Random(9)
+    noise = lambda n: "".join(rng.choice("abcdefgh") for _ in range(n))
+    common = [noise(n) for n in (50, 120, 165, 182, 191, 196, 198, 199, 200)]
+    rows = [(i, noise(rng.randrange(150)) + common[i % 9] + noise(rng.randrange(150))) for i in range(80)]
+    rows += [(100 + i, rows[7 * i][1][rng.randrange(30) :] + noise(9)) for i in range(10)]
+    got = suffix_dedup.digests(spark.createDataFrame(rows, "doc_id long, text string").repartition(3))
+    assert rows_of(got, *SPANNED) == by_text(brute.suffix_dedup(rows))
+
+
+def test_every_removal_comes_from_the_sort(monkeypatch):
+    raw = np.frombuffer(b"ab" * 400, np.uint8)
+    run = lambda: suffix_dedup.shared_windows(np.array([1, 1], np.uint64), np.array([0, 400]), np.array([10, 10]), np.array([5, 5]), raw, 200)
+    assert run()[0].all()
+    monkeypatch.setattr(suffix_dedup.Suffixes, "neighbours", lambda self, order, group: (np.zeros(len(group), np.int64), False))
+    whole, _, number, at = run()
+    assert not whole.any() and not len(number) and not len(at)
+
+
+def test_suffix_sort_survives_hash_collisions(monkeypatch):
+    """Two bytes with one hash value: lengths are those of the bytes."""
+    values = suffix_dedup.byte_values(np.arange(256, dtype=np.uint8))
+    values[ord("b")] = values[ord("a")]
+    monkeypatch.setattr(suffix_dedup, "byte_values", lambda raw: values[raw])
+    rng = random.Random(3)
+    pieces = ["".join(rng.choice("abc") for _ in range(rng.randrange(1, 12))) for _ in range(60)]
+    raw, size = np.frombuffer("".join(pieces).encode(), np.uint8), np.array([len(p) for p in pieces])
+    s = suffix_dedup.Suffixes(raw, np.cumsum(size) - size, size)
+    order, near = s.ordered(np.zeros(len(pieces), np.int64))
+    assert [pieces[k] for k in order] == sorted(pieces)
+    for k in range(1, len(order)):
+        a, b = pieces[order[k - 1]], pieces[order[k]]
+        assert near[k] == next((i for i, (x, y) in enumerate(zip(a, b)) if x != y), min(len(a), len(b)))
 
 
 @settings(max_examples=60, deadline=None, suppress_health_check=[HealthCheck.too_slow])
@@ -360,7 +407,8 @@ def test_suffix_sort(pieces, groups):
     order = s.sort(group)
     want = sorted(range(len(pieces)), key=lambda k: (group[k], pieces[k], k))
     assert order.tolist() == want
-    near = s.neighbours(order, group)
+    near, collided = s.neighbours(order, group)
+    assert not collided
     for k in range(1, len(order)):
         a, b = pieces[order[k - 1]], pieces[order[k]]
         same = next((i for i, (x, y) in enumerate(zip(a, b)) if x != y), min(len(a), len(b)))
@@ -418,14 +466,16 @@ def test_shards_hold_every_sequence(spark, odd_docs, odd_rows, no_docs, tmp_path
     got = {r.shard: r for r in token_shards.write(odd_docs, PATH, folder, length=16, shard=100).collect()}
     coder = bpe.load(PATH)
     want = []
-    for i, t in sorted(set(odd_rows), key=lambda r: brute.order(r[0])):
+    distinct = {(i, t or "") for i, t in odd_rows}
+    hashed = {r.text: (r.a, r.b) for r in spark.createDataFrame(sorted({(t,) for _, t in distinct}), "text string").select("text", F.xxhash64("text").alias("a"), F.hash("text").alias("b")).collect()}
+    for i, t in sorted(distinct, key=lambda r: (brute.order(r[0]), hashed[r[1]])):
         ids = np.frombuffer(coder.encode(t or ""), "<u4").tolist() + [token_shards.END]
         ids += [token_shards.END] * (-len(ids) % 16)
         want += [tuple(ids[k : k + 16]) for k in range(0, len(ids), 16)]
-    # a null text and an empty one are the same text of the null id
     total = sum(r.n_sequences for r in got.values())
     read = [tuple(x.tolist()) for x in token_shards.read(folder, 0, 10**9, 16, 100)]
-    assert len(read) == total and Counter(read) == Counter(want)
+    slots = token_shards.permute(np.arange(total), total).tolist()
+    assert len(read) == total == len(want) and [read[s] for s in slots] == want
     for k, r in got.items():
         data = (tmp_path / "shards" / token_shards.shard_name(k)).read_bytes()
         assert (len(data), hashlib.sha256(data).hexdigest(), r.first_slot) == (r.n_bytes, r.sha256, k * 100) and r.n_bytes == r.n_sequences * 32
