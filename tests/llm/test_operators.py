@@ -103,16 +103,26 @@ def test_decontamination(spark, odd_docs, odd_rows, no_docs):
 
 def test_spans_lie_in_the_original():
     text = "Ä say: S3,\ts4 -- s5! s3"
-    built = decontam.automaton(decontam.window_patterns([("x", "s3 s4 s5")]))
-    n, runs, found = decontam.scan(built, text)
+    n, runs, found = decontam.Benchmark([("x", "s3 s4 s5")]).scan([text])[0]
     a, b = decontam.original_spans(text, runs)
     assert (n, runs, found) == (6, [(2, 5)], {0}) and text.encode()[a:b].decode() == "S3,\ts4 -- s5"
 
 
-def test_large_benchmark_is_refused(spark, odd_docs, monkeypatch):
-    monkeypatch.setattr(decontam, "PATTERN_LIMIT", 10)
-    with pytest.raises(ValueError, match="in parts"):
-        decontam.find(odd_docs, spark.createDataFrame(ITEMS, "item_id long, text string"))
+@pytest.mark.parametrize(("pass_bytes", "held"), [(1 << 20, 100), (150, 1 << 20)])
+def test_large_benchmarks_go_in_parts_and_passes(spark, odd_docs, odd_rows, no_docs, monkeypatch, pass_bytes, held):
+    monkeypatch.setattr(decontam, "PART_WINDOWS", 7)
+    monkeypatch.setattr(decontam, "PASS_BYTES", pass_bytes)
+    monkeypatch.setattr(decontam, "HELD_BYTES", held)
+    rng = random.Random(11)
+    items = [*ITEMS, *((100 + i, " ".join(rng.choice("ab") for _ in range(rng.randrange(3, 30)))) for i in range(12))]
+    table = spark.createDataFrame(items, "item_id long, text string")
+    assert len(decontam.passes(table, "item_id", "text")) == 1 or pass_bytes == 150
+    columns = ("doc_id", "n_words", "n_hit", "n_items", "items_sha256", "contaminated")
+    want = brute.decontam(odd_rows, items)
+    assert rows_of(decontam.digests(odd_docs, table), *columns) == by_text(want)
+    assert decontam.digests(no_docs, table).count() == 0
+    kept = decontam.clean(odd_docs, table)
+    assert kept.columns == odd_docs.columns and Counter(r.doc_id for r in kept.collect()) == Counter(i for i, *_, bad in want if not bad)
 
 
 # ---- 3 quality classifier ----
