@@ -52,10 +52,10 @@ HOT_KEYS = 4 << 20
 #: Text bytes whose runs are sorted together in a mapper, and run bytes sorted together in a reducer (or one anchor's).
 TEXT_BYTES, SORT_BYTES = 2 << 20, 2 << 20
 
-#: A run of windows by its minimiser a: document, first window, windows, the minimiser's place. kind 0: alone in its batch; 1: one of several (m contents); 2: a run to be sorted.
-RUN = {"=a": "<u8"} | spans.SPAN | {"at": "<i4", "m": "<i4", "kind": "u1"}
-#: The same, of one document.
-PART = {"=a": "<u8", "lo": "<i4", "n": "<i4", "at": "<i4"}
+#: The k-th run of windows of a document by its minimiser a. kind 0: alone in its batch; 1: one of several (m contents); 2: a run to be sorted.
+RUN = {"=a": "<u8"} | blobs.OWNER | {"k": "<i4", "m": "<i4", "kind": "u1"}
+#: A run to be sorted.
+PART = blobs.OWNER | {"k": "<i4", "=a": "<u8"}
 #: A run with its bytes, by its anchor; kind 1: known to recur whole.
 PIECE = {"=a": "<u8"} | spans.SPAN | {"at": "<i4", "kind": "u1"}
 
@@ -91,8 +91,9 @@ def runs(texts: DataFrame, buckets: int, window: int, gram: int) -> DataFrame:
         for batch in chunks(batches):
             raw, offsets = text_buffers(batch.column("__text"))
             found = super_kmers(byte_values(raw), offsets, window, gram)
-            doc = found.pop("doc")
-            held.append(found | blobs.take(keys(batch), doc))
+            doc = found["doc"]
+            k = (np.arange(len(doc)) - np.searchsorted(doc, doc)).astype(np.int32)
+            held.append({"a": found["a"], "v": found["v"], "k": k, **blobs.take(keys(batch), doc)})
             size += len(doc)
             if size >= blobs.GATHER:
                 yield combine(held, buckets)
@@ -115,7 +116,8 @@ def judge_runs(packed: DataFrame, buckets: int) -> DataFrame:
         total = np.bincount(own, live["m"]).astype(np.int64)
         hot = np.flatnonzero(total > HOT)
         again = blobs.concat([blobs.take(c, c["kind"] == 2), blobs.take(live, many & (live["kind"] == 0))])
-        numbers, rows = spans.spread(again, buckets, spans.SPAN | PART)
+        again = blobs.take(again, np.lexsort((again["k"], again["tag"], again["id"])))
+        numbers, rows = blobs.scatter(again, spans.bucket_of(again["id"], buckets), PART)
         names = live["a"][np.searchsorted(own, hot)].view(np.int64)
         return pd.DataFrame({"bucket": numbers + names.tolist(), "kind": [1] * len(numbers) + [2] * len(hot), "n": [0] * len(numbers) + total[hot].tolist(), "blob": rows + [None] * len(hot)})
 
@@ -129,19 +131,22 @@ def most_common(found: DataFrame) -> np.ndarray:
 
 
 def parts_by_document(packed: DataFrame, hot: np.ndarray) -> DataFrame:
-    """One row per document: KEY, __parts (its PART records, packed), __hot (whether one of them is split)."""
+    """One row per document with runs to be sorted: KEY, __runs (a bit for each of its runs), __hot (whether one of them is split)."""
 
     def run(pdf: pd.DataFrame) -> pd.DataFrame:
-        c = blobs.unpack(pdf["blob"], spans.SPAN | PART)
-        order, group = blobs.groups(*blobs.owner(c), c["lo"])
-        c = blobs.take(c, order[np.diff(group, prepend=-1) != 0])  # repeated rows
-        _, own = blobs.groups(*blobs.owner(c))
+        c = blobs.unpack(pdf["blob"], PART)
+        order, own = blobs.groups(*blobs.owner(c))
+        c = blobs.take(c, order)
         cuts = np.append(np.flatnonzero(np.diff(own, prepend=-1)), len(own))
-        split = np.isin(c["a"], hot)
-        rows = [blobs.pack({k: c[k][a:b] for k in ("a", "lo", "n", "at")}, PART) for a, b in zip(cuts, cuts[1:])]
-        return pd.DataFrame({f"__{k}": c[k][cuts[:-1]] for k in blobs.OWNER} | {"__parts": rows, "__hot": [bool(split[a:b].any()) for a, b in zip(cuts, cuts[1:])]})
+        split, rows, hots = np.isin(c["a"], hot), [], []
+        for a, b in zip(cuts, cuts[1:]):
+            bits = np.zeros(int(c["k"][a:b].max()) + 1, bool)
+            bits[c["k"][a:b]] = True
+            rows.append(np.packbits(bits).tobytes())
+            hots.append(bool(split[a:b].any()))
+        return pd.DataFrame({f"__{k}": c[k][cuts[:-1]] for k in blobs.OWNER} | {"__runs": rows, "__hot": hots})
 
-    return packed.groupBy("bucket").applyInPandas(run, f"{KEY_SCHEMA}, __parts binary, __hot boolean")
+    return packed.groupBy("bucket").applyInPandas(run, f"{KEY_SCHEMA}, __runs binary, __hot boolean")
 
 
 def halves(c: Columns, window: int) -> Columns:
@@ -170,20 +175,26 @@ def split(c: Columns, sums: Prefixes, hots: list[np.ndarray], window: int) -> tu
 
 
 def pieces_of(batch: pa.RecordBatch, hots: list[np.ndarray], window: int, gram: int) -> tuple[Columns, np.ndarray, np.ndarray, np.ndarray]:
-    """The runs of a batch of texts with __parts (doc: number in the batch; start, s, e: places in its bytes), their levels, the bytes and the texts' offsets."""
+    """The runs to be sorted of a batch of texts with __runs (doc: number in the batch; start, s, e: places in its bytes), their levels, the bytes and the texts' offsets. Runs are found again, as their places would be more data than their bits."""
     raw, offsets = text_buffers(batch.column("__text"))
-    found = [blobs.unpack([x], PART) for x in batch.column("__parts").to_pylist()]
-    doc = np.repeat(np.arange(len(found)), [len(f["a"]) for f in found])
-    c = blobs.concat(found)
-    start = offsets[doc] + c["lo"]
-    c = {"a": c["a"], "doc": doc, "start": start, "n": c["n"].astype(np.int64), "s": start + c["at"], "e": start + c["at"] + gram}
-    c, level = split(c, Prefixes(byte_values(raw)), hots, window) if hots else (c, np.zeros(len(doc), np.int64))
+    held, at = [], 0
+    for part in chunks(iter([batch])):
+        own, first = text_buffers(part.column("__text"))
+        found = super_kmers(byte_values(own), first, window, gram)
+        count = np.bincount(found["doc"], minlength=part.num_rows)
+        bits = [np.unpackbits(np.frombuffer(x, np.uint8), count=n) for x, n in zip(part.column("__runs").to_pylist(), count.tolist())]
+        found = blobs.take(found, np.concatenate(bits).astype(bool))
+        start = offsets[at + found["doc"]] + found["lo"]
+        held.append({"a": found["a"], "doc": at + found["doc"], "start": start, "n": found["n"], "s": start + found["at"], "e": start + found["at"] + gram})
+        at += part.num_rows
+    c = blobs.concat(held)
+    c, level = split(c, Prefixes(byte_values(raw)), hots, window) if hots else (c, np.zeros(len(c["a"]), np.int64))
     return c, level, raw, offsets
 
 
 def common_anchors(texts: DataFrame, parts: DataFrame, hots: list[np.ndarray], buckets: int, window: int, gram: int) -> DataFrame:
     """bucket (the anchor), n of the anchors of the last split that more than HOT contents share; counted, no bytes are sent."""
-    rows = join_checked(texts, parts.where("__hot").drop("__hot"), KEY, F.length("__parts") + 40, "inner")
+    rows = join_checked(texts, parts.where("__hot").drop("__hot"), KEY, F.length("__runs") + 40, "inner")
     fields = {"=a": "<u8", "m": "<i4"}
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -266,13 +277,10 @@ class Suffixes:
         inner = np.flatnonzero(np.diff(group, prepend=-1) == 0)
         n = self.common(order[inner], order[inner - 1])
         a, b = self.start[order[inner]], self.start[order[inner - 1]]
-        total, bad = np.cumsum(n), []
-        if len(total) and total[-1]:
-            shift = np.arange(total[-1]) - np.repeat(total - n, n)
-            wrong = self.raw[np.repeat(a, n) + shift] != self.raw[np.repeat(b, n) + shift]
-            bad = np.unique(np.repeat(np.arange(len(n)), n)[wrong])
-            for x in bad:  # the true common length
-                n[x] = int(np.argmax(self.raw[a[x] : a[x] + n[x]] != self.raw[b[x] : b[x] + n[x]]))
+        body = self.raw.tobytes()
+        bad = [k for k, (x, y, m) in enumerate(zip(a.tolist(), b.tolist(), n.tolist())) if body[x : x + m] != body[y : y + m]]
+        for x in bad:  # the true common length
+            n[x] = int(np.argmax(self.raw[a[x] : a[x] + n[x]] != self.raw[b[x] : b[x] + n[x]]))
         out[inner] = n
         return out, len(bad) > 0
 
@@ -384,7 +392,7 @@ def packed_pieces(c: Columns, body: np.ndarray, begin: np.ndarray, buckets: int,
 
 def sorted_in_batch(texts: DataFrame, parts: DataFrame, hots: list[np.ndarray], buckets: int, window: int, gram: int) -> DataFrame:
     """kind 0: spans to remove, by document; kind 1: one run of each content of the batch with its bytes, by anchor."""
-    rows = join_checked(texts, parts.drop("__hot"), KEY, F.length("__parts") + 40, "inner")
+    rows = join_checked(texts, parts.drop("__hot"), KEY, F.length("__runs") + 40, "inner")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in chunks(batches, most=TEXT_BYTES):
@@ -401,9 +409,11 @@ def sorted_in_batch(texts: DataFrame, parts: DataFrame, hots: list[np.ndarray],
 
 
 def sorted_in_bucket(packed: DataFrame, buckets: int, window: int) -> DataFrame:
-    """Spans to remove, by document, of the runs that batches sent on. A slice of whole anchors is sorted at a time."""
+    """Spans to remove, by document: those that batches have found, and those of the runs that they sent on. A slice of whole anchors is sorted at a time."""
 
     def run(pdf: pd.DataFrame) -> pd.DataFrame:
+        if pdf["kind"].iloc[0] == 0:
+            return pdf[["bucket", "blob"]]
         held, bodies = [], []
         for blob in pdf["blob"]:
             end = 4 + int.from_bytes(blob[:4], "little")
@@ -430,7 +440,7 @@ def sorted_in_bucket(packed: DataFrame, buckets: int, window: int) -> DataFrame:
         numbers, rows = spans.spread(blobs.concat(out), buckets) if out else ([], [])
         return pd.DataFrame({"bucket": numbers, "blob": rows})
 
-    return packed.groupBy("bucket").applyInPandas(run, "bucket long, blob binary")
+    return packed.groupBy("kind", "bucket").applyInPandas(run, "bucket long, blob binary")
 
 
 def repeated(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", window: int = WINDOW, gram: int = GRAM) -> DataFrame:
@@ -444,9 +454,8 @@ def repeated(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", wi
     while len(hots[-1]) and free > 0:
         free = free // 2 // 2  # the larger rest after two splits
         hots.append(most_common(cut(common_anchors(texts, parts, hots, buckets, window, gram))) if free > 0 else np.empty(0, np.uint64))
-    found = cut(sorted_in_batch(texts, parts, hots if len(hots[0]) else [], buckets, window, gram))
-    across = sorted_in_bucket(found.where("kind = 1").drop("kind"), buckets, window)
-    return cut(spans.by_document(found.where("kind = 0").drop("kind").unionByName(across)))
+    found = sorted_in_batch(texts, parts, hots if len(hots[0]) else [], buckets, window, gram)
+    return cut(spans.by_document(sorted_in_bucket(found, buckets, window)))
 
 
 def keep(text: bytes, flat: np.ndarray) -> tuple[int, int, int, bytes]:
