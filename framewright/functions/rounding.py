@@ -23,19 +23,20 @@ def half_up_steps(x: Column) -> Column:
 
 
 def round_exact(x: Column, digits: int) -> Column:
-    """x rounded to so many decimals, correctly for its binary value, halves to even.
+    """x rounded to so many decimals (7 at most), correctly for its binary value, halves to even.
 
     x * 10^digits may round onto a half that the exact product misses; the error of the
-    product (by splitting both factors) tells to which side the exact value lies.
+    product tells to which side the exact value lies. The power of ten has under 26 bits,
+    so its products with the two halves of x's bits are exact. A tie is nudged by a quarter
+    towards the exact value and rounded once, which keeps the expression short: it is
+    inlined wherever x is.
     """
-    c = float(10**digits)
-    high = c * _SPLIT - (c * _SPLIT - c)
-    low = c - high
-    p = x * F.lit(c)
-    a = x * F.lit(_SPLIT) - (x * F.lit(_SPLIT) - x)
-    b = x - a
-    error = b * F.lit(low) - (((p - a * F.lit(high)) - b * F.lit(high)) - a * F.lit(low))
-    whole = F.rint(p)
+    if not 0 <= digits <= 7:
+        raise ValueError(f"digits must be in [0, 7], got {digits}")
+    c = F.lit(float(10**digits))
+    p = x * c
+    big = x * F.lit(_SPLIT)
+    high = big - (big - x)
+    error = (high * c - p) + (x - high) * c
     tie = F.abs(p - F.floor(p).cast("double") - 0.5) == 0.0
-    k = F.when(tie & (error > 0), F.floor(p).cast("double") + 1.0).when(tie & (error < 0), F.floor(p).cast("double")).otherwise(whole)
-    return k / F.lit(c)
+    return F.rint(p + F.when(tie, F.signum(error) * 0.25).otherwise(0.0)) / c

@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+import io
+
+import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
@@ -88,3 +92,34 @@ def status_counts(rows: DataFrame, status: str = "status") -> DataFrame:
 def split_heavy(rows: DataFrame, key: str, heavy: list[str]) -> tuple[DataFrame, DataFrame]:
     """The slim rows of a manifest, and the documents that hold its heavy columns, by key; both from one plan."""
     return rows.drop(*heavy), rows.select(key, *heavy)
+
+
+#: Version of the packed mask files.
+MASK_FORMAT = 2
+
+
+def box_documents(subjects: DataFrame) -> DataFrame:
+    """sample_id, path and text of each sample's box document: its passed subjects with their per-frame boxes, and the dropped ones with their reasons, in order of subject_id."""
+    passed, dropped = F.col("status") == "passed", F.col("status") == "dropped"
+    item, lost = F.struct("subject_id", "areas", F.col("boxes").alias("bboxes_xyxy")), F.struct("subject_id", "reason")
+    rows = subjects.groupBy("sample_id").agg(
+        F.sort_array(F.collect_list(F.when(passed, item))).alias("objects"), F.sort_array(F.collect_list(F.when(dropped, lost))).alias("dropped_subjects")
+    )
+    return rows.where(F.size("objects") > 0).select(
+        "sample_id", F.format_string("bbox/%s.json", "sample_id").alias("path"), F.to_json(F.struct("sample_id", "objects", "dropped_subjects")).alias("text")
+    )
+
+
+def mask_files(subjects: DataFrame, width: str = "width") -> DataFrame:
+    """sample_id, path, data: each sample's packed masks as one compressed array file, with its subjects' ids, the masks' width and the format's version. Rows need width and frame_count."""
+
+    def build(pdf: pd.DataFrame) -> pd.DataFrame:
+        pdf = pdf.sort_values("subject_id")
+        out, w, frames = io.BytesIO(), int(pdf["w"].iloc[0]), int(pdf["frame_count"].iloc[0])
+        masks = [np.frombuffer(x, np.uint8).reshape(frames, -1, (w + 7) // 8) for x in pdf["packed"]]
+        np.savez_compressed(out, subject_masks_packed=np.stack(masks), source_subject_ids=pdf["subject_id"].to_numpy(np.int64), mask_width=np.asarray(w), mask_format_version=np.asarray(MASK_FORMAT))
+        sample = pdf["sample_id"].iloc[0]
+        return pd.DataFrame({"sample_id": [sample], "path": [f"masklets/{sample}.npz"], "data": [out.getvalue()]})
+
+    rows = subjects.where("status = 'passed'").select("sample_id", "subject_id", "frame_count", F.col(width).alias("w"), "packed")
+    return rows.groupBy("sample_id").applyInPandas(build, "sample_id string, path string, data binary")

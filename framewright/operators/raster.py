@@ -12,6 +12,8 @@ from framewright.operators.models import Segmenter
 
 #: A component is speckle below this share of the largest one or below so many pixels.
 LEAST_SHARE, LEAST_PIXELS = 0.05, 16
+#: A box's edges in their order, and the direction in which the box lies from each.
+EDGES = (("left", -1), ("top", -1), ("right", 1), ("bottom", 1))
 
 
 def mask_box(mask: np.ndarray) -> list[int] | None:
@@ -90,6 +92,22 @@ def outline(mask: np.ndarray) -> np.ndarray:
     return m[1:-1, 1:-1] & ~inner
 
 
+def thick_outline(mask: np.ndarray, steps: int = 2) -> np.ndarray:
+    """Set pixels within `steps` steps of an unset one or of the frame's edge; an empty mask stays."""
+    inner = np.asarray(mask, bool)
+    for _ in range(steps):
+        inner = inner & ~outline(inner)
+    return np.asarray(mask, bool) & ~inner
+
+
+def crop_box(frame: np.ndarray, box: list[float] | None) -> np.ndarray | None:
+    """What the box shows of the frame, clamped to whole pixels and never empty; None unless it is four numbers."""
+    if box is None or len(box) != 4 or any(v is None for v in box):
+        return None
+    x1, y1, x2, y2 = clamp(box, frame.shape[1], frame.shape[0])
+    return np.asarray(frame[y1:y2, x1:x2], np.uint8)
+
+
 def cutout(frame: np.ndarray, mask: np.ndarray | None, box: list[int] | None = None) -> np.ndarray | None:
     """The masked pixels on white, cropped to the box or else the mask's own; None if there is nothing to show."""
     box = box or (mask_box(mask) if mask is not None else None)
@@ -114,33 +132,37 @@ def clamp(box: list[float], width: int, height: int) -> list[int]:
 
 
 def pinned(tight: list[int], prompt: list[int], width: int, height: int, slack: int = 2) -> list[str]:
-    tests = (
-        ("left", tight[0] - prompt[0] <= slack and prompt[0] > 0), ("top", tight[1] - prompt[1] <= slack and prompt[1] > 0),
-        ("right", prompt[2] - tight[2] <= slack and prompt[2] < width), ("bottom", prompt[3] - tight[3] <= slack and prompt[3] < height),
-    )
-    return [name for name, test in tests if test]
+    """EDGES that the tight box touches within the slack and that can still move."""
+    limits = (0, 0, width, height)
+    return [name for k, (name, sign) in enumerate(EDGES) if sign * (prompt[k] - tight[k]) <= slack and prompt[k] != limits[k]]
 
 
 def tighten(segmenter: Segmenter, frame: np.ndarray, box: list[float] | None, rounds: int = 3, step: float = 0.15) -> dict:
     """Segment a box, growing it while the mask touches one of its free edges.
 
-    Returns mask, tight (its box), prompt (the last one tried), rounds grown and stop, one of
-    degenerate, empty, emptied, settled, limit, edge. The last mask found is kept.
+    Returns mask, tight (its box), prompt (the last one tried), rounds grown, history (the
+    prompt, its tight box and its free edges that were touched, of every round), growth (area
+    of the last prompt in shares of the first) and stop, one of degenerate, empty, emptied,
+    settled, limit, edge. The last mask found is kept.
     """
     height, width = frame.shape[:2]
-    none = {"mask": None, "tight": None, "prompt": None, "rounds": 0, "stop": "degenerate"}
+    none = {"mask": None, "tight": None, "prompt": None, "rounds": 0, "history": [], "growth": None, "stop": "degenerate"}
     if box is None or len(box) != 4 or any(v is None for v in box):
         return none
     prompt = clamp(box, width, height)
     if min(prompt[2] - prompt[0], prompt[3] - prompt[1]) < 2:
         return none
-    out = none | {"prompt": prompt}
+    out, area = none | {"prompt": prompt, "growth": 1.0}, lambda b: (b[2] - b[0]) * (b[3] - b[1])
+    first, history = area(prompt), []
+    out["history"] = history
     for turn in range(rounds + 1):
         mask = segmenter.segment(frame, prompt)
         if mask is None or not mask.any():
             return out | {"prompt": prompt, "stop": "empty" if out["mask"] is None else "emptied"}
-        out |= {"mask": mask, "tight": mask_box(mask), "prompt": prompt, "rounds": turn}
-        if not pinned(out["tight"], prompt, width, height):
+        out |= {"mask": mask, "tight": mask_box(mask), "prompt": prompt, "rounds": turn, "growth": round(area(prompt) / first, 6)}
+        touched = pinned(out["tight"], prompt, width, height)
+        history.append((prompt, out["tight"], touched))
+        if not touched:
             return out | {"stop": "settled"}
         dx, dy = (prompt[2] - prompt[0]) * step, (prompt[3] - prompt[1]) * step
         grown = clamp([prompt[0] - dx, prompt[1] - dy, prompt[2] + dx, prompt[3] + dy], width, height)

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from framewright.functions.ids import DEFAULT_SEED, order_key, shard_of, source_of
+from framewright.sources.shared import cut
 
 
 def one_per_source(rows: DataFrame, clip: str = "video_id", ties: Sequence[str] = (), seed: int = DEFAULT_SEED) -> DataFrame:
@@ -31,9 +32,10 @@ def in_shard(rows: DataFrame, shard: int, shards: int, source: Column | None = N
 
 
 def considered_prefix(outcomes: DataFrame, accepted: Column, key: str, limit: int | None) -> DataFrame:
-    """The outcomes that a walk in key order reads until it has accepted `limit` of them; all if it never does. Only the limit's keys meet in one place."""
+    """The outcomes that a walk in key order reads until it has accepted `limit` of them; all if it never does. Give it the columns that are wanted only: the outcomes are computed once and kept. Only the limit's keys meet in one place."""
     if limit is None:
         return outcomes
+    outcomes = cut(outcomes)
     last = outcomes.where(accepted).select(key).orderBy(key).limit(limit).agg(F.count("*").alias("n"), F.max(key).alias("k")).first()
     return outcomes.where(F.col(key) <= last["k"]) if last["n"] >= limit else outcomes
 

@@ -42,15 +42,15 @@ def extract(clips: DataFrame, codec: Callable[[], Codec]) -> DataFrame:
 
 
 def segment(samples: DataFrame, codec: Callable[[], Codec], segmenter: Callable[[], Segmenter], tracker: Callable[[], Tracker]) -> DataFrame:
-    """One row per subject of rows sample_id, clip, subject_id, seed_frame, seed_box, reference (encoded), ref_box: status passed, dropped (with its reason) or failed; areas, boxes and the packed track.
+    """One row per subject of rows sample_id, clip, subject_id, seed_frame, seed_box, reference (encoded), ref_box: status passed, dropped (with its reason) or failed; areas, boxes and the packed track, and of the despeckled reference its box, coverage, components and cutouts (on white, and with an alpha channel).
 
     A sample of which no subject passes is rejected: see `rejected_samples`.
     """
-    columns = ["sample_id", "subject_id", "status", "reason", "areas", "boxes", "packed"]
+    columns = ["sample_id", "subject_id", "status", "reason", "areas", "boxes", "packed", "ref_box", "ref_coverage", "ref_components", "ref_largest_share", "cutout", "cutout_alpha"]
 
     def one(r, c: Codec, s: Segmenter, t: Tracker):
         def ended(status, reason):
-            return (r.sample_id, r.subject_id, status, reason, None, None, None)
+            return (r.sample_id, r.subject_id, status, reason, *[None] * 9)
 
         try:
             frames = c.decode(r.clip)
@@ -60,7 +60,8 @@ def segment(samples: DataFrame, codec: Callable[[], Codec], segmenter: Callable[
             box = raster.clamp(list(r.seed_box), width, height)
             if min(r.seed_box[2] - r.seed_box[0], r.seed_box[3] - r.seed_box[1]) < 2:
                 return ended("dropped", "degenerate_seed_box")
-            back, ahead = t.track(frames, int(r.seed_frame), box, True), t.track(frames, int(r.seed_frame), box, False)
+            ahead = t.track(frames, int(r.seed_frame), box, False)
+            back = t.track(frames, int(r.seed_frame), box, True) if r.seed_frame > 0 else {}  # nothing lies before the first frame
             masks = np.zeros(frames.shape[:3], bool)
             for half in (back, ahead):
                 for i, mask in half.items():
@@ -75,10 +76,13 @@ def segment(samples: DataFrame, codec: Callable[[], Codec], segmenter: Callable[
                 return ended("dropped", "degenerate_ref_box")
             reference = c.decode(r.reference)
             found = s.segment(reference, raster.clamp(list(r.ref_box), reference.shape[1], reference.shape[0]))
+            found = raster.without_speckle(found) if found is not None else None
             if found is None or not found.any():
                 return ended("dropped", "empty_ref_mask")
-            boxes = [raster.mask_box(m) for m in masks]
-            return (r.sample_id, r.subject_id, "passed", None, [int(m.sum()) for m in masks], boxes, raster.pack(masks).tobytes())
+            boxes, (parts, share) = [raster.mask_box(m) for m in masks], raster.component_stats(found)
+            x1, y1, x2, y2 = window = raster.mask_box(found)
+            shown = (window, round(float(found[y1:y2, x1:x2].mean()), 6), parts, share, c.encode(raster.cutout(reference, found)), c.encode(raster.cutout_alpha(reference, found)))
+            return (r.sample_id, r.subject_id, "passed", None, [int(m.sum()) for m in masks], boxes, raster.pack(masks).tobytes(), *shown)
         except Exception as e:
             return ended("failed", f"{type(e).__name__}: {e}")
 
@@ -87,7 +91,7 @@ def segment(samples: DataFrame, codec: Callable[[], Codec], segmenter: Callable[
         for pdf in batches:
             yield pd.DataFrame([one(r, *tools) for r in pdf.itertuples(index=False)], columns=columns)
 
-    return samples.mapInPandas(run, "sample_id string, subject_id int, status string, reason string, areas array<long>, boxes array<array<int>>, packed binary")
+    return samples.mapInPandas(run, "sample_id string, subject_id int, status string, reason string, areas array<long>, boxes array<array<int>>, packed binary, ref_box array<int>, ref_coverage double, ref_components int, ref_largest_share double, cutout binary, cutout_alpha binary")
 
 
 def sample_status(subjects: DataFrame) -> DataFrame:

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from framewright.functions.geometry import Box, clamp_box, iou
+from framewright.functions.geometry import Box, area, clamp_box
 from framewright.functions.rounding import round_exact
 
 
@@ -62,20 +62,30 @@ def coverage_gaps(halves: DataFrame, tracks: DataFrame, keys: list[str], count:
 SHRINK, FILL = 0.25, 0.15
 
 
-def tighten_diagnostics(prompt: Box, tight: Box, pixels: Column, width: Column, height: Column) -> dict[str, Column]:
-    """Geometric evidence about one tightening, as named columns; fail_reason where there is nothing to measure."""
+def tighten_diagnostics(rows: DataFrame, prompt: Box, tight: Box, pixels: Column, width: Column, height: Column) -> DataFrame:
+    """rows with geometric evidence about one tightening each; fail_reason where there is nothing to measure.
+
+    Areas and overlaps are projected before they are rounded, so that no expression is inlined into another many times.
+    """
     p = clamp_box(prompt, width, height)
     failed = F.when(~F.coalesce(prompt.known(), F.lit(False)), "degenerate prompt box").when(~tight.known() | pixels.isNull(), "empty mask")
-    ok = failed.isNull()
-    prompt_area = F.greatest(F.lit(1), (p.x2 - p.x1) * (p.y2 - p.y1)).cast("double")
-    tight_area = F.greatest(F.lit(0.0), ((tight.x2 - tight.x1) * (tight.y2 - tight.y1)).cast("double"))
-    fill = F.when(tight_area > 0, round_exact(pixels / tight_area, 6)).otherwise(0.0)
-    ratio = round_exact(tight_area / prompt_area, 6)
+    out = rows.select("*", *(c.cast("double").alias(f"__p{k}") for k, c in enumerate(p)), *(c.cast("double").alias(f"__t{k}") for k, c in enumerate(tight)), pixels.cast("double").alias("__pixels"), width.alias("__w"), height.alias("__h"), failed.alias("fail_reason"))
+    p, t = (Box(*(F.col(f"__{side}{k}") for k in range(4))) for side in "pt")
+    inter = area(Box(F.greatest(p.x1, t.x1), F.greatest(p.y1, t.y1), F.least(p.x2, t.x2), F.least(p.y2, t.y2)))
+    out = out.withColumns({
+        "__inter": inter, "__sum": area(p) + area(t), "__prompt": F.greatest(F.lit(1.0), (p.x2 - p.x1) * (p.y2 - p.y1)), "__tight": F.greatest(F.lit(0.0), (t.x2 - t.x1) * (t.y2 - t.y1)),
+        "__frame": F.greatest(F.lit(1), F.col("__w") * F.col("__h")).cast("double"),
+    })
+    prompt_area, tight_area, union = F.col("__prompt"), F.col("__tight"), F.col("__sum") - F.col("__inter")
     own = {
-        "mask_share_of_prompt": round_exact(pixels / prompt_area, 6), "mask_fill_of_tight": fill, "area_ratio": ratio,
-        "box_shift_iou": iou(p.each(lambda c: c.cast("double")), tight.each(lambda c: c.cast("double"))),
-        "touches_frame_edge": (tight.x1 <= 0) | (tight.y1 <= 0) | (tight.x2 >= width) | (tight.y2 >= height),
-        "tight_area_frac_of_frame": round_exact(tight_area / F.greatest(F.lit(1), width * height).cast("double"), 6),
-        "suspect_shrink": ratio < SHRINK, "suspect_thin": fill < FILL,
+        "mask_share_of_prompt": round_exact(F.col("__pixels") / prompt_area, 6),
+        "mask_fill_of_tight": F.when(tight_area > 0, round_exact(F.col("__pixels") / tight_area, 6)).otherwise(0.0),
+        "area_ratio": round_exact(tight_area / prompt_area, 6),
+        "box_shift_iou": F.when(union > 0, round_exact(F.col("__inter") / union, 4)),
+        "touches_frame_edge": (t.x1 <= 0) | (t.y1 <= 0) | (t.x2 >= F.col("__w")) | (t.y2 >= F.col("__h")),
+        "tight_area_frac_of_frame": round_exact(tight_area / F.col("__frame"), 6),
     }
-    return {"fail_reason": failed, "tightened": ok} | {k: F.when(ok, c) for k, c in own.items()}
+    ok = F.col("fail_reason").isNull()
+    out = out.withColumns({"tightened": ok} | {k: F.when(ok, c) for k, c in own.items()})
+    out = out.withColumns({"suspect_shrink": F.col("area_ratio") < SHRINK, "suspect_thin": F.col("mask_fill_of_tight") < FILL})
+    return out.drop(*(c for c in out.columns if c.startswith("__") and c not in rows.columns))

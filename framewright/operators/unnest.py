@@ -19,24 +19,24 @@ def parsed(text: Column) -> Column:
 
 def entries(pairs: Column) -> Column:
     """The phrases of a column of parsed annotations in their order; a phrase given twice keeps its first place and its last value. Give it a column, not an expression, or the text is parsed for every phrase."""
-    firsts = F.filter(pairs, lambda e, i: F.array_position(F.transform(pairs, lambda x: x["key"]), e["key"]) == i + 1)
+    keys = F.transform(pairs, lambda x: x["key"])
+    firsts = F.filter(pairs, lambda e, i: F.array_position(keys, e["key"]) == i + 1)
+    last = F.transform(firsts, lambda e: F.struct(e["key"].alias("key"), F.element_at(F.filter(pairs, lambda x: x["key"] == e["key"]), -1)["value"].alias("value")))
+    # only a row that repeats a phrase pays for the search
+    single = F.when(F.size(F.array_distinct(keys)) == F.size(pairs), pairs).otherwise(last)
     return F.transform(
-        firsts,
+        single,
         lambda e: F.struct(
             e["key"].alias("phrase"),
-            F.coalesce(_last(pairs, e["key"])["obj_from_tgt_video"], F.array().cast("array<struct<vid: string, frame_idx: string, bbox_loc: string, bbox_cls: string>>")).alias("targets"),
+            F.coalesce(e["value"]["obj_from_tgt_video"], F.array().cast("array<struct<vid: string, frame_idx: string, bbox_loc: string, bbox_cls: string>>")).alias("targets"),
             F.coalesce(
-                F.flatten(F.filter(_last(pairs, e["key"])["refer_result"], lambda g: g.isNotNull())),
+                F.flatten(F.filter(e["value"]["refer_result"], lambda g: g.isNotNull())),
                 F.array().cast("array<struct<vid: string, frame_idx: string, bbox_loc: string, bbox_cls: string, scores: string>>"),
             ).alias("refs"),
         ),
     )
 
 
-def _last(pairs: Column, key: Column) -> Column:
-    return F.element_at(F.filter(pairs, lambda x: x["key"] == key), -1)["value"]
-
-
 def malformed(entry: Column, clip: Column) -> Column:
     """Why an entry is unusable, else null: it needs one target, one reference, and the row's own clip as target."""
     n, m = F.size(entry["targets"]), F.size(entry["refs"])

@@ -17,12 +17,17 @@ def _w():
 
 
 def _round(x: str, digits: int) -> str:
-    return f"(round_even(({x}) * 1e{digits}, 0) / 1e{digits})"
+    # printed decimals are those of the binary value; x * 10^digits may fall on a half that x misses
+    return f"CAST(printf('%.{digits}f', {x}) AS DOUBLE)"
 
 
-def _clamp(x1="x1", y1="y1", x2="x2", y2="y2", w="854", h="480") -> str:
+def _clamped(x1="x1", y1="y1", x2="x2", y2="y2", w="854", h="480") -> tuple[str, ...]:
     a, b = f"greatest(0, least(CAST(round_even({x1}, 0) AS INTEGER), {w} - 1))", f"greatest(0, least(CAST(round_even({y1}, 0) AS INTEGER), {h} - 1))"
-    return f"{a} AS x1, {b} AS y1, greatest({a} + 1, least(CAST(round_even({x2}, 0) AS INTEGER), {w})) AS x2, greatest({b} + 1, least(CAST(round_even({y2}, 0) AS INTEGER), {h})) AS y2"
+    return a, b, f"greatest({a} + 1, least(CAST(round_even({x2}, 0) AS INTEGER), {w}))", f"greatest({b} + 1, least(CAST(round_even({y2}, 0) AS INTEGER), {h}))"
+
+
+def _clamp(*corners_and_size: str) -> str:
+    return ", ".join(f"{v} AS {k}" for k, v in zip(("x1", "y1", "x2", "y2"), _clamped(*corners_and_size)))
 
 
 @query(f"SELECT {_K}, {_clamp()} FROM boxes", d.BOXES)
@@ -60,9 +65,9 @@ _A = "(greatest(0.0, {0}.x2 - {0}.x1) * greatest(0.0, {0}.y2 - {0}.y1))"
 _IOU = f"CASE WHEN {_A.format('a')} + {_A.format('b')} - {_I} > 0 THEN {_round(f'{_I} / ({_A.format('a')} + {_A.format('b')} - {_I})', 4)} END"
 
 
-@query(f"SELECT a.l_orderkey, a.l_linenumber AS i, a.l_partkey AS pa, b.l_linenumber AS j, b.l_partkey AS pb, {_IOU} AS iou FROM boxes a JOIN boxes b ON a.l_orderkey = b.l_orderkey AND (a.l_linenumber < b.l_linenumber) WHERE a.l_orderkey % 10 < 5", d.BOXES)
+@query(f"SELECT a.l_orderkey, a.l_linenumber AS i, a.l_partkey AS pa, b.l_linenumber AS j, b.l_partkey AS pb, {_IOU} AS iou FROM boxes a JOIN boxes b ON a.l_orderkey = b.l_orderkey AND (a.l_linenumber < b.l_linenumber)", d.BOXES)
 def box_iou(spark, sf_dir):
-    rows = d.boxes(spark, sf_dir).where("l_orderkey % 10 < 5")
+    rows = d.boxes(spark, sf_dir)
     a = rows.select("l_orderkey", F.col("l_linenumber").alias("i"), F.col("l_partkey").alias("pa"), *g.Box.of().columns("a_"))
     b = rows.select("l_orderkey", F.col("l_linenumber").alias("j"), F.col("l_partkey").alias("pb"), *g.Box.of().columns("b_"))
     return a.join(b, "l_orderkey").where("i < j").select("l_orderkey", "i", "pa", "j", "pb", g.iou(g.Box.of("a_"), g.Box.of("b_")).alias("iou"))

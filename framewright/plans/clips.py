@@ -55,10 +55,9 @@ def seed_index(spark, sf_dir):
     return d.table(spark, sf_dir, "orders").select("o_orderkey", ids.seed_index(F.expr(_T), F.lit(0.15625)).alias("i"))
 
 
-@query(f"SELECT o_orderkey, array_to_string(list_transform(range(0, 81), lambda k: least(CAST(round_even(({_T} + k / 16.0) * 29.97, 0) AS INTEGER), 200)), ',') AS frames FROM orders WHERE o_orderkey % 40 = 1")
+@query(f"SELECT o_orderkey, array_to_string(list_transform(range(0, 81), lambda k: least(CAST(round_even(({_T} + k / 16.0) * 29.97, 0) AS INTEGER), 200)), ',') AS frames FROM orders")
 def frame_indices(spark, sf_dir):
-    rows = d.table(spark, sf_dir, "orders").where("o_orderkey % 40 = 1")
-    return rows.select("o_orderkey", joined(ids.frame_indices(F.expr(_T), F.lit(29.97), F.lit(201))).alias("frames"))
+    return d.table(spark, sf_dir, "orders").select("o_orderkey", joined(ids.frame_indices(F.expr(_T), F.lit(29.97), F.lit(201))).alias("frames"))
 
 
 @query(f"SELECT o_orderkey, least(CAST(round_even({_T} * 25.0, 0) AS INTEGER), 99) AS frame FROM orders")
@@ -250,13 +249,13 @@ _PREFIX = f"taken AS (SELECT source_key FROM outcome WHERE reason IS NULL ORDER
     *_PLAN_SQL, _PREFIX,
 )
 def plan_funnel(spark, sf_dir):
-    found = _outcomes(spark, sf_dir)
+    found = planner.counted(_outcomes(spark, sf_dir), "source_key")
     return planner.funnel(select.considered_prefix(found, F.col("reason").isNull(), "source_key", _FIRST))
 
 
 @query(f"SELECT source, reason FROM prefix", *_PLAN_SQL, _PREFIX)
 def first_n(spark, sf_dir):
-    return select.considered_prefix(_outcomes(spark, sf_dir), F.col("reason").isNull(), "source_key", _FIRST).select("source", "reason")
+    return select.considered_prefix(_outcomes(spark, sf_dir).select("source", "reason", "source_key"), F.col("reason").isNull(), "source_key", _FIRST).select("source", "reason")
 
 
 _JOINERS = "['with','in','wearing','on','at','holding','and','that','which','having','carrying','next','near','behind','beside']"
@@ -265,10 +264,10 @@ _JOINERS = "['with','in','wearing','on','at','holding','and','that','which','hav
 @query(
     f"SELECT doc_id, CASE WHEN len(kept) > 0 THEN array_to_string(kept, ' ') ELSE trim(p, ' ' || chr(10)) END AS noun FROM (SELECT doc_id, p, CASE WHEN hit IS NULL OR hit = 0 THEN w ELSE list_slice(w, 1, hit - 1) END AS kept FROM"
     f" (SELECT doc_id, p, w, list_position(list_transform(w, lambda x: list_contains({_JOINERS}, trim(lower(x), '.'))), true) AS hit FROM"
-    " (SELECT doc_id, p, list_filter(string_split_regex(replace(p, ',', ' '), '\\s+'), lambda x: x <> '') AS w FROM (SELECT doc_id, substr(text, 1, 120) AS p FROM documents))))"
+    " (SELECT doc_id, p, list_filter(string_split_regex(replace(p, ',', ' '), '\\s+'), lambda x: x <> '') AS w FROM (SELECT doc_id, coalesce(text, '') AS p FROM documents))))"
 )
 def subject_noun_query(spark, sf_dir):
-    return d.table(spark, sf_dir, "documents").select("doc_id", subject_noun(F.substring("text", 1, 120)).alias("noun"))
+    return d.table(spark, sf_dir, "documents").select("doc_id", subject_noun(F.col("text")).alias("noun"))
 
 
 @query(

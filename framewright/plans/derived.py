@@ -111,20 +111,15 @@ def days(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.groupBy("user_id", (F.col("d") - 1).alias("frame")).agg(F.count("*").alias("area"))
 
 
-# ---- pools: per label, even vectors are the reference side, odd ones the target side, three of each ----
+# ---- pools: six successive vectors are a subject's pool, even ones its reference side, odd ones its target side ----
 
-POOLS = (
-    "numbered AS (SELECT vec_id, label, vec_id % 2 AS side, CAST(row_number() OVER (PARTITION BY label, vec_id % 2 ORDER BY vec_id) - 1 AS INTEGER) AS place, embedding FROM embeddings),"
-    " pools AS (SELECT *, CASE WHEN place = 0 THEN 'annotation' ELSE 'detector' END AS origin FROM numbered WHERE place < 3)"
-)
+_POOL = "CAST(floor(vec_id / 6) AS BIGINT) AS pool, vec_id % 2 AS side, CAST(floor(vec_id % 6 / 2) AS INTEGER) AS place"
+POOLS = f"pools AS (SELECT *, CASE WHEN place = 0 THEN 'annotation' ELSE 'detector' END AS origin FROM (SELECT {_POOL}, embedding FROM embeddings))"
 
 
 def pools(spark: SparkSession, sf_dir: str, side: int) -> DataFrame:
-    from pyspark.sql.window import Window
-
-    rows = table(spark, sf_dir, "embeddings").where(F.col("vec_id") % 2 == side)
-    rows = rows.withColumn("place", F.row_number().over(Window.partitionBy("label").orderBy("vec_id")) - 1).where("place < 3")
-    return rows.select("label", "place", F.when(F.col("place") == 0, "annotation").otherwise("detector").alias("origin"), F.col("embedding").alias("vector"))
+    rows = table(spark, sf_dir, "embeddings").where(F.col("vec_id") % 2 == side).selectExpr(*_POOL.split(", "), "embedding as vector")
+    return rows.select("pool", "place", F.when(F.col("place") == 0, "annotation").otherwise("detector").alias("origin"), "vector")
 
 
 # ---- gate: subjects are orders by customer, records most of them ----

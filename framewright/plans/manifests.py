@@ -10,9 +10,10 @@ from framewright.functions.geometry import Box, clamp_box
 from framewright.operators import manifests, raster, select
 from framewright.operators.models import RectangleSegmenter
 from framewright.plans import derived as d
-from framewright.plans.boxes import _clamp
+from framewright.plans.boxes import _clamp, _clamped, _round
 from framewright.plans.registry import joined, query
 from framewright.sources import jsonl
+from framewright.sources.shared import shared_dir
 
 _OLD = "SELECT o_orderkey AS sample_id, o_totalprice AS size, 'old' AS made, o_orderkey AS pos FROM orders WHERE o_orderkey % 2 = 0"
 _PART = "SELECT o_orderkey AS sample_id, o_totalprice + 1 AS size, 'partial' AS made, o_orderkey AS pos FROM orders WHERE o_orderkey % 3 = 0"
@@ -96,12 +97,7 @@ def parse_contract(spark, sf_dir):
 
 
 def _scratch(spark, name):
-    shared = spark.conf.get("spark.checkpoint.dir", None)
-    if not shared:
-        import tempfile
-
-        shared = f"file://{tempfile.mkdtemp()}"
-    return f"{shared}/{name}-{uuid.uuid4().hex}"
+    return f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
 
 
 @query("SELECT c_custkey, c_name, CASE WHEN c_custkey % 3 = 0 THEN NULL ELSE c_acctbal END AS c_acctbal FROM customer")
@@ -120,9 +116,21 @@ def jsonl_strict(spark, sf_dir):
     return jsonl.read(spark, path, "c_custkey long, c_name string")
 
 
-# ---- rasters: boxes of every order drawn into small masks; mask_bbox reads those of every twentieth, as its SQL twin does ----
-
-_DRAWN = f"drawn AS (SELECT l_orderkey, {_clamp('x1 / 16', 'y1 / 16', 'x2 / 16', 'y2 / 16', '54', '30')} FROM boxes WHERE l_orderkey % 20 = 0)"
+# ---- rasters: the boxes of every order, drawn into a mask of 54 x 30 ----
+
+_DRAWN = f"drawn AS (SELECT l_orderkey, {_clamp('x1 / 16', 'y1 / 16', 'x2 / 16', 'y2 / 16', '54', '30')} FROM boxes)"
+# Components of a union of boxes are those of the graph of boxes that overlap or share a side; pixels are counted on lines of bits.
+_COMPONENTS = (
+    "box AS (SELECT *, row_number() OVER (PARTITION BY l_orderkey ORDER BY x1, y1, x2, y2) AS i FROM (SELECT DISTINCT * FROM drawn)),"
+    " touch AS MATERIALIZED (SELECT a.l_orderkey, a.i, b.i AS j FROM box a JOIN box b ON a.l_orderkey = b.l_orderkey AND ((a.x1 < b.x2 AND b.x1 < a.x2 AND a.y1 <= b.y2 AND b.y1 <= a.y2) OR (a.y1 < b.y2 AND b.y1 < a.y2 AND a.x1 <= b.x2 AND b.x1 <= a.x2))),"
+    " reach AS (SELECT l_orderkey, i, j FROM touch UNION SELECT r.l_orderkey, r.i, t.j FROM reach r JOIN touch t ON t.l_orderkey = r.l_orderkey AND t.i = r.j),"
+    " own AS (SELECT l_orderkey, i, min(j) AS part FROM reach GROUP BY l_orderkey, i),"
+    " line AS (SELECT l_orderkey, part, y, bit_or(bits) AS bits FROM (SELECT o.l_orderkey, o.part, unnest(range(b.y1, b.y2)) AS y, ((CAST(1 AS BIGINT) << (b.x2 - b.x1)) - 1) << (56 - b.x2) AS bits FROM box b JOIN own o ON o.l_orderkey = b.l_orderkey AND o.i = b.i) GROUP BY ALL),"
+    " part AS (SELECT l_orderkey, part, CAST(sum(bit_count(bits)) AS BIGINT) AS n FROM line GROUP BY l_orderkey, part),"
+    " judged AS (SELECT *, count(*) OVER w AS parts, max(n) OVER w AS most, sum(n) OVER w AS total FROM part WINDOW w AS (PARTITION BY l_orderkey)),"
+    " kept AS (SELECT l_orderkey, part FROM judged WHERE parts = 1 OR n >= greatest(most * CAST(0.05 AS DOUBLE), 16)),"
+    " clean AS (SELECT l.l_orderkey, l.y, bit_or(l.bits) AS bits FROM line l JOIN kept k ON k.l_orderkey = l.l_orderkey AND k.part = l.part GROUP BY l.l_orderkey, l.y)"
+)
 
 
 def _drawn(rows):
@@ -141,32 +149,59 @@ def _masks(boxes):
 
 @query("SELECT l_orderkey, array_to_string([min(x1), min(y1), max(x2), max(y2)], ',') AS box FROM drawn GROUP BY l_orderkey", d.BOXES, _DRAWN)
 def mask_bbox(spark, sf_dir):
-    return raster.measured(_masks(d.boxes(spark, sf_dir).where("l_orderkey % 20 = 0"))).select(F.col("key").alias("l_orderkey"), joined(F.col("box")).alias("box"))
+    # the box of a union needs no pixels
+    found = _drawn(d.boxes(spark, sf_dir)).groupBy("l_orderkey").agg(F.min("x1").alias("x1"), F.min("y1").alias("y1"), F.max("x2").alias("x2"), F.max("y2").alias("y2"))
+    return found.select("l_orderkey", joined(Box.of().array()).alias("box"))
 
 
-@query()
+@query(
+    f"SELECT j.l_orderkey, CAST(any_value(parts) AS INTEGER) AS components, {_round('any_value(most) / CAST(any_value(total) AS DOUBLE)', 6)} AS largest_share, CAST(coalesce(sum(j.n) FILTER (k.part IS NOT NULL), 0) AS BIGINT) AS pixels"
+    " FROM judged j LEFT JOIN kept k ON k.l_orderkey = j.l_orderkey AND k.part = j.part GROUP BY j.l_orderkey",
+    d.BOXES, _DRAWN, _COMPONENTS, recursive=True,
+)
 def mask_components(spark, sf_dir):
     return raster.measured(_masks(d.boxes(spark, sf_dir))).select(F.col("key").alias("l_orderkey"), "components", "largest_share", "pixels")
 
 
-@query()
+@query(
+    "SELECT l_orderkey, CAST(210 AS INTEGER) AS n_bytes, sha256(unhex(string_agg(printf('%014x', coalesce(c.bits, 0)), '' ORDER BY y))) AS digest"
+    " FROM (SELECT DISTINCT l_orderkey, unnest(range(0, 30)) AS y FROM drawn) s LEFT JOIN clean c USING (l_orderkey, y) GROUP BY l_orderkey",
+    d.BOXES, _DRAWN, _COMPONENTS, recursive=True,
+)
 def mask_pack(spark, sf_dir):
     return raster.measured(_masks(d.boxes(spark, sf_dir))).select(F.col("key").alias("l_orderkey"), F.length("packed").alias("n_bytes"), F.sha2("packed", 256).alias("digest"))
 
 
-@query()
+# The thing that the stand-in segmenter sees, in a frame of 214 x 120.
+_THING = (40, 20, 150, 100)
+_NEXT = "x1 - (x2 - x1) * 0.15::DOUBLE", "y1 - (y2 - y1) * 0.15::DOUBLE", "x2 + (x2 - x1) * 0.15::DOUBLE", "y2 + (y2 - y1) * 0.15::DOUBLE"
+_TIGHTENED = (
+    f"first AS (SELECT row_number() OVER () AS rid, l_orderkey, l_linenumber, l_partkey, l_suppkey, {_clamp('x1 / 4', 'y1 / 4', 'x2 / 4', 'y2 / 4', '214', '120')} FROM boxes),"
+    " turns AS (SELECT rid, 0 AS turn, x1, y1, x2, y2, CASE WHEN least(x2 - x1, y2 - y1) < 2 THEN 'degenerate' END AS stop, 0 AS rounds, CAST(NULL AS INTEGER[]) AS tight FROM first UNION ALL"
+    " SELECT rid, turn + 1, g.x1, g.y1, g.x2, g.y2, CASE WHEN nothing THEN CASE WHEN turn = 0 THEN 'empty' ELSE 'emptied' END WHEN NOT pinned THEN 'settled' WHEN turn < 3 AND p = [g.x1, g.y1, g.x2, g.y2] THEN 'edge' WHEN turn = 3 THEN 'limit' END,"
+    " CASE WHEN nothing THEN rounds ELSE turn END, CASE WHEN nothing THEN tight ELSE t END FROM"
+    f" (SELECT *, t[3] <= t[1] OR t[4] <= t[2] AS nothing, (t[1] - x1 <= 2 AND x1 > 0) OR (t[2] - y1 <= 2 AND y1 > 0) OR (x2 - t[3] <= 2 AND x2 < 214) OR (y2 - t[4] <= 2 AND y2 < 120) AS pinned, struct_pack({{}}) AS g"
+    f" FROM (SELECT *, [x1, y1, x2, y2] AS p, [greatest({_THING[0]}, x1), greatest({_THING[1]}, y1), least({_THING[2]}, x2), least({_THING[3]}, y2)] AS t FROM turns WHERE stop IS NULL)))"
+).format(", ".join(f"{k} := {v}" for k, v in zip(("x1", "y1", "x2", "y2"), _clamped(*_NEXT, "214", "120"))))
+
+
+@query(
+    "SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, CAST(rounds AS INTEGER) AS rounds, stop, array_to_string(tight, ',') AS tight FROM turns JOIN first USING (rid) WHERE stop IS NOT NULL",
+    d.BOXES, _TIGHTENED, recursive=True,
+)
 def tighten_trace(spark, sf_dir):
     import numpy as np
     import pandas as pd
 
     def run(batches):
-        frame = np.zeros((120, 214, 3), np.uint8)
+        frame, thing = np.zeros((120, 214, 3), np.uint8), RectangleSegmenter(list(_THING))
         for pdf in batches:
             rows = []
             for r in pdf.itertuples(index=False):
-                got = raster.tighten(RectangleSegmenter([40, 20, 150, 100]), frame, [r.x1, r.y1, r.x2, r.y2])
+                got = raster.tighten(thing, frame, [r.x1, r.y1, r.x2, r.y2])
                 rows.append((*(getattr(r, k) for k in d.KEYS), got["rounds"], got["stop"], got["tight"]))
             yield pd.DataFrame(rows, columns=[*d.KEYS, "rounds", "stop", "tight"])
 
     rows = d.boxes(spark, sf_dir).select(*d.KEYS, *(b.alias(n) for b, n in zip(Box.of().each(lambda c: c / 4), ("x1", "y1", "x2", "y2"))))
-    return rows.mapInPandas(run, "l_orderkey long, l_linenumber int, l_partkey long, l_suppkey long, rounds int, stop string, tight array<int>")
+    found = rows.mapInPandas(run, "l_orderkey long, l_linenumber int, l_partkey long, l_suppkey long, rounds int, stop string, tight array<int>")
+    return found.withColumn("tight", joined(F.col("tight")))

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from framewright.functions import geometry as g
-from framewright.operators import gate, pool
+from framewright.operators import gate, pool, subjects
 from framewright.plans import derived as d
 from framewright.plans.boxes import _IOU, _round
 from framewright.plans.registry import query
@@ -18,9 +18,9 @@ _COS = (
     "sqrt(list_reduce(list_prepend(0.0::DOUBLE, list_transform(b.v, lambda p: p * p)), lambda x, y: x + y))",
 )
 _PAIRS = (
-    "vectors AS (SELECT label, side, place, origin, CAST(embedding AS DOUBLE[]) AS v FROM pools),"
-    f" pairs AS (SELECT a.label, a.place AS ref_index, b.place AS seed_index, a.origin AS ref_origin, b.origin AS seed_origin, {_round(f'{_COS[0]} / ({_COS[1]} * {_COS[2]})', 6)} AS similarity"
-    " FROM vectors a JOIN vectors b ON a.label = b.label AND a.side = 0 AND b.side = 1)"
+    "vectors AS (SELECT pool, side, place, origin, CAST(embedding AS DOUBLE[]) AS v FROM pools),"
+    f" pairs AS (SELECT a.pool, a.place AS ref_index, b.place AS seed_index, a.origin AS ref_origin, b.origin AS seed_origin, {_round(f'{_COS[0]} / ({_COS[1]} * {_COS[2]})', 6)} AS similarity"
+    " FROM vectors a JOIN vectors b ON a.pool = b.pool AND a.side = 0 AND b.side = 1)"
 )
 
 
@@ -28,31 +28,31 @@ def _sides(spark, sf_dir):
     return d.pools(spark, sf_dir, 0), d.pools(spark, sf_dir, 1)
 
 
-@query("SELECT label, ref_index, seed_index, similarity FROM pairs", d.POOLS, _PAIRS)
+@query("SELECT pool, ref_index, seed_index, similarity FROM pairs", d.POOLS, _PAIRS)
 def scored_pairs(spark, sf_dir):
-    return pool.scored_pairs(*_sides(spark, sf_dir), ["label"]).select("label", "ref_index", "seed_index", "similarity")
+    return pool.scored_pairs(*_sides(spark, sf_dir), ["pool"]).select("pool", "ref_index", "seed_index", "similarity")
 
 
 _BEST = (
-    "ranked AS (SELECT *, row_number() OVER w AS n, lead(similarity) OVER w AS next, count(*) OVER (PARTITION BY label) AS pairs_scored FROM pairs WINDOW w AS (PARTITION BY label ORDER BY similarity DESC, ref_index, seed_index)),"
-    " counts AS (SELECT label, count(*) FILTER (side = 0) AS ref_candidates, count(*) FILTER (side = 1) AS seed_candidates FROM pools GROUP BY label)"
+    "ranked AS (SELECT *, row_number() OVER w AS n, lead(similarity) OVER w AS next, count(*) OVER (PARTITION BY pool) AS pairs_scored FROM pairs WINDOW w AS (PARTITION BY pool ORDER BY similarity DESC, ref_index, seed_index)),"
+    " counts AS (SELECT pool, count(*) FILTER (side = 0) AS ref_candidates, count(*) FILTER (side = 1) AS seed_candidates FROM pools GROUP BY pool)"
 )
 
 
 @query(
-    f"SELECT c.label, ref_index, seed_index, similarity AS identity, {_round('similarity - next', 6)} AS margin, coalesce(pairs_scored, 0) AS pairs_scored, ref_candidates, seed_candidates,"
-    " coalesce(ref_origin = 'detector' OR seed_origin = 'detector', false) AS used_detector FROM counts c LEFT JOIN ranked r ON r.label = c.label AND r.n = 1",
+    f"SELECT c.pool, ref_index, seed_index, similarity AS identity, {_round('similarity - next', 6)} AS margin, coalesce(pairs_scored, 0) AS pairs_scored, ref_candidates, seed_candidates,"
+    " coalesce(ref_origin = 'detector' OR seed_origin = 'detector', false) AS used_detector FROM counts c LEFT JOIN ranked r ON r.pool = c.pool AND r.n = 1",
     d.POOLS, _PAIRS, _BEST,
 )
 def best_pair(spark, sf_dir):
     left, right = _sides(spark, sf_dir)
-    return pool.best_pair(pool.scored_pairs(left, right, ["label"]), left, right, ["label"])
+    return pool.best_pair(pool.scored_pairs(left, right, ["pool"]), left, right, ["pool"])
 
 
-@query(f"SELECT label, {_round('similarity - next', 6)} AS margin FROM ranked WHERE n = 1 AND similarity - next < 0.02", d.POOLS, _PAIRS, _BEST)
+@query(f"SELECT pool, {_round('similarity - next', 6)} AS margin FROM ranked WHERE n = 1 AND similarity - next < 0.02", d.POOLS, _PAIRS, _BEST)
 def pair_margin(spark, sf_dir):
     left, right = _sides(spark, sf_dir)
-    return pool.best_pair(pool.scored_pairs(left, right, ["label"]), left, right, ["label"]).where("margin < 0.02").select("label", "margin")
+    return pool.best_pair(pool.scored_pairs(left, right, ["pool"]), left, right, ["pool"]).where("margin < 0.02").select("pool", "margin")
 
 
 @query("SELECT event_id, user_id, CAST(rank AS INTEGER) AS rank FROM (SELECT event_id, user_id, row_number() OVER (PARTITION BY user_id ORDER BY value DESC, event_id) - 1 AS rank FROM events WHERE value >= 0.25) WHERE rank < 6")
@@ -61,12 +61,13 @@ def topk_scores(spark, sf_dir):
     return pool.top_scores(rows, ["user_id"], "event_id", "value").select("event_id", "user_id", "rank")
 
 
+# Four successive lines of an order are a pool: the first is annotated, the others are detected.
 _LINES = (
-    "lines AS (SELECT *, row_number() OVER (PARTITION BY l_orderkey ORDER BY l_linenumber, l_partkey, l_suppkey, x1, y1, x2) - 1 AS k FROM boxes WHERE l_orderkey % 2 = 0),"
-    " found AS (SELECT * FROM lines WHERE k BETWEEN 0 AND 3)"
+    "lines AS (SELECT *, row_number() OVER (PARTITION BY l_orderkey ORDER BY l_linenumber, l_partkey, l_suppkey, x1, y1, x2) - 1 AS k0 FROM boxes),"
+    " found AS (SELECT * EXCLUDE (l_orderkey), l_orderkey * 1000 + k0 // 4 AS pool, k0 % 4 AS k FROM lines)"
 )
 _MEMBERS = (
-    "members AS (SELECT f.l_orderkey, f.k AS place, CASE WHEN f.k = 0 THEN 'annotation' ELSE 'detector' END AS origin, f.x1, f.y1, f.x2, f.y2 FROM found f JOIN found a ON a.l_orderkey = f.l_orderkey AND a.k = 0"
+    "members AS (SELECT f.pool, f.k AS place, CASE WHEN f.k = 0 THEN 'annotation' ELSE 'detector' END AS origin, f.x1, f.y1, f.x2, f.y2 FROM found f JOIN found a ON a.pool = f.pool AND a.k = 0"
     " WHERE f.k = 0 OR (greatest(0.0, f.x2 - f.x1) * greatest(0.0, f.y2 - f.y1) >= greatest(1.0, (a.x2 - a.x1) * (a.y2 - a.y1)) * 0.3))"
 )
 
@@ -74,42 +75,43 @@ _MEMBERS = (
 def _lines(spark, sf_dir):
     from pyspark.sql.window import Window
 
-    rows = d.boxes(spark, sf_dir).where("l_orderkey % 2 = 0")
+    rows = d.boxes(spark, sf_dir)
     order = Window.partitionBy("l_orderkey").orderBy("l_linenumber", "l_partkey", "l_suppkey", "x1", "y1", "x2")
-    return rows.withColumn("k", F.row_number().over(order) - 1).where("k < 4").select("l_orderkey", "k", g.Box.of().array().alias("box"))
+    rows = rows.withColumn("at", F.row_number().over(order) - 1)
+    return rows.select((F.col("l_orderkey") * 1000 + F.floor(F.col("at") / 4)).alias("pool"), (F.col("at") % 4).alias("k"), g.Box.of().array().alias("box"))
 
 
 def _members(spark, sf_dir):
     rows = _lines(spark, sf_dir)
-    annotated = rows.where("k = 0").select("l_orderkey", "box")
-    detected = rows.where("k > 0").select("l_orderkey", (F.col("k") - 1).alias("rank"), "box", F.lit(0.5).alias("score"))
-    return pool.pool(annotated, detected, ["l_orderkey"])
+    annotated = rows.where("k = 0").select("pool", "box")
+    detected = rows.where("k > 0").select("pool", (F.col("k") - 1).alias("rank"), "box", F.lit(0.5).alias("score"))
+    return pool.pool(annotated, detected, ["pool"])
 
 
-@query("SELECT l_orderkey, CAST(place AS INTEGER) AS place, origin, x1, y2 FROM members", d.BOXES, _LINES, _MEMBERS)
+@query("SELECT pool, CAST(place AS INTEGER) AS place, origin, x1, y2 FROM members", d.BOXES, _LINES, _MEMBERS)
 def candidate_pool(spark, sf_dir):
-    return _members(spark, sf_dir).select("l_orderkey", "place", "origin", F.get("box", F.lit(0)).alias("x1"), F.get("box", F.lit(3)).alias("y2"))
+    return _members(spark, sf_dir).select("pool", "place", "origin", F.get("box", F.lit(0)).alias("x1"), F.get("box", F.lit(3)).alias("y2"))
 
 
-_SAME = f"same AS (SELECT a.l_orderkey, a.place AS p, b.place AS q, coalesce({_IOU} >= 0.9, false) AS dup FROM members a JOIN members b ON a.l_orderkey = b.l_orderkey AND a.place < b.place)"
+_SAME = f"same AS (SELECT a.pool, a.place AS p, b.place AS q, coalesce({_IOU} >= 0.9, false) AS dup FROM members a JOIN members b ON a.pool = b.pool AND a.place < b.place)"
 # Pools have four members at most, so keeping is unrolled: a member stays unless an earlier one that stayed repeats it.
 _KEPT = (
-    "k0 AS (SELECT l_orderkey, place FROM members WHERE place = 0),"
-    " k1 AS (SELECT * FROM k0 UNION ALL SELECT m.l_orderkey, m.place FROM members m WHERE place = 1 AND NOT EXISTS (SELECT 1 FROM same s JOIN k0 k ON k.l_orderkey = s.l_orderkey AND k.place = s.p WHERE s.l_orderkey = m.l_orderkey AND s.q = m.place AND s.dup)),"
-    " k2 AS (SELECT * FROM k1 UNION ALL SELECT m.l_orderkey, m.place FROM members m WHERE place = 2 AND NOT EXISTS (SELECT 1 FROM same s JOIN k1 k ON k.l_orderkey = s.l_orderkey AND k.place = s.p WHERE s.l_orderkey = m.l_orderkey AND s.q = m.place AND s.dup)),"
-    " k3 AS (SELECT * FROM k2 UNION ALL SELECT m.l_orderkey, m.place FROM members m WHERE place = 3 AND NOT EXISTS (SELECT 1 FROM same s JOIN k2 k ON k.l_orderkey = s.l_orderkey AND k.place = s.p WHERE s.l_orderkey = m.l_orderkey AND s.q = m.place AND s.dup)),"
-    " gone AS (SELECT m.l_orderkey, m.place, min(s.p) AS by FROM members m JOIN same s ON s.l_orderkey = m.l_orderkey AND s.q = m.place AND s.dup JOIN k3 k ON k.l_orderkey = s.l_orderkey AND k.place = s.p"
-    " WHERE NOT EXISTS (SELECT 1 FROM k3 x WHERE x.l_orderkey = m.l_orderkey AND x.place = m.place) GROUP BY m.l_orderkey, m.place)"
+    "k0 AS (SELECT pool, place FROM members WHERE place = 0),"
+    " k1 AS (SELECT * FROM k0 UNION ALL SELECT m.pool, m.place FROM members m WHERE place = 1 AND NOT EXISTS (SELECT 1 FROM same s JOIN k0 k ON k.pool = s.pool AND k.place = s.p WHERE s.pool = m.pool AND s.q = m.place AND s.dup)),"
+    " k2 AS (SELECT * FROM k1 UNION ALL SELECT m.pool, m.place FROM members m WHERE place = 2 AND NOT EXISTS (SELECT 1 FROM same s JOIN k1 k ON k.pool = s.pool AND k.place = s.p WHERE s.pool = m.pool AND s.q = m.place AND s.dup)),"
+    " k3 AS (SELECT * FROM k2 UNION ALL SELECT m.pool, m.place FROM members m WHERE place = 3 AND NOT EXISTS (SELECT 1 FROM same s JOIN k2 k ON k.pool = s.pool AND k.place = s.p WHERE s.pool = m.pool AND s.q = m.place AND s.dup)),"
+    " gone AS (SELECT m.pool, m.place, min(s.p) AS by FROM members m JOIN same s ON s.pool = m.pool AND s.q = m.place AND s.dup JOIN k3 k ON k.pool = s.pool AND k.place = s.p"
+    " WHERE NOT EXISTS (SELECT 1 FROM k3 x WHERE x.pool = m.pool AND x.place = m.place) GROUP BY m.pool, m.place)"
 )
 
 
 @query(
-    "SELECT k.l_orderkey, CAST(k.place AS INTEGER) AS place, (SELECT count(*) FROM gone g WHERE g.l_orderkey = k.l_orderkey AND g.by = k.place) AS also FROM k3 k",
+    "SELECT k.pool, CAST(k.place AS INTEGER) AS place, (SELECT count(*) FROM gone g WHERE g.pool = k.pool AND g.by = k.place) AS also FROM k3 k",
     d.BOXES, _LINES, _MEMBERS, _SAME, _KEPT,
 )
 def greedy_dedupe(spark, sf_dir):
-    out = pool.deduped(_members(spark, sf_dir), ["l_orderkey"], ["place"])
-    return out.select("l_orderkey", "place", F.size("also").cast("long").alias("also"))
+    out = pool.deduped(_members(spark, sf_dir), ["pool"], ["place"])
+    return out.select("pool", "place", F.size("also").cast("long").alias("also"))
 
 
 # ---- gate ----
@@ -163,3 +165,16 @@ def gate_keep_all(spark, sf_dir):
 )
 def gate_funnel(spark, sf_dir):
     return gate.funnel(_gated(spark, sf_dir, True))
+
+
+# ---- report ----
+
+_REPORT = "CASE WHEN o_orderkey % 10 = 3 THEN 'failed' ELSE 'built' END AS status, CASE WHEN o_orderkey % 10 <> 3 THEN o_orderkey % 7 <> 0 END AS both_tightened, CASE WHEN o_orderkey % 10 <> 3 THEN o_orderkey % 3 = 0 END AS used_detector"
+
+
+@query(
+    "SELECT count(*) FILTER (status = 'built') AS subjects, count(*) FILTER (status = 'built' AND both_tightened) AS both_tightened, count(*) FILTER (status = 'failed') AS failures, count(*) FILTER (status = 'built' AND used_detector) AS detector_won,"
+    f" count(*) FILTER (status = 'built') = 0 AND count(*) FILTER (status = 'failed') >= 3 AS aborted FROM (SELECT {_REPORT} FROM orders)"
+)
+def report_counts(spark, sf_dir):
+    return subjects.counts(d.table(spark, sf_dir, "orders").selectExpr(*_REPORT.split(", ")))

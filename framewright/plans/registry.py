@@ -16,13 +16,13 @@ def joined(values: Column) -> Column:
     return F.array_join(values.cast("array<string>"), ",")
 
 
-def query(sql: str | None = None, *ctes: str):
+def query(sql: str | None = None, *ctes: str, recursive: bool = False):
     """Registers a query under its function's name; sql is what DuckDB runs, after the given common table expressions."""
 
     def put(f):
         QUERIES[f.__name__] = f
         if sql is not None:
-            SQL[f.__name__] = (f"WITH {', '.join(ctes)} " if ctes else "") + sql
+            SQL[f.__name__] = (f"WITH {'RECURSIVE ' * recursive}{', '.join(ctes)} " if ctes else "") + sql
         return f
 
     return put

@@ -74,7 +74,7 @@ _P = f"p AS (SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, {_clamp()} F
 _T = "t AS (SELECT *, greatest(x1, least(x1 + l_linenumber, 853)) AS tx1, y1 AS ty1, greatest(x2 - l_suppkey % 9, greatest(x1, least(x1 + l_linenumber, 853)) + 1) AS tx2, y2 AS ty2 FROM p)"
 _M = (
     "m AS (SELECT *, CAST(greatest(1, (x2 - x1) * (y2 - y1)) AS DOUBLE) AS pa, CAST((tx2 - tx1) * (ty2 - ty1) AS DOUBLE) AS ta, floor((tx2 - tx1) * (ty2 - ty1) * (l_partkey % 10) / 10.0) AS px,"
-    " CAST(greatest(0, least(x2, tx2) - greatest(x1, tx1)) * (y2 - y1) AS DOUBLE) AS inter FROM t WHERE l_orderkey % 3 <> 0)"
+    " CAST(greatest(0, least(x2, tx2) - greatest(x1, tx1)) * (y2 - y1) AS DOUBLE) AS inter FROM t)"
 )
 
 
@@ -87,11 +87,11 @@ def tighten_diag(spark, sf_dir):
     from framewright.functions.geometry import clamp_box
 
     w, h = F.lit(d.WIDTH), F.lit(d.HEIGHT)
-    rows = d.boxes(spark, sf_dir).where("l_orderkey % 3 <> 0").select(*d.KEYS, *clamp_box(Box.of(), w, h).columns())
+    rows = d.boxes(spark, sf_dir).select(*d.KEYS, *clamp_box(Box.of(), w, h).columns())
     tx1 = F.greatest(F.col("x1"), F.least(F.col("x1") + F.col("l_linenumber"), F.lit(853)))
     rows = rows.withColumns({"tx1": tx1, "ty1": F.col("y1"), "ty2": F.col("y2")}).withColumn("tx2", F.greatest(F.col("x2") - F.col("l_suppkey") % 9, F.col("tx1") + 1))
     pixels = F.floor((F.col("tx2") - F.col("tx1")) * (F.col("ty2") - F.col("ty1")) * (F.col("l_partkey") % 10) / 10.0)
     prompt = Box.of().each(lambda c: c.cast("double"))
-    got = tracks.tighten_diagnostics(prompt, Box.of("t"), pixels, w, h)
+    got = tracks.tighten_diagnostics(rows, prompt, Box.of("t"), pixels, w, h)
     names = ["mask_share_of_prompt", "mask_fill_of_tight", "area_ratio", "box_shift_iou", "touches_frame_edge", "suspect_shrink", "suspect_thin"]
-    return rows.select(*d.KEYS, *(got[n].alias(n) for n in names))
+    return got.select(*d.KEYS, *names)

@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+import errno
 import os
 import posixpath
 import random
+import re
 import tempfile
 import time
 from collections.abc import Callable
@@ -45,7 +47,7 @@ class LocalStorage:
 
 
 class ArrowStorage:
-    """Any store that Arrow opens by URI; writes are tried again with growing pauses, absence is told by the store and other errors are raised."""
+    """Any store that Arrow opens by URI; writes that fail for a passing reason are tried again with growing pauses, absence is told by the store and other errors are raised."""
 
     def __init__(self, uri: str, tries: int = 4, pause: float = 0.5):
         self.root, self.tries, self.pause = uri, tries, pause
@@ -74,12 +76,24 @@ class ArrowStorage:
         return f"{self.root.rstrip('/')}/{path}"
 
 
+#: Errors that no further try mends: denied, absent, in the way, wrong, or no room.
+LASTING = frozenset((errno.EACCES, errno.EPERM, errno.ENOENT, errno.EEXIST, errno.EISDIR, errno.ENOTDIR, errno.EINVAL, errno.ENAMETOOLONG, errno.EROFS, errno.ENOSPC, errno.EDQUOT))
+
+
+def is_passing(error: OSError) -> bool:
+    """Whether a failure may mend itself: connections and the store's own faults (status 5xx, or none told)."""
+    if isinstance(error, (PermissionError, FileNotFoundError, FileExistsError, IsADirectoryError, NotADirectoryError)) or error.errno in LASTING:
+        return False
+    told = re.search(r"(?i)\bhttp[^0-9]{0,20}([1-5][0-9][0-9])\b", str(error))
+    return (told is None or told[1][0] == "5") and not re.search(r"(?i)access ?denied|forbidden", str(error))
+
+
 def retried(action: Callable[[], None], tries: int, pause: float) -> None:
     for turn in range(tries):
         try:
             return action()
-        except OSError:
-            if turn == tries - 1:
+        except OSError as error:
+            if turn == tries - 1 or not is_passing(error):
                 raise
             time.sleep(pause * 2**turn * (1 + random.random() / 4))
 

@@ -6,8 +6,8 @@ def test_every_sql_twin_has_a_query():
     assert set(__spark_entry__.oracle_sql()) <= set(__spark_entry__.queries())
 
 
-def test_only_rasters_and_traces_lack_sql():
-    assert set(catalog.queries()) - set(catalog.oracle_sql()) == {"mask_components", "mask_pack", "tighten_trace"}
+def test_every_query_has_an_sql_twin():
+    assert set(catalog.queries()) == set(catalog.oracle_sql())
 
 
 def test_entry_counts_every_source_once(spark):

@@ -1,6 +1,7 @@
 """Operators on small inputs: selection, windows, un-nesting, pools, gate, tracks, manifests, rasters, sources, streams."""
 
 import hashlib
+import io
 import json
 import random
 
@@ -9,7 +10,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from framewright.functions.geometry import Box
-from framewright.operators import coverage, gate, manifests, models, planner, pool, raster, select, stages, tracks, unnest
+from framewright.operators import coverage, gate, manifests, models, planner, pool, raster, select, stages, subjects, tracks, unnest
 from framewright.sources import jsonl, storage, tables
 from framewright.streaming import incremental
 
@@ -112,6 +113,20 @@ def test_unnest(spark):
         unnest.by_phrase(spark.createDataFrame([("v", "no json")], "video_id string, cross_pair string")).collect()
 
 
+def test_rows_given_twice_keep_their_own_subjects(spark):
+    text = json.dumps({"a": pair("s_0_9", "0.1"), "b": pair("s_0_9", "0.2")})
+    other = json.dumps({"c": pair("s_0_9", "0.3")})
+    meta = spark.createDataFrame([("s_0_9", "http://h?v=s", 1), ("r_0_10", "http://h?v=r", 2)], "vid string, url string, row_idx int")
+    audit = spark.createDataFrame([("s", ".mp4", 1), ("r", ".mp4", 2)], "video string, ext string, row_idx int")
+    rows = spark.createDataFrame([("s_0_9", text), ("s_0_9", text), ("s_0_9", other)], "video_id string, cross_pair string")
+    found = planner.outcomes(rows, meta, audit)
+    assert sorted([s.phrase for s in r.subjects] for r in found.collect()) == [["a", "b"], ["a", "b"], ["c"]]
+    funnel = {(r.kind, r.name): r.n for r in planner.funnel(planner.counted(found)).collect()}
+    assert funnel == {("total", "sources_considered"): 3, ("total", "samples"): 3, ("total", "subjects_total"): 5, ("subjects", "2"): 2, ("subjects", "1"): 1}
+    none = {(r.kind, r.name): r.n for r in planner.funnel(planner.counted(found).where("false")).collect()}
+    assert none == {("total", "sources_considered"): 0, ("total", "samples"): 0, ("total", "subjects_total"): 0}
+
+
 def test_box_depth(spark):
     frame = spark.createDataFrame([("[1, 2, 3, 4]",), ("[[1, 2, 3, 4]]",), ("[[[1,2,3,4.5]],[[9,9,9,9]]]",)], "b string")
     assert [list(r[0]) for r in frame.select(unnest.box_of(F.col("b"))).collect()] == [[1, 2, 3, 4], [1, 2, 3, 4], [1, 2, 3, 4.5]]
@@ -204,8 +219,8 @@ def test_mask_stats(spark, areas, visible, low, gaps):
 
 def test_tighten_diagnostics(spark):
     none = F.lit(None).cast("int")
-    d = tracks.tighten_diagnostics(Box(*(F.lit(float(v)) for v in (0, 0, 10, 10))), Box(none, none, none, none), F.lit(5), F.lit(20), F.lit(20))
-    assert spark.range(1).select(d["fail_reason"], d["tightened"]).first()[:] == ("empty mask", False)
+    d = tracks.tighten_diagnostics(spark.range(1), Box(*(F.lit(float(v)) for v in (0, 0, 10, 10))), Box(none, none, none, none), F.lit(5), F.lit(20), F.lit(20))
+    assert d.select("id", "fail_reason", "tightened").first()[:] == (0, "empty mask", False)
 
 
 # ---- manifests ----
@@ -334,7 +349,7 @@ def test_raster_queries_draw_every_order(spark, tmp_path):
         x2, y2 = max(x1 + 1, min(round(box[2] / 16), 54)), max(y1 + 1, min(round(box[3] / 16), 30))
         masks.setdefault(o, np.zeros((30, 54), bool))[y1:y2, x1:x2] = True
         got = raster.tighten(models.RectangleSegmenter([40, 20, 150, 100]), np.zeros((120, 214, 3), np.uint8), [c / 4 for c in box])
-        traces[o, n, part, supp] = (got["rounds"], got["stop"], got["tight"])
+        traces[o, n, part, supp] = (got["rounds"], got["stop"], ",".join(map(str, got["tight"])) if got["tight"] else None)
     digests = {r.l_orderkey: (r.n_bytes, r.digest) for r in plans.mask_pack(spark, str(tmp_path)).collect()}
     assert digests == {o: (210, hashlib.sha256(np.packbits(raster.without_speckle(m), axis=-1).tobytes()).hexdigest()) for o, m in masks.items()}
     parts = {r.l_orderkey: (r.components, r.largest_share, r.pixels) for r in plans.mask_components(spark, str(tmp_path)).collect()}
@@ -407,6 +422,104 @@ def test_storage(tmp_path, monkeypatch):
         storage.storage("tape", "x")
 
 
+def test_only_passing_failures_are_tried_again():
+    turns = []
+
+    def fail(error):
+        def action():
+            turns.append(1)
+            raise error
+
+        return action
+
+    for error, tries in ((OSError("HTTP status 503"), 3), (OSError("connection reset"), 3), (PermissionError("no"), 1), (OSError("AWS Error ACCESS_DENIED: Access Denied"), 3), (OSError("got HTTP response 403 Forbidden"), 1), (OSError(28, "no space"), 1)):
+        turns.clear()
+        with pytest.raises(OSError):
+            storage.retried(fail(error), 3, 0.0)
+        assert len(turns) == (1 if "enied" in str(error) else tries)
+
+
+def test_lines_that_are_no_objects_are_named(spark, tmp_path):
+    path = tmp_path / "a.jsonl"
+    path.write_text('{"k": 1}\n\n{"x": 2}\n')
+    assert sorted(str(r.k) for r in jsonl.read_objects(spark, str(path), "k int").collect()) == ["1", "None"]
+    path.write_text('{"k": 1}\n\n[2]\n')
+    with pytest.raises(Exception, match="a.jsonl:3: not a JSON object"):
+        jsonl.read_objects(spark, str(path), "k int").collect()
+
+
+# ---- subjects ----
+
+
+def encoded(array):
+    return models.RawCodec().encode(array)
+
+
+class Square(models.RectangleSegmenter):
+    def __init__(self):
+        super().__init__([10, 10, 30, 30])
+
+
+class TwoBoxes(models.ListDetector):
+    def __init__(self):
+        super().__init__([([9.0, 9.0, 31.0, 31.0], 0.9), ([12.0, 12.0, 14.0, 14.0], 0.8)])
+
+
+def sample_rows(spark):
+    frames = np.full((3, 48, 64, 3), 90, np.uint8)
+    scale = 768 / 64
+    own = [12 * scale, 12 * scale, 28 * scale, 28 * scale]
+    subject = lambda k, box, ref: (k, "a dog in a hat", "a dog", 7, box, encoded(frames[0]) if ref else b"broken", own)
+    rows = [("s1", encoded(frames), [subject(1, own, True), subject(2, [700.0, 500.0, 760.0, 560.0], True), subject(3, own, False), subject(4, own, True)]), ("s2", b"no clip", [subject(1, own, True)]), ("s3", encoded(frames[:0]), [])]
+    kind = "sample_id string, clip binary, subjects array<struct<subject_id: int, phrase: string, query: string, seed_frame_index: int, seed_box: array<double>, reference: binary, ref_box: array<double>>>"
+    return spark.createDataFrame(rows, kind)
+
+
+def test_report_rows_by_tightening(spark):
+    got = subjects.report_rows(sample_rows(spark), models.RawCodec, Square, models.MeanEmbedder).collect()
+    built = {r.subject_id: r for r in got if r.status == "built"}
+    assert sorted(built) == [1, 2] and sorted(r.sample_id for r in got if r.status == "failed") == ["s1", "s2", "s3"]
+    one = built[1]
+    assert (one.box_ref, one.box_seed, one.pick_ref, one.both_tightened, one.identity, one.stop_ref) == ([10, 10, 30, 30], [10, 10, 30, 30], "dis", True, 1.0, "settled")
+    assert (built[2].box_seed, built[2].pick_seed, built[2].both_tightened, built[2].identity, built[2].stop_seed) == (None, "no_box", False, None, "empty")
+
+
+def test_report_rows_by_pairs(spark):
+    rows = subjects.report_rows(sample_rows(spark), models.RawCodec, Square, models.MeanEmbedder, TwoBoxes)
+    got = {r.subject_id: r for r in rows.collect() if r.status == "built"}
+    # the annotated box sees 16 x 16 pixels, the detector's the whole square; the part box is left out
+    assert (got[1].ref_candidates, got[1].seed_candidates, got[1].pairs_scored, got[1].identity, got[1].margin) == (2, 2, 4, 1.0, 0.0)
+    assert got[1].box_ref == [12, 12, 28, 28] and not got[1].used_detector
+    assert got[2].used_detector and got[2].box_seed == [10, 10, 30, 30]
+    count = subjects.counts(rows).first()
+    assert count[:] == (2, 2, 3, 1, False)
+    assert subjects.counts(rows.where("status = 'failed'")).first().aborted and not subjects.counts(rows.where("false")).first().aborted
+    assert subjects.timing(rows, 3.14159).first()[:2] == (3.14, 1.571)
+
+
+def test_crops_and_outlines():
+    frame = np.arange(6 * 5 * 3, dtype=np.uint8).reshape(6, 5, 3)
+    assert raster.crop_box(frame, [1.4, 1.6, 1.5, 99]).shape == (4, 1, 3) and raster.crop_box(frame, None) is None and raster.crop_box(frame, [1, 2, None, 4]) is None
+    mask = np.zeros((9, 9), bool)
+    mask[1:8, 1:8] = True
+    assert raster.thick_outline(mask).sum() == 49 - 9 and not raster.thick_outline(np.zeros((3, 3), bool)).any()
+
+
+def test_box_documents_and_mask_files(spark):
+    masks = np.zeros((2, 3, 10), bool)
+    masks[0, 1, 4] = True
+    rows = [("a", 2, "passed", None, [1, 0], [[4, 1, 5, 2], None], raster.pack(masks).tobytes(), 10, 2), ("a", 1, "passed", None, [0, 0], [None, None], raster.pack(masks * False).tobytes(), 10, 2), ("a", 3, "dropped", "empty_masklet", None, None, None, 10, 2), ("b", 1, "dropped", "empty_ref_mask", None, None, None, 10, 2)]
+    frame = spark.createDataFrame(rows, "sample_id string, subject_id int, status string, reason string, areas array<long>, boxes array<array<int>>, packed binary, width int, frame_count int")
+    document = manifests.box_documents(frame).collect()
+    assert [r.path for r in document] == ["bbox/a.json"]
+    told = json.loads(document[0].text)
+    assert [o["subject_id"] for o in told["objects"]] == [1, 2] and told["objects"][1]["bboxes_xyxy"][0] == [4, 1, 5, 2] and told["dropped_subjects"] == [{"subject_id": 3, "reason": "empty_masklet"}]
+    (one,) = manifests.mask_files(frame).collect()
+    data = np.load(io.BytesIO(one.data))
+    assert one.path == "masklets/a.npz" and data["source_subject_ids"].tolist() == [1, 2] and int(data["mask_width"]) == 10 and int(data["mask_format_version"]) == 2
+    assert (raster.unpack(data["subject_masks_packed"], 10)[1] == masks).all()
+
+
 # ---- streaming ----
 
 
