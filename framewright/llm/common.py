@@ -2,14 +2,15 @@
 
 from __future__ import annotations
 
-import tempfile
 from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from framewright.sources.shared import cut, remove, shared_dir  # noqa: F401 (the operators take them from here)
+
 #: Largest estimated size of a join side that is broadcast; beyond it the join shuffles.
 BROADCAST_LIMIT = 32 << 20
 #: Id that stands for a null doc_id inside the operators: before all others.
@@ -21,30 +22,6 @@ _BATCH = "spark.sql.execution.arrow.maxRecordsPerBatch"
 CHUNK_BYTES = 1 << 19
 
 
-def checkpoint_dir(spark: SparkSession) -> str:
-    """The cluster's shared folder; a temporary one only where none is configured and all runs in one process, as in tests."""
-    shared = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
-    if not shared:
-        if not spark.sparkContext.master.startswith("local["):
-            raise ValueError("spark.checkpoint.dir must name a folder that the driver and all executors share")
-        shared = f"file://{tempfile.mkdtemp(prefix='framewright-')}"
-    if spark.sparkContext.getCheckpointDir() is None:
-        spark.sparkContext.setCheckpointDir(shared)
-    return shared
-
-
-def cut(df: DataFrame) -> DataFrame:
-    """df, computed once and kept in the shared checkpoint folder."""
-    checkpoint_dir(df.sparkSession)
-    return df.checkpoint()
-
-
-def remove(spark: SparkSession, path: str) -> None:
-    """Deletes a folder of written tables that nothing reads any more."""
-    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
-    folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
-
-
 def map_arrow(df: DataFrame, function: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]], schema) -> DataFrame:
     """df.mapInArrow with batches of BATCH_ROWS: texts are large rows, and the default of 10,000 would hold tens of MB in every worker and beside every executor's heap. A session setting other than Spark's default is left alone."""
     conf = df.sparkSession.conf

@@ -121,7 +121,7 @@ SELECT r.u AS doc_id, CAST(coalesce(any_value(s.n), 0) AS BIGINT) AS n_shingles,
 
 
 OP9_SQL = r"""
-WITH page AS (
+WITH RECURSIVE page AS (
   SELECT page_id, url, translate(coalesce(regexp_extract(url, '(?s)^.*?://([^/?#]*)', 1), ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
     coalesce(regexp_extract(url, '(?s)^.*?://[^/?#]*([^?#]*)', 1), '') AS path,
     TRY_CAST(nullif(regexp_extract(url, '/([0-9]+)([.][a-z]+)?/?([?#].*)?$', 1), '') AS BIGINT) AS doc_id FROM pages),
@@ -129,21 +129,30 @@ formed AS (
   SELECT *, array_to_string(list_transform(list_filter(string_split(path, '/'), lambda x: x <> ''), lambda s:
     CASE WHEN regexp_matches(s, '^[0-9]+$') THEN '<n>' WHEN regexp_matches(s, '^[0-9]+\.[A-Za-z0-9]+$') THEN '<n>.' || string_split(s, '.')[-1]
     WHEN regexp_matches(s, '^[0-9a-fA-F-]{8,}$') AND regexp_matches(s, '[0-9]') THEN '<x>' ELSE s END), '/') AS form FROM page),
-forms AS (SELECT host, form, count(*) AS pages, CASE WHEN form = '' THEN CAST([] AS VARCHAR[]) ELSE string_split(form, '/') END AS s FROM formed GROUP BY host, form),
-steps AS (SELECT host, form, pages, i, s[i + 1] AS seg, array_to_string(s[1:i], '/') AS parent FROM (SELECT *, unnest(range(0, len(s))) AS i FROM forms)),
-child AS (SELECT host, parent, i, seg, sum(pages) AS p FROM steps WHERE seg NOT LIKE '<%' GROUP BY ALL),
-variable AS (SELECT host, parent, i FROM child GROUP BY ALL HAVING count(*) >= 20 AND sum(p) <= 2 * count(*)),
-general AS (SELECT s.host, s.form, s.i, CASE WHEN v.i IS NOT NULL AND s.seg NOT LIKE '<%' THEN '*' ELSE s.seg END AS seg FROM steps s LEFT JOIN variable v ON v.host = s.host AND v.parent = s.parent AND v.i = s.i),
-template AS (SELECT f.host, f.form, coalesce(g.template, '') AS template FROM forms f LEFT JOIN (SELECT host, form, string_agg(seg, '/' ORDER BY i) AS template FROM general GROUP BY host, form) g ON g.host = f.host AND g.form = f.form),
+forms AS (SELECT host, form, count(*) AS pages, CASE WHEN form = '' THEN CAST([] AS VARCHAR[]) ELSE string_split(form, '/') END AS whole FROM formed GROUP BY host, form),
+bounded AS (SELECT host, form, pages, CASE WHEN len(whole) > 32 THEN list_append(whole[1:31], array_to_string(whole[32:], '/')) ELSE whole END AS s FROM forms),
+grown AS (
+  SELECT host, form, pages, s, 0 AS i, '' AS template FROM bounded UNION ALL
+  SELECT host, form, pages, s, i + 1, CASE WHEN i = 0 THEN '' ELSE template || '/' END || CASE WHEN seg NOT LIKE '<%' AND children >= 20 AND p <= 2 * children THEN '*' ELSE seg END
+  FROM (SELECT *, count(DISTINCT seg) FILTER (seg NOT LIKE '<%') OVER (PARTITION BY host, template) AS children, sum(pages) FILTER (seg NOT LIKE '<%') OVER (PARTITION BY host, template) AS p
+    FROM (SELECT *, s[i + 1] AS seg FROM grown WHERE i < len(s)))),
+template AS (SELECT host, form, template FROM grown WHERE i = len(s)),
 mark AS (SELECT doc_id, bool_and(quality = 1 AND toxic = 0) AS good FROM labels GROUP BY doc_id),
 marked AS (SELECT t.host, t.template, sum(CAST(m.good AS BIGINT)) AS good, count(*) AS n FROM formed f JOIN mark m ON m.doc_id = f.doc_id JOIN template t ON t.host = f.host AND t.form = f.form GROUP BY ALL),
 base AS (SELECT coalesce(sum(good) / sum(n), 1.0) AS b FROM marked),
-leaf AS (SELECT DISTINCT host, template, CASE WHEN template = '' THEN CAST([] AS VARCHAR[]) ELSE string_split(template, '/') END AS s FROM template),
+leaf AS (
+  SELECT host, template, CASE WHEN len(whole) > 32 THEN list_append(whole[1:31], array_to_string(whole[32:], '/')) ELSE whole END AS s
+  FROM (SELECT DISTINCT host, template, CASE WHEN template = '' THEN CAST([] AS VARCHAR[]) ELSE string_split(template, '/') END AS whole FROM template)),
 every AS (SELECT host, template, d, array_to_string(s[1:d], '/') AS prefix, CASE WHEN d <= 1 THEN '' ELSE array_to_string(s[1:d - 1], '/') END AS above FROM (SELECT *, unnest(range(0, len(s) + 1)) AS d FROM leaf)),
 node AS (SELECT e.host, e.d, e.prefix, e.above, sum(m.good) AS good, sum(m.n) AS n FROM every e JOIN marked m ON m.host = e.host AND m.template = e.template GROUP BY ALL),
-standing AS (
-  SELECT c.host, c.d, c.prefix, (c.good + 10.0 * (SELECT b FROM base)) / (c.n + 10.0) AS purity FROM node c LEFT JOIN node u ON u.host = c.host AND u.d + 1 = c.d AND u.prefix = c.above
+apart AS (
+  SELECT c.host, c.d, c.prefix, c.above, c.good, c.n, coalesce((c.good + 1) / (c.n + 2) > (u.good + 1) / (u.n + 2), true) AS side
+  FROM node c LEFT JOIN node u ON u.host = c.host AND u.d + 1 = c.d AND u.prefix = c.above
   WHERE c.d = 0 OR abs((c.good + 1) / (c.n + 2) - (u.good + 1) / (u.n + 2)) > 2.0 * sqrt((u.good + 1) / (u.n + 2) * (1 - (u.good + 1) / (u.n + 2)) / (c.n + 2))),
+beside AS (SELECT *, sum(good) OVER w AS all_good, sum(n) OVER w AS all_n FROM apart WINDOW w AS (PARTITION BY host, d, above, side)),
+standing AS (
+  SELECT host, d, prefix, CASE WHEN abs((good + 1) / (n + 2) - (all_good + 1) / (all_n + 2)) > 2.0 * sqrt((all_good + 1) / (all_n + 2) * (1 - (all_good + 1) / (all_n + 2)) / (n + 2))
+    THEN (good + 10.0 * (SELECT b FROM base)) / (n + 10.0) ELSE (all_good + 10.0 * (SELECT b FROM base)) / (all_n + 10.0) END AS purity FROM beside),
 judged AS (SELECT e.host, e.template, arg_max(s.purity, e.d) AS purity FROM every e JOIN standing s ON s.host = e.host AND s.d = e.d AND s.prefix = e.prefix GROUP BY ALL),
 bad AS (SELECT t.host, t.form FROM template t JOIN judged j ON j.host = t.host AND j.template = t.template WHERE j.purity < 0.5),
 rule AS (SELECT * FROM (VALUES ('block', 'net', '/'), ('allow', 'example.net', '/en/'), ('block', 'example.com', '/de/'), ('allow', 'org', '/fr/')) r(verdict, h, p)),

@@ -9,8 +9,8 @@ Defined results: a null text stays null and has no lines; a null host is a site
 its own; lines without a character other than white space are never boilerplate
 and always stay; a line that a page repeats counts once for the page; repeated
 rows count as pages of their own; an empty table gives an empty table. Columns
-besides the text pass through whatever their names are (a column __dropped of the input
-stands beside the count that `drop_lines` adds, so leave it out to read the count).
+besides the text pass through whatever their names are (the count's name can be chosen, or
+left out).
 """
 
 from __future__ import annotations
@@ -48,8 +48,8 @@ def boilerplate(docs: DataFrame, host_col: str = "source", text_col: str = "text
     return counts.join(totals.withColumnRenamed("host", "h"), F.col("host").eqNullSafe(F.col("h"))).where(F.col("pages") > F.col("total") * F.lit(ratio)).drop("h")
 
 
-def drop_lines(docs: DataFrame, host_col: str = "source", text_col: str = "text", ratio: float = RATIO, min_pages: int = MIN_PAGES, limit: int = BROADCAST_LIMIT) -> DataFrame:
-    """docs with boilerplate lines taken out of the text; __dropped counts the lines that went.
+def drop_lines(docs: DataFrame, host_col: str = "source", text_col: str = "text", ratio: float = RATIO, min_pages: int = MIN_PAGES, limit: int = BROADCAST_LIMIT, count_col: str | None = "__dropped") -> DataFrame:
+    """docs with boilerplate lines taken out of the text; count_col, if named, counts the lines that went.
 
     Each site has at most (mean lines a page) / ratio boilerplate lines, one array row per
     site; that table is broadcast only if its measured size is under the limit, else sites
@@ -65,7 +65,7 @@ def drop_lines(docs: DataFrame, host_col: str = "source", text_col: str = "text"
     kept = F.filter(split, lambda x: x.rlike(_BLANK) | ~F.array_contains(F.col("__lines"), line_key(x)))
     cleaned = F.when(F.col("__lines").isNull() | text.isNull(), text).otherwise(F.array_join(kept, "\n"))
     n = F.when(F.col("__lines").isNull() | text.isNull(), F.lit(0)).otherwise(F.size(split) - F.size(kept))
-    return joined.select(*[(cleaned if c == text_col else F.col("__row").getField(c)).alias(c) for c in docs.columns], n.cast("long").alias("__dropped"))
+    return joined.select(*[(cleaned if c == text_col else F.col("__row").getField(c)).alias(c) for c in docs.columns], *([n.cast("long").alias(count_col)] if count_col else []))
 
 
 def digests(docs: DataFrame) -> DataFrame:

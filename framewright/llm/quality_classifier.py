@@ -24,6 +24,7 @@ import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from framewright.llm.common import chunks, cut, map_arrow, text_buffers
 from framewright.llm.hashing import Prefixes, Words, byte_values
@@ -237,11 +238,13 @@ def keep_good(docs: DataFrame, model: Model, text_col: str = "text", least: floa
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            texts = pa.RecordBatch.from_arrays([pa.array(range(batch.num_rows)), batch.column(text_col).fill_null("")], names=["i", "__text"])
-            keep = [model.score(statistics(*text_buffers(c.column("__text")))) >= least for c in chunks(iter([texts]))]
-            yield batch.filter(pa.array(np.concatenate(keep) if keep else [], pa.bool_()))
+            keep = [model.score(statistics(*text_buffers(c.column("__text")))) >= least for c in chunks(iter([batch]))]
+            mask = pa.array(np.concatenate(keep) if keep else [], pa.bool_())
+            yield pa.RecordBatch.from_arrays([batch.column("__row").filter(mask)], names=["__row"])
 
-    return map_arrow(docs, run, docs.schema)
+    # the row stands apart from the text, so none of its columns' names can be in the way
+    rows = docs.select(F.coalesce(F.col(f"`{text_col}`"), F.lit("")).alias("__text"), F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("__row"))
+    return map_arrow(rows, run, StructType([rows.schema["__row"]])).select("__row.*")
 
 
 def digests(docs: DataFrame, labels: DataFrame) -> DataFrame:

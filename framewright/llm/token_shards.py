@@ -35,7 +35,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from framewright.llm import bulk_bpe
-from framewright.llm.common import KEY, checkpoint_dir, cut, join_checked, map_arrow, row_key
+from framewright.llm.common import KEY, cut, join_checked, map_arrow, row_key, shared_dir
 from framewright.llm.hashing import mix
 
 #: Tokens of a sequence; sequences of a shard; key of the order; end mark.
@@ -209,4 +209,4 @@ def read(folder: str, start: int, count: int, length: int = LENGTH, shard: int =
 
 def materialise(docs: DataFrame, path: str) -> DataFrame:
     """write() into a new folder beside the checkpoints."""
-    return write(docs, path, f"{checkpoint_dir(docs.sparkSession)}/token-shards-{uuid.uuid4().hex}")
+    return write(docs, path, f"{shared_dir(docs.sparkSession)}/token-shards-{uuid.uuid4().hex}")

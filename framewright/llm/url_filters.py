@@ -1,13 +1,20 @@
 """URL filters: hand-written rules first, then a path-template tree with labelled purity.
 
 Each host has a tree of path segments. Segments that are numbers or hexadecimal ids are
-generalised by their form; where a place of the tree has many literal children that
-hardly recur, they become one wildcard. A branch whose labelled purity does not differ
-statistically from its parent's is merged into it; so a template is judged by its
-deepest ancestor that stands out, and rejected when that branch's smoothed share of good
+generalised by their form. Then the tree is generalised level by level from the root:
+where a place, below parents that are generalised already, has many literal children that
+hardly recur, they become one wildcard, and what is below them becomes one branch.
+
+A branch whose labelled purity does not differ statistically from its parent's is merged
+into it. Of those that do, siblings on the same side of their parent are merged with each
+other where they do not differ from what they are together. A template is judged by its
+deepest branch that stands out, and rejected when that branch's smoothed share of good
 labels is under a threshold. DataFrame functions only; every step aggregates before it
 shuffles, so a hot host costs a row per template and task.
 
+The tree has DEPTH levels at most; what follows is one last segment, so the work is
+linear in a path's length and the number of rounds bounded.
+
 Defined results: a null url, or one without ://, has an empty host and path; a host
 without labels has the overall purity; without any labels nothing is rejected; repeated
 rows count as pages each; an empty table gives an empty one; other columns (html) are
@@ -25,7 +32,9 @@ from framewright.llm.common import ascii_lower, cut, join_checked
 RULES = (("block", "net", "/"), ("allow", "example.net", "/en/"), ("block", "example.com", "/de/"), ("allow", "org", "/fr/"))
 #: A place of the tree is variable with so many literal children, if they have at most so many pages each on average.
 CHILDREN, PAGES_EACH = 20, 2
-#: Standard errors by which a branch must differ from its parent to stand alone.
+#: Levels of the tree; the rest of a longer path is the last level's segment.
+DEPTH = 32
+#: Standard errors by which a branch must differ from its parent, or from its siblings together, to stand alone.
 Z = 2.0
 #: Pages of overall purity that smooth each branch, and the least purity of an allowed template.
 PRIOR, PURITY = 10.0, 0.5
@@ -64,28 +73,68 @@ def form_path(path: Column) -> Column:
 
 
 def _segments(form: str) -> Column:
-    return F.when(F.col(form) == "", F.array().cast("array<string>")).otherwise(F.split(F.col(form), "/"))
+    return F.when(F.col(form) == "", F.array().cast("array<string>")).otherwise(F.split(F.col(form), "/", DEPTH))
 
 
 def templates(pages: DataFrame, url_col: str = "url") -> DataFrame:
-    """host, form, template of every distinct form of path."""
+    """host, form, template of every distinct form of path. One round a level, each of an aggregation and a join with the variable places it has found."""
     url = F.col(f"`{url_col}`")
-    forms = pages.select(host_of(url).alias("host"), form_path(path_of(url)).alias("form")).groupBy("host", "form").agg(F.count("*").alias("pages"))
-    steps = forms.select("host", "form", "pages", F.posexplode_outer(_segments("form")).alias("i", "seg"))
-    steps = steps.withColumn("parent", F.when(F.col("i") > 0, F.array_join(F.slice(_segments("form"), F.lit(1), F.col("i")), "/")).otherwise(""))
-    variable = (
-        steps.where(F.col("seg").isNotNull() & ~F.col("seg").startswith("<"))
-        .groupBy("host", "parent", "i", "seg")
-        .agg(F.sum("pages").alias("p"))
-        .groupBy("host", "parent", "i")
-        .agg(F.count("*").alias("children"), F.sum("p").alias("p"))
-        .where((F.col("children") >= CHILDREN) & (F.col("p") <= F.col("children") * PAGES_EACH))
-        .select("host", "parent", "i", F.lit(True).alias("any"))
-    )
-    general = steps.join(variable, ["host", "parent", "i"], "left").withColumn("seg", F.when(F.col("any") & ~F.col("seg").startswith("<"), F.lit("*")).otherwise(F.col("seg")))
-    return general.groupBy("host", "form").agg(
-        F.array_join(F.transform(F.sort_array(F.collect_list(F.when(F.col("seg").isNotNull(), F.struct("i", "seg")))), lambda x: x["seg"]), "/").alias("template")
+    forms = cut(pages.select(host_of(url).alias("host"), form_path(path_of(url)).alias("form")).groupBy("host", "form").agg(F.count("*").alias("pages")))
+    rows = forms.select("host", "form", "pages", _segments("form").alias("s"), F.lit("").alias("template"))
+    levels = rows.agg(F.max(F.size("s"))).first()[0] or 0
+    for level in range(levels):
+        seg = F.get("s", F.lit(level))
+        literal = ~seg.startswith("<")
+        variable = cut(
+            rows.where(seg.isNotNull() & literal)
+            .groupBy("host", "template", seg.alias("seg"))
+            .agg(F.sum("pages").alias("p"))
+            .groupBy("host", "template")
+            .agg(F.count("*").alias("children"), F.sum("p").alias("p"))
+            .where((F.col("children") >= CHILDREN) & (F.col("p") <= F.col("children") * PAGES_EACH))
+            .select("host", "template", F.lit(True).alias("any"))
+        )
+        if variable.isEmpty():
+            rows = rows.withColumn("any", F.lit(False))
+        else:
+            rows = join_checked(rows, variable, ["host", "template"], F.length("host") + F.length("template") + 40)
+        own = F.when(F.col("any") & literal, F.lit("*")).otherwise(seg)
+        longer = F.when(F.col("template") == "", own).otherwise(F.concat("template", F.lit("/"), own))
+        rows = rows.select("host", "form", "pages", "s", F.when(seg.isNull(), F.col("template")).otherwise(longer).alias("template"))
+    return rows.select("host", "form", "template")
+
+
+def _smoothed(good: str, n: str, base: float) -> Column:
+    return (F.col(good) + PRIOR * base) / (F.col(n) + PRIOR)
+
+
+def branches(marked: DataFrame, base: float) -> DataFrame:
+    """host, d, prefix, purity of the branches that stand out, the root among them; marked: host, template, good, n."""
+    depths = F.sequence(F.lit(0), F.size(_segments("template")))
+    nodes = cut(
+        marked.select("host", "template", "good", "n", F.explode(depths).alias("d"))
+        .select("host", "d", _prefix(F.col("d")).alias("prefix"), _prefix(F.col("d") - 1).alias("above"), "good", "n")
+        .groupBy("host", "d", "prefix", "above")
+        .agg(F.sum("good").alias("good"), F.sum("n").alias("n"))
     )
+    up = nodes.select("host", (F.col("d") + 1).alias("d"), F.col("prefix").alias("above"), F.col("good").alias("up_good"), F.col("n").alias("up_n"))
+    own, parent = (F.col("good") + 1) / (F.col("n") + 2), (F.col("up_good") + 1) / (F.col("up_n") + 2)
+
+    def differs(a: Column, b: Column) -> Column:
+        return F.abs(a - b) > Z * F.sqrt(b * (1 - b) / (F.col("n") + 2))
+
+    standing = nodes.join(up, ["host", "d", "above"], "left").where((F.col("d") == 0) | differs(own, parent))
+    standing = cut(standing.select("host", "d", "prefix", "above", "good", "n", F.coalesce(own > parent, F.lit(True)).alias("side")))
+    beside = ["host", "d", "above", "side"]
+    together = standing.groupBy(*beside).agg(F.sum("good").alias("all_good"), F.sum("n").alias("all_n"))
+    pooled = (F.col("all_good") + 1) / (F.col("all_n") + 2)
+    joined = standing.join(together, beside)
+    return joined.select("host", "d", "prefix", F.when(differs(own, pooled), _smoothed("good", "n", base)).otherwise(_smoothed("all_good", "all_n", base)).alias("purity"))
+
+
+def _prefix(depth: Column) -> Column:
+    """The first segments of the column template, as text."""
+    return F.when(depth <= 0, F.lit("")).otherwise(F.array_join(F.slice(_segments("template"), F.lit(1), F.greatest(depth, F.lit(0))), "/"))
 
 
 def rejected(pages: DataFrame, labelled: DataFrame, url_col: str = "url") -> DataFrame:
@@ -95,23 +144,9 @@ def rejected(pages: DataFrame, labelled: DataFrame, url_col: str = "url") -> Dat
     marks = marks.groupBy("host", "form").agg(F.sum("g").alias("good"), F.count("g").alias("n"))
     marked = cut(marks.join(found, ["host", "form"]).groupBy("host", "template").agg(F.sum("good").alias("good"), F.sum("n").alias("n")))
     good, n = marked.agg(F.sum("good"), F.sum("n")).first()
-    base = (good or 0) / n if n else 1.0
-    depths = F.sequence(F.lit(0), F.size(_segments("template")))
-    prefix = F.when(F.col("d") == 0, F.lit("")).otherwise(F.array_join(F.slice(_segments("template"), F.lit(1), F.col("d")), "/"))
-    above = F.when(F.col("d") <= 1, F.lit("")).otherwise(F.array_join(F.slice(_segments("template"), F.lit(1), F.col("d") - 1), "/"))
-    nodes = (
-        marked.select("host", "template", "good", "n", F.explode(depths).alias("d"))
-        .select("host", "d", prefix.alias("prefix"), above.alias("above"), "good", "n")
-        .groupBy("host", "d", "prefix", "above")
-        .agg(F.sum("good").alias("good"), F.sum("n").alias("n"))
-    )
-    nodes = cut(nodes)
-    up = nodes.select("host", (F.col("d") + 1).alias("d"), F.col("prefix").alias("above"), F.col("good").alias("up_good"), F.col("n").alias("up_n"))
-    own, parent = (F.col("good") + 1) / (F.col("n") + 2), (F.col("up_good") + 1) / (F.col("up_n") + 2)
-    differs = F.abs(own - parent) > Z * F.sqrt(parent * (1 - parent) / (F.col("n") + 2))
-    nodes = nodes.join(up, ["host", "d", "above"], "left").where((F.col("d") == 0) | differs)
-    nodes = nodes.select("host", "d", "prefix", ((F.col("good") + PRIOR * base) / (F.col("n") + PRIOR)).alias("purity"))
-    every = found.select("host", "template").distinct().select("host", "template", F.explode(depths).alias("d")).select("host", "template", "d", prefix.alias("prefix"))
+    nodes = branches(marked, (good or 0) / n if n else 1.0)
+    every = found.select("host", "template").distinct().select("host", "template", F.explode(F.sequence(F.lit(0), F.size(_segments("template")))).alias("d"))
+    every = every.select("host", "template", "d", _prefix(F.col("d")).alias("prefix"))
     judged = every.join(nodes, ["host", "d", "prefix"]).groupBy("host", "template").agg(F.max_by("purity", "d").alias("purity"))
     return cut(found.join(judged.where(F.col("purity") < PURITY), ["host", "template"]).select("host", "form"))
 

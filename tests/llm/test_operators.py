@@ -460,6 +460,44 @@ def test_many_children_become_a_wildcard(spark):
     assert {got[f"u/name-{i}/home"] for i in range(60)} == {"u/*/home"} and got["about/x"] == "about/x"
 
 
+def test_wildcards_below_wildcards(spark):
+    urls = [f"http://h.org/u/user-{i}x/post-{chr(97 + i % 26)}{i}z" for i in range(60)] + ["http://h.org/u/user-1x/post-b1z/more"] * 2
+    got = {r.form: r.template for r in url_filters.templates(spark.createDataFrame([(u,) for u in urls], "url string")).collect()}
+    assert set(got.values()) == {"u/*/*", "u/*/*/more"}
+
+
+def test_a_label_below_a_wildcard_does_not_escape(spark):
+    urls = [f"http://h.org/u/user-{i}x/p/post-{i}z" for i in range(60)]
+    other = [f"http://h.org/news/{i}" for i in range(60)]
+    labels = [(u, k == 0) for k, u in enumerate(urls[:40])] + [(u, True) for u in other]
+    pages = spark.createDataFrame(list(enumerate(urls + other)), "page_id long, url string")
+    got = {r.page_id: r.verdict for r in url_filters.judge(pages, spark.createDataFrame(labels, "url string, good boolean")).collect()}
+    assert all(got[k] == ("block" if k < 60 else "allow") for k in range(120))
+
+
+def test_similar_siblings_are_judged_together(spark):
+    """Four branches of four bad labels each: alone each is too small to be rejected."""
+    bad = [f"http://h.org/{d}/{i}" for d in ("spam", "junk", "ads", "casino") for i in range(4)]
+    good = [f"http://h.org/{d}/{i}" for d in ("news", "blog") for i in range(60)]
+    rows = bad + good
+    pages = spark.createDataFrame(list(enumerate(rows)), "page_id long, url string")
+    labels = spark.createDataFrame([(u, u in good) for u in rows], "url string, good boolean")
+    got = {r.page_id: r.verdict for r in url_filters.judge(pages, labels).collect()}
+    assert all(got[k] == ("block" if k < 16 else "allow") for k in range(len(rows)))
+    one = url_filters.judge(pages.where("page_id < 4 or page_id >= 16"), labels.where("url like '%spam%' or good")).where("page_id < 4").collect()
+    assert {r.verdict for r in one} == {"allow"}
+
+
+def test_urls_that_are_long_repeated_or_null(spark):
+    deep = "http://h.org/" + "/".join(f"a{i % 7}" for i in range(200_000))
+    urls = [deep, deep, deep + "/x", None, None, "", "http://h.org//", "HTTP://H.org/a0/", "http://h.org/" + "b" * 1_000_000]
+    pages = spark.createDataFrame([(i % 6, u) for i, u in enumerate(urls)], "page_id long, url string").withColumns({c: F.lit("mine") for c in ("host", "form", "template", "any", "s", "rule")})
+    labels = spark.createDataFrame([(deep, False), (deep, True), (None, True)], "url string, good boolean")
+    got = url_filters.judge(pages, labels).collect()
+    assert len(got) == len(urls) and {len(r.path) for r in got if r.path.startswith("/a0/a1")} == {len(deep) - 12, len(deep) - 10}
+    assert all(r.verdict == "allow" for r in got)
+
+
 # ---- 10 token shards ----
 
 

@@ -64,6 +64,37 @@ def test_run(spark, stages):
     assert {r.doc_id for r in corpus_pipeline.run(spark, SF).collect()} == {r.doc_id for r in stages[4][1]}
 
 
+STAGE = dict(corpus_pipeline.STAGES)
+
+
+@pytest.mark.parametrize("name", list(STAGE))
+def test_stages_take_odd_rows_and_empty_tables(spark, odd_docs, no_docs, odd_rows, name):
+    """Null and empty texts, a text over 1 MB, repeated rows, clashing names, an empty table."""
+    got = STAGE[name](spark, odd_docs, SF).collect()
+    assert STAGE[name](spark, no_docs, SF).count() == 0
+    if name == "BPE encoding and decoding":
+        assert sorted(str(r.doc_id) for r in got) == sorted(str(i) for i, _ in odd_rows)
+        assert all(r.n_tokens == 0 and bytes(r.ids) == b"" for r in got if r.doc_id in (1, 2, 3))
+        return
+    assert STAGE[name](spark, odd_docs, SF).columns == odd_docs.columns
+    assert all(r["__id"] == r["__row"] == r["a.b"] == "mine" and r.n_words == 1 for r in got)
+    kept = sorted((str(r.doc_id), str(r.text)) for r in got)
+    if name == "quality classifier":
+        assert set(kept) <= {(str(i), str(t)) for i, t in odd_rows}
+        assert all(kept.count(k) == [(str(i), str(t)) for i, t in odd_rows].count(k) for k in kept)
+    elif name == "line dedup":
+        want = spec_lines([(i, "src", t) for i, t in odd_rows], line_dedup.RATIO, line_dedup.MIN_PAGES)
+        assert kept == sorted((str(i), str(t)) for i, t in want)
+    elif name == "n-gram Jaccard join":
+        worded = {i for i, n, c in brute.jaccard(odd_rows) if n and i == c}
+        assert {r.doc_id for r in got if (r.text or "").strip()} == worded and sum(1 for r in got if not (r.text or "").strip()) == sum(1 for _, t in odd_rows if not (t or "").strip())
+        assert len({(r.doc_id, r.text) for r in got if (r.text or "").strip()}) == sum(1 for r in got if (r.text or "").strip())
+    else:
+        items = [(r.item_id, r.text) for r in spark.read.parquet(f"{SF}/benchmark.parquet").collect()]
+        bad = {i for i, *_, gone in brute.decontam(odd_rows, items) if gone}
+        assert kept == sorted((str(i), str(t)) for i, t in odd_rows if i not in bad)
+
+
 @pytest.mark.parametrize("name", sorted(entry.oracle_sql()))
 def test_query_equals_sql(spark, name):
     duck = duckdb.connect()
