@@ -1,16 +1,17 @@
 """Quality rules: a hashed n-gram log-likelihood ratio between a trusted target and the raw corpus.
 
-Every word becomes its shape (runs of small letters, capitals, other letters and
-digits shrink to one sign each; other characters stay), and the shapes' unigrams and
-bigrams are hashed into buckets. Two multinomials over the buckets, of the trusted
+The unigrams and bigrams of a text's lower-cased words are hashed into buckets, whose number
+grows with the cube root of the corpus. Two multinomials over the buckets, of the trusted
 documents and of all documents, give each bucket a log-likelihood ratio; a document's
 score is the mean over its n-grams, so length does not count. It is kept when the
-score is at least THRESHOLD and the base rules hold. DataFrame functions only.
+score is at least THRESHOLD and the base rules hold. DataFrame functions only: n-grams
+are counted and scored as rows, combined before every shuffle, and the table of ratios is
+broadcast only under a measured size.
 
 Defined results: null and empty texts have no words, fail the base rules and score 0;
 repeated ids among the trusted count once; repeated rows count as documents each and
-get the same result; without trusted documents all scores fall to the same value and
-the base rules alone decide (`trusted` empty: ratio 0); other columns are not read.
+get the same result; without trusted documents all scores are 0 and the base rules alone
+decide; an empty table gives an empty one; other columns are not read.
 """
 
 from __future__ import annotations
@@ -20,11 +21,13 @@ import math
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from framewright.llm.common import join_checked
+from framewright.llm.common import KEY, cut, join_checked, row_key, total_bytes
 
-#: Buckets of the hashed n-grams: the only thing that goes through the driver, whatever the input's size.
-BUCKETS = 1 << 14
-#: Added to every bucket's count.
+#: Buckets of the hashed n-grams for each unit of the cube root of the corpus's bytes (then rounded up to a power of two): 2^13 for 2 MB, 2^16 for 1.5 GB, 2^22 for 100 TB.
+BUCKETS_EACH = 32
+#: Largest table of ratios that is broadcast.
+TABLE_LIMIT = 128 << 20
+#: Added to every bucket's count among the trusted, and its like in all documents.
 SMOOTHING = 1.0
 #: Least mean log-likelihood ratio (nats an n-gram) of a kept document.
 THRESHOLD = -0.15
@@ -40,43 +43,42 @@ def words_of(text: Column) -> Column:
     return F.when(trimmed == "", F.array().cast("array<string>")).otherwise(F.split(trimmed, r"[\x20\x09-\x0D]+"))
 
 
-def shape_of(text: Column) -> Column:
-    """The text with each run of letters of a kind, or of digits, as one sign. Plain small letters shrink first, so the later patterns see a short text."""
-    for pattern, sign in (("[a-z]+", "a"), (r"\p{Ll}+", "a"), (r"\p{Lu}+", "A"), (r"\p{Nd}+", "9"), (r"[\p{Lo}\p{Lm}\p{Lt}]+", "o")):
-        text = F.regexp_replace(text, pattern, sign)
-    return text
-
-
 def hashes_of(words: Column) -> Column:
     return F.transform(words, lambda w: F.xxhash64(w))
 
 
-def buckets_of(hashes: str) -> Column:
-    """Buckets of the unigrams and bigrams of a column of word hashes."""
-    h = F.col(hashes)
-    bucket = lambda x: F.pmod(x, F.lit(BUCKETS)).cast("int")
-    pairs = F.zip_with(F.slice(h, F.lit(1), F.size(h) - 1), F.slice(h, F.lit(2), F.size(h) - 1), lambda a, b: bucket(F.xxhash64(a, b)))
-    return F.concat(F.transform(h, bucket), F.when(F.size(h) > 1, pairs).otherwise(F.array().cast("array<int>")))
-
-
-def weights(docs: DataFrame, trusted: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> list[float]:
-    """The log-likelihood ratio of each bucket. trusted: a column of ids, the target; counts are combined before the shuffle and end as BUCKETS rows."""
-    target = trusted.select(F.col(trusted.columns[0]).alias("__id")).where("__id is not null").distinct().withColumn("__t", F.lit(1))
-    shapes = docs.select(F.col(f"`{id_col}`").alias("__id"), hashes_of(words_of(shape_of(F.coalesce(F.col(f"`{text_col}`"), F.lit(""))))).alias("h"))
-    marked = join_checked(shapes, target, ["__id"], F.lit(32))
-    counts = (
-        marked.select(F.coalesce("__t", F.lit(0)).alias("t"), F.explode(buckets_of("h")).alias("b"))
-        .groupBy("b")
-        .agg(F.count("*").alias("raw"), F.sum("t").alias("target"))
-        .collect()
-    )
-    raw, good = [0] * BUCKETS, [0] * BUCKETS
-    for row in counts:
-        raw[row["b"]], good[row["b"]] = row["raw"], row["target"]
-    if not sum(good):
-        return [0.0] * BUCKETS
-    all_raw, all_good = sum(raw) + SMOOTHING * BUCKETS, sum(good) + SMOOTHING * BUCKETS
-    return [math.log((g + SMOOTHING) / all_good) - math.log((r + SMOOTHING) / all_raw) for g, r in zip(good, raw)]
+def bucket_count(text_bytes: int) -> int:
+    return 1 << max(10, math.ceil(math.log2(BUCKETS_EACH * max(1, text_bytes) ** (1 / 3))))
+
+
+def grams(docs: DataFrame, buckets: int, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """KEY and b, the bucket of each unigram and bigram: a row for each of them."""
+    bucket = lambda x: F.pmod(x, F.lit(buckets)).cast("int")
+    rows = docs.select(*row_key(docs, id_col, text_col)).select(*KEY, hashes_of(words_of(F.lower("__text"))).alias("h"))
+    pairs = F.zip_with("h", F.slice("h", F.lit(2), F.size("h")), lambda a, b: bucket(F.xxhash64(a, b)))
+    both = F.concat(F.transform("h", bucket), F.when(F.size("h") > 1, F.slice(pairs, F.lit(1), F.size("h") - 1)).otherwise(F.array().cast("array<int>")))
+    return rows.select(*KEY, F.explode(both).alias("b"))
+
+
+def ratios(docs: DataFrame, trusted: DataFrame, buckets: int, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """b, ratio: the log-likelihood ratio of each bucket in use; cut. trusted: a column of ids, the target."""
+    target = cut(trusted.select(F.col(trusted.columns[0]).cast("long").alias("__id")).where("__id is not null").distinct().withColumn("__t", F.lit(1)))
+    marked = join_checked(grams(docs, buckets, id_col, text_col), target, ["__id"], F.lit(32))
+    counts = cut(marked.groupBy("b").agg(F.count("*").alias("raw"), F.count("__t").alias("target")))
+    raw, good = counts.agg(F.sum("raw"), F.sum("target")).first()
+    if not good:
+        return counts.select("b", F.lit(0.0).alias("ratio"))
+    # the pseudo-counts of both multinomials are in the proportion of their totals, so a bucket that is rare in both says little
+    ratio = F.log((F.col("target") + SMOOTHING) / (F.col("raw") * (good / raw) + SMOOTHING))
+    return cut(counts.select("b", ratio.alias("ratio")))
+
+
+def scores(docs: DataFrame, trusted: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """KEY, score of every distinct document that has words; cut."""
+    buckets = bucket_count(total_bytes(docs, text_col))
+    table = ratios(docs, trusted, buckets, id_col, text_col)
+    rows = join_checked(grams(docs, buckets, id_col, text_col), table, ["b"], F.lit(24), "inner", TABLE_LIMIT)
+    return cut(rows.groupBy(*KEY).agg(F.avg("ratio").alias("score")))
 
 
 def base_rules(rows: DataFrame, text_col: str = "text") -> DataFrame:
@@ -112,19 +114,10 @@ def base_rules(rows: DataFrame, text_col: str = "text") -> DataFrame:
     return out.withColumn("base_failed", (F.col("n_words") < 10) | (F.col("n_repeat_words") * 100 > F.col("n_words") * 20))
 
 
-def score(buckets: str, ratios: list[float]) -> Column:
-    """The mean ratio of a column of buckets."""
-    table = F.split(F.lit(",".join(map(repr, ratios))), ",").cast("array<double>")
-    total = F.aggregate(buckets, F.lit(0.0), lambda a, b: a + F.get(table, b))
-    return F.when(F.size(buckets) == 0, F.lit(0.0)).otherwise(total / F.size(buckets))
-
-
 def judge(docs: DataFrame, trusted: DataFrame, id_col: str = "doc_id", text_col: str = "text", threshold: float = THRESHOLD) -> DataFrame:
-    """id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, score, kept of every document: one narrow pass after the counts."""
-    ratios = weights(docs, trusted, id_col, text_col)
-    rows = docs.select(F.col(f"`{id_col}`").alias("__doc"), F.coalesce(F.col(f"`{text_col}`"), F.lit("")).alias("text"))
-    rows = rows.withColumn("__g", hashes_of(words_of(shape_of(F.col("text"))))).withColumn("__g", buckets_of("__g")).select("__doc", "text", score("__g", ratios).alias("score"))
-    rows = base_rules(rows)
+    """id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, score, kept of every document."""
+    rows = base_rules(docs.select(F.col(f"`{id_col}`").alias("__doc"), *row_key(docs, id_col, text_col)), "__text").drop("__text")
+    rows = join_checked(rows, scores(docs, trusted, id_col, text_col), KEY, F.lit(48)).withColumn("score", F.coalesce("score", F.lit(0.0)))
     return rows.select(
         F.col("__doc").alias(id_col), "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "score",
         (~F.col("base_failed") & (F.col("score") >= threshold)).alias("kept"),
