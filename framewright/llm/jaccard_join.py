@@ -9,18 +9,24 @@
 3. For the classes left, exact document frequencies order each set rare first. Its
    prefix has n - ceil(0.8 n) + 1 shingles; those that no other set holds come first
    and need no join. Sets are renumbered to the positions of shared shingles.
-4. Prefix shingles are joined under length and positional filters; each pair is
-   checked once, by a suffix filter and then by the exact intersection.
+   A shingle that more than HOT sets hold is counted by batches and numbered from a
+   table that every task has, so no task gathers its holders.
+4. Prefix shingles are joined under length and positional filters; a pair is checked by
+   a suffix filter and then by the exact intersection, and pairs that have been checked
+   are left out of later rounds, so each is verified once.
 5. First come rounds of stars: each set is paired with one other that shares a prefix
    shingle, so large groups of near copies become one component from a linear number
    of pairs. The last round compares every pair that shares a prefix shingle and is
    not connected yet, at its first common shingle, so no link between components is
-   lost.
+   lost. It goes by pairs of components that meet in a shingle, so a component's own
+   members are never paired.
 
 Defined results: null texts and texts without words have an empty set and stand
 alone; fewer than five words are one shingle; a null doc_id counts as the smallest;
 repeated rows are copies; rows that share a doc_id but not the text are separate
-nodes with one id; other columns are not read. Shingles are 64-bit hashes.
+nodes with one id; an empty table gives an empty one; other columns are not read.
+Shingles are 64-bit hashes, and a set is known by the sum of its hashes, mixed, and its
+size.
 """
 
 from __future__ import annotations
@@ -46,6 +52,8 @@ NUM, DEN = 4, 5
 SAMPLED = 0.3
 #: Rounds of stars before all remaining pairs are compared.
 STARS = 4
+#: Sets whose common shingle is gathered by one task; more common shingles go by a table of at most HOT_KEYS entries (16 bytes each), the most common ones.
+HOT, HOT_KEYS = 50_000, 2 << 20
 
 #: kind 0: a shingle; 1: one that recurs in its batch; 2: a count of shared shingles; 3: a document's set (a: its hash, n: size, s: sampled shingles).
 SHARED = {"=a": "<u8"} | blobs.OWNER | {"n": "<i4", "s": "<i4", "kind": "u1"}
@@ -200,6 +208,9 @@ def ranked_sets(docs: DataFrame, sets: DataFrame, id_col: str = "doc_id", text_c
     rows = join_checked(texts, nodes.select("node", *KEY), KEY, F.lit(48), "inner")
     buckets = blobs.buckets_for(total_bytes(docs, text_col))
 
+    # no shingle can have more holders than there are sets
+    hot, hot_df = common_shingles(rows, buckets) if nodes.count() > HOT else (np.empty(0, np.uint64), np.empty(0, np.int32))
+
     def held(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         parts: list[Columns] = []
         size = 0
@@ -207,7 +218,14 @@ def ranked_sets(docs: DataFrame, sets: DataFrame, id_col: str = "doc_id", text_c
         def flush() -> pa.RecordBatch:
             c = blobs.concat(parts)
             c = blobs.take(c, np.argsort(c["node"], kind="stable"))
-            return blobs.batch_of(*blobs.scatter(c, bucket_of(c["a"], buckets), HELD))
+            at = np.minimum(np.searchsorted(hot, c["a"]), max(len(hot) - 1, 0))
+            known = hot[at] == c["a"] if len(hot) else np.zeros(len(c["a"]), bool)
+            own, rest = blobs.take(c, known), blobs.take(c, ~known)
+            own = {"node": own["node"], "n": own["n"], "t": (1 << 62) + at[known], "df": hot_df[at[known]]}
+            sent = [blobs.scatter(own, id_bucket(own["node"], buckets), RANKED), blobs.scatter(rest, bucket_of(rest["a"], buckets), HELD)]
+            kinds = [kind for kind, (numbers, _) in zip((1, 0), sent) for _ in numbers]
+            columns = [pa.array([x for s in sent for x in s[k]], kind) for k, kind in ((0, pa.int64()), (1, pa.binary()))]
+            return pa.RecordBatch.from_arrays([columns[0], pa.array(kinds, pa.int32()), columns[1]], names=["bucket", "kind", "blob"])
 
         for batch in chunks(batches):
             doc, grams = shingle_sets(*text_buffers(batch.column("__text")))
@@ -221,6 +239,8 @@ def ranked_sets(docs: DataFrame, sets: DataFrame, id_col: str = "doc_id", text_c
             yield flush()
 
     def frequencies(pdf: pd.DataFrame) -> pd.DataFrame:
+        if pdf["kind"].iloc[0] == 1:
+            return pdf[["bucket", "blob"]]
         c = blobs.unpack(pdf["blob"], HELD)
         order, pair = blobs.groups(c["a"], c["node"])
         order = order[np.diff(pair, prepend=-1) != 0]  # repeated rows
@@ -236,7 +256,8 @@ def ranked_sets(docs: DataFrame, sets: DataFrame, id_col: str = "doc_id", text_c
 
     def ordered(pdf: pd.DataFrame) -> pd.DataFrame:
         c = blobs.unpack(pdf["blob"], RANKED)
-        c = blobs.take(c, np.lexsort((c["t"], c["df"], c["node"])))
+        order, same = blobs.groups(c["node"], c["df"], c["t"])
+        c = blobs.take(c, order[np.diff(same, prepend=-1) != 0])  # repeated rows
         cuts = np.append(np.flatnonzero(np.diff(c["node"], prepend=c["node"][:1] - 1)), len(c["node"]))
         rows = []
         for a, b in zip(cuts, cuts[1:]):
@@ -247,11 +268,45 @@ def ranked_sets(docs: DataFrame, sets: DataFrame, id_col: str = "doc_id", text_c
                 rows.append((int(c["node"][a]), n, blobs.pack({"t": np.sort(c["t"][a:b])}, NUMBERS), c["t"][a : a + prefix - alone], alone))
         return pd.DataFrame(rows, columns=["node", "n", "shared", "prefix", "at"])
 
-    packed = map_arrow(rows, held, "bucket long, blob binary").groupBy("bucket").applyInPandas(frequencies, "bucket long, blob binary")
+    packed = map_arrow(rows, held, "bucket long, kind int, blob binary").groupBy("kind", "bucket").applyInPandas(frequencies, "bucket long, blob binary")
     ranked = packed.groupBy("bucket").applyInPandas(ordered, "node long, n int, shared binary, prefix array<long>, at int")
     return nodes, cut(ranked)
 
 
+def common_shingles(rows: DataFrame, buckets: int) -> tuple[np.ndarray, np.ndarray]:
+    """The shingles (sorted) that more than HOT sets hold, or the HOT_KEYS most common of them, and their numbers of holders. Counts are combined in the mappers, so a hot shingle costs a record a batch."""
+    fields = {"=a": "<u8", "c": "<i4"}
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        parts: list[np.ndarray] = []
+        size = 0
+
+        def flush() -> pa.RecordBatch:
+            a, c = np.unique(np.concatenate(parts), return_counts=True)
+            return blobs.batch_of(*blobs.scatter({"a": a, "c": c.astype(np.int32)}, bucket_of(a, buckets), fields))
+
+        for batch in chunks(batches):
+            parts.append(shingle_sets(*text_buffers(batch.column("__text")))[1])
+            size += len(parts[-1])
+            if size >= blobs.GATHER:
+                yield flush()
+                parts, size = [], 0
+        if size:
+            yield flush()
+
+    def add(pdf: pd.DataFrame) -> pd.DataFrame:
+        c = blobs.unpack(pdf["blob"], fields)
+        a, own = np.unique(c["a"], return_inverse=True)
+        total = np.bincount(own, c["c"]).astype(np.int64)
+        return pd.DataFrame({"a": a[total > HOT].view(np.int64), "c": total[total > HOT]})
+
+    found = map_arrow(rows.select("__text"), count, "bucket long, blob binary").groupBy("bucket").applyInPandas(add, "a long, c long")
+    top = found.orderBy(F.col("c").desc(), "a").limit(HOT_KEYS).toPandas()
+    a, c = top["a"].to_numpy(np.int64).view(np.uint64), top["c"].to_numpy(np.int64)
+    order = np.argsort(a)
+    return a[order], np.minimum(c[order], np.iinfo(np.int32).max).astype(np.int32)
+
+
 def suffix_bound(x: np.ndarray, y: np.ndarray, depth: int = 2) -> int:
     """An upper bound of the intersection of two sorted sets: halves are compared with where they fall in the other set."""
     if not depth or len(x) < 2 or len(y) < 2:
@@ -291,7 +346,7 @@ def links(sets: DataFrame) -> DataFrame:
     """node, root of the nodes that have links; sets as from ranked_sets. Cut."""
     postings = sets.select("node", "n", "at", "prefix", F.posexplode("prefix").alias("i", "t"))
     postings = postings.select("node", "n", "at", "t", (F.col("at") + F.col("i")).alias("p"), F.slice("prefix", F.lit(1), F.col("i")).alias("before"))
-    roots = None
+    roots = checked = None
     for turn in range(STARS + 1):
         # without a root yet, every node is its own component
         here = postings if turn == STARS else postings.drop("before")
@@ -299,7 +354,10 @@ def links(sets: DataFrame) -> DataFrame:
         several = cut(here.groupBy("t").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).where("lo < hi").select("t"))
         here = join_checked(here, several, ["t"], F.lit(24), "inner")
         pairs = _starred(here, turn) if turn < STARS else _remaining(here)
-        new = cut(linked(cut(pairs.select(F.least("u", "v").alias("u"), F.greatest("u", "v").alias("v")).distinct()), sets))
+        pairs = pairs.select(F.least("u", "v").alias("u"), F.greatest("u", "v").alias("v")).distinct()
+        pairs = cut(pairs if checked is None else join_checked(pairs, checked, ["u", "v"], F.lit(24), "left_anti"))
+        checked = pairs if checked is None else checked.unionByName(pairs)
+        new = cut(linked(pairs, sets))
         if roots is not None:
             if new.isEmpty():
                 continue
@@ -320,8 +378,11 @@ def _starred(here: DataFrame, turn: int) -> DataFrame:
 def _remaining(here: DataFrame) -> DataFrame:
     """Every pair of nodes of different components that shares a prefix shingle and passes the filters, found at its first common shingle only, so once."""
     other = here.select("t", *(F.col(a).alias(b) for a, b in (("node", "v"), ("n", "m"), ("at", "bt"), ("p", "q"), ("root", "other"), ("before", "prior"))))
+    meet = here.select("t", "root").distinct()
+    meet = meet.join(meet.withColumnRenamed("root", "other"), "t").where("root < other")
     first = ~F.arrays_overlap("before", "prior")
-    return here.withColumnRenamed("node", "u").join(other, (here["t"] == other["t"]) & (F.col("root") < F.col("other")) & _possible("n", "m", "at", "bt", "p", "q") & first).select("u", "v")
+    rows = here.withColumnRenamed("node", "u").join(meet, ["t", "root"]).join(other, ["t", "other"])
+    return rows.where(_possible("n", "m", "at", "bt", "p", "q") & first).select("u", "v")
 
 
 def cluster(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

@@ -320,6 +320,30 @@ def test_jaccard_without_stars(spark, monkeypatch):
     assert rows_of(jaccard_join.assign(spark.createDataFrame(rows, "doc_id long, text string")), "doc_id", "n_shingles", "component_id") == by_text(brute.jaccard(rows))
 
 
+def test_common_shingles_are_not_gathered(spark, monkeypatch):
+    monkeypatch.setattr(jaccard_join, "HOT", 3)
+    rows = near_copies(40, seed=6) + near_copies(20, 60, seed=7)
+    rows = [(i, t) for i, (_, t) in enumerate(rows)] + [(0, rows[0][1])]
+    got = rows_of(jaccard_join.assign(spark.createDataFrame(rows, "doc_id long, text string").repartition(3)), "doc_id", "n_shingles", "component_id")
+    assert got == by_text(brute.jaccard(rows))
+
+
+def test_each_pair_is_verified_once(spark, monkeypatch):
+    seen = []
+    plain = jaccard_join.linked
+    monkeypatch.setattr(jaccard_join, "linked", lambda pairs, sets: (seen.extend((r.u, r.v) for r in pairs.collect()), plain(pairs, sets))[1])
+    rng = random.Random(13)
+    base = [[f"x{rng.randrange(50)}" for _ in range(90)] for _ in range(3)]
+    rows = []
+    for i in range(60):
+        w = list(base[i % 3])
+        for _ in range(rng.randrange(0, 9)):
+            w[rng.randrange(90)] = f"y{rng.randrange(1000)}"
+        rows.append((i, " ".join(w)))
+    got = rows_of(jaccard_join.assign(spark.createDataFrame(rows, "doc_id long, text string")), "doc_id", "n_shingles", "component_id")
+    assert got == by_text(brute.jaccard(rows)) and len(seen) == len(set(seen)) > 0
+
+
 def test_suffix_bound_is_a_bound():
     rng = np.random.default_rng(3)
     for _ in range(200):
