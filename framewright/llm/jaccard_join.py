@@ -18,8 +18,7 @@
    shingle, so large groups of near copies become one component from a linear number
    of pairs. The last round compares every pair that shares a prefix shingle and is
    not connected yet, at its first common shingle, so no link between components is
-   lost. It goes by pairs of components that meet in a shingle, so a component's own
-   members are never paired.
+   lost.
 
 Defined results: null texts and texts without words have an empty set and stand
 alone; fewer than five words are one shingle; a null doc_id counts as the smallest;
@@ -53,7 +52,7 @@ SAMPLED = 0.3
 #: Rounds of stars before all remaining pairs are compared.
 STARS = 4
 #: Sets whose common shingle is gathered by one task; more common shingles go by a table of at most HOT_KEYS entries (16 bytes each), the most common ones.
-HOT, HOT_KEYS = 50_000, 2 << 20
+HOT, HOT_KEYS = 1_000_000, 2 << 20
 
 #: kind 0: a shingle; 1: one that recurs in its batch; 2: a count of shared shingles; 3: a document's set (a: its hash, n: size, s: sampled shingles).
 SHARED = {"=a": "<u8"} | blobs.OWNER | {"n": "<i4", "s": "<i4", "kind": "u1"}
@@ -378,11 +377,8 @@ def _starred(here: DataFrame, turn: int) -> DataFrame:
 def _remaining(here: DataFrame) -> DataFrame:
     """Every pair of nodes of different components that shares a prefix shingle and passes the filters, found at its first common shingle only, so once."""
     other = here.select("t", *(F.col(a).alias(b) for a, b in (("node", "v"), ("n", "m"), ("at", "bt"), ("p", "q"), ("root", "other"), ("before", "prior"))))
-    meet = here.select("t", "root").distinct()
-    meet = meet.join(meet.withColumnRenamed("root", "other"), "t").where("root < other")
     first = ~F.arrays_overlap("before", "prior")
-    rows = here.withColumnRenamed("node", "u").join(meet, ["t", "root"]).join(other, ["t", "other"])
-    return rows.where(_possible("n", "m", "at", "bt", "p", "q") & first).select("u", "v")
+    return here.withColumnRenamed("node", "u").join(other, (here["t"] == other["t"]) & (F.col("root") < F.col("other")) & _possible("n", "m", "at", "bt", "p", "q") & first).select("u", "v")
 
 
 def cluster(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
