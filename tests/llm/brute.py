@@ -111,3 +111,30 @@ def base_rules(text):
             again.update(range(p, p + 5))
     lines = [x for x in text.split("\n") if WORD.search(x)]
     return (len(w), sum(map(len, w)), sum(c in "#*$%&|<>" for c in text), len(lines) - len(set(lines)), len(again), len(w) < 10 or 100 * len(again) > 20 * len(w))
+
+
+def statistics(text):
+    """The classifier's sixteen statistics of one text, from its words, bytes and lines."""
+    import math
+
+    raw = (text or "").encode()
+    if not raw:
+        return [0.0] * 16
+    w = [x.encode() for x in WORD.findall(text)]
+    n, solid = len(w), sum(map(len, w))
+    letters, some = max(solid, 1), max(n, 1)
+    of = lambda chars: sum(b in chars for b in raw)
+    lines = text.split("\n")
+    lines = lines[:-1] if lines[-1] == "" else lines
+    triples = [tuple(w[k : k + 3]) for k in range(n - 2)]
+    return [
+        math.log1p(n), solid / some, of(b"ABCDEFGHIJKLMNOPQRSTUVWXYZ") / letters, of(b"0123456789") / letters, of(b"#*$%&|<>@^~_=+{}[]\\/") / letters, of(b"!?") / letters, of(b".,;:") / some,
+        len(lines) / some, sum(b > 127 for b in raw) / letters, len(set(w)) / math.sqrt(some), max(Counter(w).values(), default=0) / some, sum(a == b for a, b in zip(w, w[1:])) / some,
+        1 - len(set(triples)) / len(triples) if triples else 0.0, 1 - len(set(lines)) / max(len(lines), 1), math.log1p(n / max(len(lines), 1)), sum(len(x) > 15 for x in w) / some,
+    ]
+
+
+def isotonic(n, good):
+    """The nondecreasing fit to good / n by its min-max formula."""
+    mean = lambda a, b: sum(good[a : b + 1]) / sum(n[a : b + 1])
+    return [max(min(mean(a, b) for b in range(i, len(n))) for a in range(i + 1)) for i in range(len(n))]

@@ -174,6 +174,45 @@ def test_isotonic():
     assert levels.tolist() == [0, 0, 0.5, 0.5, 1, 1] and knots.tolist() == [0, 0, 1, 2, 3, 3]
 
 
+def test_statistics_like_the_plain_ones(odd_rows):
+    texts = [t or "" for _, t in odd_rows] + ["a\n\nb\n", "\n", "X1 #x! x, x; aVeryLongWordIndeedHere é", "w w w v w w w"]
+    raw = [t.encode() for t in texts]
+    got = quality_classifier.statistics(np.frombuffer(b"".join(raw), np.uint8), np.cumsum([0, *map(len, raw)]))
+    assert np.allclose(got, [brute.statistics(t) for t in texts], atol=1e-9)
+
+
+def test_fit_like_plain_normal_equations(spark):
+    """Weights and calibration by plain least squares over all taught rows at once."""
+    rows, labels = quality_rows(400, seed=3)
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(5)
+    table = spark.createDataFrame([*labels, (10**9, 1, 0)], "doc_id long, quality int, toxic int")
+    model = quality_classifier.fit(docs, table)
+    taught = [k for k, (i, _) in enumerate(rows) if zlib.crc32(str(i).encode()) % 3 != 1]
+    x, y = np.array([brute.statistics(rows[k][1]) for k in taught]), np.array([labels[k][1] for k in taught], float)
+    mean, scale = x.mean(axis=0), x.std(axis=0)
+    scale[scale <= 1e-9] = 1.0
+    assert np.allclose(model.mean, mean) and np.allclose(model.scale, scale)
+    rng = np.random.default_rng(quality_classifier.SEED)
+    w, b = rng.normal(0, 1 / quality_classifier.WIDTH, (16, quality_classifier.FEATURES)), rng.uniform(0, 2 * np.pi, quality_classifier.FEATURES)
+    feature = lambda v: np.array([*(math.sqrt(2 / len(b)) * np.cos(np.clip((v - mean) / scale, -8, 8) @ w + b)), 1.0])
+    z = np.array([feature(v) for v in x])
+    ridge = lambda own: np.linalg.solve(z[own].T @ z[own] + quality_classifier.RIDGE * own.sum() * np.eye(z.shape[1]), z[own].T @ y[own])
+    assert np.allclose(model.weights, ridge(np.ones(len(y), bool)), atol=1e-6)
+    fold = np.array([r.f for r in spark.createDataFrame([(rows[k][0],) for k in taught], "doc_id long").select(F.pmod(F.xxhash64("doc_id"), F.lit(2)).alias("f")).collect()])
+    out = np.where(fold == 0, z @ ridge(fold == 1), z @ ridge(fold == 0))
+    low, high, cells = quality_classifier.LOW, quality_classifier.HIGH, quality_classifier.CELLS
+    cell = np.clip((out - low) / (high - low) * cells, 0, cells - 1).astype(int)
+    used = sorted(set(cell.tolist()))
+    levels = brute.isotonic([int((cell == c).sum()) for c in used], [float(y[cell == c].sum()) for c in used])
+    at = [low + (c + 0.5) * (high - low) / cells for c in used]
+    assert np.allclose(np.interp(at, model.knots, model.levels), levels, atol=1e-9)
+    got = {r.doc_id: r.score for r in quality_classifier.score(docs, model).collect()}
+    for i, t in rows[:60]:
+        r = feature(np.array(brute.statistics(t))) @ model.weights
+        want = (1 - quality_classifier.SLOPE) * np.interp(r, at, levels) + quality_classifier.SLOPE * min(max((r - low) / (high - low), 0), 1)
+        assert math.isclose(got[i], want, abs_tol=1e-6)
+
+
 # ---- 4 substring dedup ----
 
 
