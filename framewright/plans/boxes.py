@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from framewright.functions import canvas as cv
 from framewright.functions import geometry as g
+from framewright.functions.rounding import round_exact
 from framewright.plans import derived as d
 from framewright.plans.registry import joined, query
 
@@ -132,10 +133,12 @@ _SCALES = (
 )
 
 
-def _mapped(spark, sf_dir, f):
+def _mapped(spark, sf_dir, f, digits):
     box = g.Box(F.lit(10.0), F.lit(20.0), F.lit(300.0), F.lit(400.0))
     each = F.array(*(F.struct(F.lit(name).alias("canvas"), *f(box, name).columns()) for name in cv.CANVASES))
-    return d.sizes(spark, sf_dir).select("p_partkey", F.inline(each))
+    rows = d.sizes(spark, sf_dir).select("p_partkey", F.inline(each))
+    # rounded after the canvases are rows, so that the rounding is generated once
+    return rows.select("p_partkey", "canvas", *g.Box.of().each(lambda c: round_exact(c, digits)).columns())
 
 
 @query(
@@ -143,20 +146,16 @@ def _mapped(spark, sf_dir, f):
     d.SIZES, _RESIZED, _SCALES,
 )
 def canvas_map(spark, sf_dir):
-    from framewright.functions.rounding import round_exact
-
-    return _mapped(spark, sf_dir, lambda box, name: cv.map_box(box, name, F.col("w"), F.col("h")).each(lambda c: round_exact(c, 4)))
+    return _mapped(spark, sf_dir, lambda box, name: cv.map_box(box, name, F.col("w"), F.col("h")), 4)
 
 
 @query("SELECT p_partkey, canvas, 10.0::DOUBLE AS x1, 20.0::DOUBLE AS y1, 300.0::DOUBLE AS x2, 400.0::DOUBLE AS y2 FROM scales", d.SIZES, _RESIZED, _SCALES)
 def canvas_roundtrip(spark, sf_dir):
-    from framewright.functions.rounding import round_exact
-
     def there_and_back(box, name):
         w, h = F.col("w"), F.col("h")
-        return cv.unmap_box(cv.map_box(box, name, w, h), name, w, h).each(lambda c: round_exact(c, 6))
+        return cv.unmap_box(cv.map_box(box, name, w, h), name, w, h)
 
-    return _mapped(spark, sf_dir, there_and_back)
+    return _mapped(spark, sf_dir, there_and_back, 6)
 
 
 @query(
