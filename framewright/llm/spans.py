@@ -18,16 +18,17 @@ from framewright.llm.common import KEY, KEY_SCHEMA, join_checked, map_arrow, row
 SPAN = blobs.OWNER | {"lo": "<i4", "n": "<i4"}
 
 
-def bucket_of(ids: np.ndarray, buckets: int) -> np.ndarray:
-    """The bucket of a document's spans."""
-    return (ids.view(np.uint64) * np.uint64(0x9E3779B97F4A7C15) >> np.uint64(20)).astype(np.int64) % buckets
+def bucket_of(columns: Columns, buckets: int) -> np.ndarray:
+    """The bucket of a document's spans; null ids, which are all one id, are dealt by their texts' hash."""
+    mixed = columns["id"].view(np.uint64) * np.uint64(0x9E3779B97F4A7C15) ^ columns["tag"].view(np.uint64)
+    return (mixed >> np.uint64(20)).astype(np.int64) % buckets
 
 
 def spread(columns: Columns, buckets: int, fields: dict[str, str] = SPAN) -> tuple[list[int], list[bytes]]:
     """Spans packed by their document's bucket."""
     order = np.lexsort((columns["lo"], columns["tag"], columns["id"]))
     own = blobs.take(columns, order)
-    return blobs.scatter(own, bucket_of(own["id"], buckets), fields)
+    return blobs.scatter(own, bucket_of(own, buckets), fields)
 
 
 def by_document(packed: DataFrame) -> DataFrame:

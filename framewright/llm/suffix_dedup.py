@@ -78,7 +78,7 @@ def combine(parts: list[Columns], buckets: int) -> pa.RecordBatch:
     c = blobs.take(c, order) | {"m": contents[own], "kind": several.astype(np.uint8)}
     sure = blobs.take(c, several) | {"kind": np.full(int(several.sum()), 2, np.uint8)}
     on = blobs.take(c, first)
-    bucket = np.concatenate((spans.bucket_of(sure["id"], buckets), bucket_of(on["a"], buckets)))
+    bucket = np.concatenate((spans.bucket_of(sure, buckets), bucket_of(on["a"], buckets)))
     return blobs.batch_of(*blobs.scatter(blobs.concat([sure, on]), bucket, RUN))
 
 
@@ -117,7 +117,7 @@ def judge_runs(packed: DataFrame, buckets: int) -> DataFrame:
         hot = np.flatnonzero(total > HOT)
         again = blobs.concat([blobs.take(c, c["kind"] == 2), blobs.take(live, many & (live["kind"] == 0))])
         again = blobs.take(again, np.lexsort((again["k"], again["tag"], again["id"])))
-        numbers, rows = blobs.scatter(again, spans.bucket_of(again["id"], buckets), PART)
+        numbers, rows = blobs.scatter(again, spans.bucket_of(again, buckets), PART)
         names = live["a"][np.searchsorted(own, hot)].view(np.int64)
         return pd.DataFrame({"bucket": numbers + names.tolist(), "kind": [1] * len(numbers) + [2] * len(hot), "n": [0] * len(numbers) + total[hot].tolist(), "blob": rows + [None] * len(hot)})
 
