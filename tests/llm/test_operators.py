@@ -224,9 +224,75 @@ def test_substring_dedup(odd_docs, odd_rows, no_docs):
     assert kept[6] == "" and len(kept[5].split()) == 6000
 
 
-def test_substring_dedup_over_batches(odd_docs, odd_rows, monkeypatch):
-    monkeypatch.setattr(substring_dedup.blobs, "GATHER", 3)
-    assert rows_of(substring_dedup.digests(odd_docs), "doc_id", "n_removed") == by_text([(i, r) for i, _, r, _ in brute.substring_dedup(odd_rows)])
+def branching_rows(seed=5):
+    """Passages that occur whole, cut off, run together and repeated, behind and before words of their own."""
+    rng = random.Random(seed)
+    passages = [[f"p{k}x{i}" for i in range(rng.randrange(25, 160))] for k in range(6)]
+    rows = []
+    for i in range(40):
+        words = []
+        for _ in range(rng.randrange(1, 4)):
+            p = rng.choice(passages)
+            a = rng.choice([0, 0, rng.randrange(len(p))])
+            words += [f"own{i}y{rng.randrange(9)}" for _ in range(rng.choice([0, 3, 30]))] + p[a : rng.choice([len(p), rng.randrange(len(p)) + 1])]
+        rows.append((rng.choice([i, i, None]), " ".join(words)))
+    return [*rows, rows[0], rows[1], (90, " ".join(["a", "b", "c"] * 40)), (91, " ".join(["b", "c", "a"] * 30))]
+
+
+def branching_docs(spark, rows, parts):
+    """rows in so many partitions that each is a batch of its own."""
+    return spark.createDataFrame(rows, "doc_id long, text string").repartition(parts)
+
+
+@pytest.mark.parametrize("parts", [1, 24])
+def test_substring_dedup_of_branching_texts(spark, parts):
+    rows = branching_rows()
+    got = substring_dedup.digests(branching_docs(spark, rows, parts))
+    assert rows_of(got, "doc_id", "n_words", "n_removed", "kept_sha256") == by_text(brute.substring_dedup(rows))
+
+
+def test_substring_dedup_removes_by_paths_only(spark, monkeypatch):
+    rows = branching_rows()
+    monkeypatch.setattr(substring_dedup, "unitigs", lambda said: said.select("v", F.lit(0).alias("length")).distinct())
+    assert {r.n_removed for r in substring_dedup.digests(branching_docs(spark, rows, 3)).collect()} == {0}
+
+
+def test_unitigs(spark):
+    rng = random.Random(3)
+    chain = list(range(100, 145))  # rounds of doubling
+    texts = [chain, [1, *chain, 2], [1, 3, 4, 1, 3, 4, 1, 3], [5, 6, 7], [5, 6, 8], [5, 6], [9, 9, 9], [-4, -3], [-4, -3, 11]]
+    texts += [[rng.randrange(20, 30) for _ in range(rng.randrange(1, 6))] for _ in range(8)]
+    n = {v: rng.randrange(1, 14) for t in texts for v in t}
+    said, after, before = [], {}, {}
+    for bucket, t in enumerate(texts):
+        for v, prior, follow in zip(t, [0, *t], [*t[1:], 0]):
+            said.append((bucket, v, n[v], n[v] + (v == 120), follow, follow, prior, prior))  # 120 is of two lengths: hashes collided
+            after.setdefault(v, set()).add(follow)
+            before.setdefault(v, set()).add(prior)
+    to = {v: next(iter(f)) for v, f in after.items() if len(f) == 1 and v != 120}
+    to = {v: w for v, w in to.items() if w not in (0, 120) and before[w] == {v}}
+    want = {w: 0 for w in to.values()}
+    for v in to.keys() - want.keys():
+        want[v], at = n[v], v
+        while at in to:
+            at = to[at]
+            want[v] += n[at]
+    fields = "bucket long, v long, n_least int, n_most int, after_least long, after_most long, before_least long, before_most long"
+    got = {r.v: r.length for r in substring_dedup.unitigs(spark.createDataFrame(said, fields)).collect()}
+    assert got == want and got[100] == sum(n[v] for v in range(100, 120)) and got[121] > 0
+    assert substring_dedup.unitigs(spark.createDataFrame([], fields)).count() == 0
+
+
+def test_substring_paths_are_verified(spark):
+    """A path with a word that differs from its source's, as if hashes had collided, loses only the edges over that word."""
+    words = [f"w{i}" for i in range(60)]
+    docs = spark.createDataFrame([(1, " ".join(words)), (2, " ".join([*words[:30], "other", *words[31:]])), (3, " ".join(words))], "doc_id long, text string")
+    texts = docs.select(*substring_dedup.row_key(docs, "doc_id", "text"))
+    key = {r["__id"]: (r["__id"], r["__tag"], r["__top"]) for r in texts.collect()}
+    copies = [(*key[2], 0, 60, *key[1], 0), (*key[3], 0, 60, *key[1], 0)]
+    found = spark.createDataFrame(copies, "id long, tag long, top int, lo int, n int, sid long, stag long, stop int, slo int")
+    merged = substring_dedup.spans.from_rows(substring_dedup.verified(texts, found)).collect()
+    assert {r["__id"]: np.frombuffer(r["__spans"], "<i4").tolist() for r in merged} == {2: [0, 30, 31, 60], 3: [0, 60]}
 
 
 # ---- 5 line dedup ----
