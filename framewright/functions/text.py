@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from framewright.functions.rounding import round_exact
+
 #: A phrase's noun ends before the first of these words.
 JOINERS = ("with", "in", "wearing", "on", "at", "holding", "and", "that", "which", "having", "carrying", "next", "near", "behind", "beside")
 #: What separates words: the white space characters of Unicode, commas counting as spaces.
@@ -26,8 +28,20 @@ def subject_noun(phrase: Column) -> Column:
 
 
 def three_decimals(x: Column) -> Column:
-    """A score for people: three decimals, or - if there is none."""
-    return F.when(x.isNull(), F.lit("-")).otherwise(F.format_string("%.3f", x))
+    """A score for people: three decimals of its binary value, halves to even, or - if there is none.
+
+    Java's own format rounds the shortest decimal half up, so it only serves for nan, inf and
+    from 2^63 on, where there is no fraction and it fills digits past the shortest with zeros.
+    """
+    x = x.cast("double")
+    size = F.abs(x)
+    whole = F.floor(size)
+    thousandths = F.floor(F.rint(round_exact(size - whole.cast("double"), 3) * 1000.0))
+    # the text of a double also has the sign of -0.0
+    sign = F.when(x.cast("string").startswith("-"), "-").otherwise("")
+    exact = F.format_string("%s%d.%03d", sign, whole + F.floor(thousandths / 1000), thousandths % 1000)
+    other = F.replace(F.lower(F.format_string("%.3f", x)), F.lit("infinity"), F.lit("inf"))
+    return F.when(x.isNull(), "-").when(size < 2.0**63, exact).otherwise(other)
 
 
 def strip_indices(total: Column, seed: Column, count: int = 8) -> Column:

@@ -22,8 +22,7 @@ def decide(identity: Column, pick_ref: Column, pick_seed: Column, least: float,
     reason = (
         F.when(boxless, F.concat(F.lit("no usable box on the "), sides, F.lit(" side")))
         .when(identity.isNull(), "no identity score")
-        .when(~ok, F.concat(F.lit("identity "), three_decimals(identity), F.lit(f" < {least}")))
-        .otherwise(F.concat(F.lit("identity "), three_decimals(identity), F.lit(f" >= {least}")))
+        .otherwise(F.concat(F.lit("identity "), three_decimals(identity), F.when(ok, f" >= {least}").otherwise(f" < {least}")))
     )
     name = lambda c: F.coalesce(c, F.lit("none"))
     return F.struct(

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from framewright.functions import canvas, geometry, ids
 from framewright.functions.geometry import Box
 from framewright.functions.rounding import round_exact
-from framewright.functions.text import strip_indices, subject_noun
+from framewright.functions.text import strip_indices, subject_noun, three_decimals
 
 QUIET = settings(max_examples=8, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
 
@@ -33,6 +33,16 @@ def test_round_exact_is_pythons_round(spark):
         assert got == [round(v, digits) for v in values]
 
 
+def test_three_decimals_are_pythons(spark):
+    rng = random.Random(5)
+    values = [161300 / 200000 - 0.5, 13900 / 200000 - 0.5, 0.0625, -0.0625, 0.9995, 1.0005, -0.0, 0.0, -0.0001, 5e-324, math.nan, math.inf, -math.inf]
+    values += [rng.uniform(-2, 2) for _ in range(2000)] + [rng.randrange(-2000, 2000) / 1000 + 5e-4 for _ in range(2000)] + [k / 16 for k in range(-80, 80)]
+    values += [s * rng.random() * 2.0**e for e in range(1, 63) for s in (-1, 1) for _ in range(20)] + [2.0**40 + 0.0625, 2.0**60, 1024 - 2.0**63, 1e22]
+    frame = spark.createDataFrame([(v,) for v in values], "x double")
+    assert [r.y for r in frame.select(three_decimals(F.col("x")).alias("y")).collect()] == [f"{v:.3f}" for v in values]
+    assert one(spark, three_decimals(F.lit(None).cast("double"))) == ("-",)
+
+
 @pytest.mark.parametrize(
     "box,want",
     [((10.4, 20.6, 30.5, 39.49), (10, 21, 30, 39)), ((30, 20, 30, 20), (30, 20, 31, 21)), ((500, 500, 600, 600), (99, 49, 100, 50))],

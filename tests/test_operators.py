@@ -187,6 +187,15 @@ def test_decide(spark, identity, pick, want):
         gate.decide(F.lit(1.0), F.lit("a"), F.lit("b"), 0.2, rule="other")
 
 
+@pytest.mark.parametrize(
+    "identity,want",
+    [(161300 / 200000 - 0.5, "identity 0.306 >= 0.2"), (13900 / 200000 - 0.5, "identity -0.430 < 0.2"), (0.1995, "identity 0.200 < 0.2"), (0.0625, "identity 0.062 < 0.2"), (None, "no identity score")],
+)
+def test_decide_tells_the_score_as_its_binary_value_rounds(spark, identity, want):
+    ruling = gate.decide(F.lit(identity).cast("double"), F.lit("dis"), F.lit("dis"), 0.2)
+    assert spark.range(1).select(ruling.alias("d")).first().d.reason == want
+
+
 def test_gate_funnel(spark):
     subjects = spark.createDataFrame([("a", 1), ("a", 2), ("b", 1)], "sample_id string, subject_id int")
     records = spark.createDataFrame([("a", 1, 0, 0.1, "dis", "dis", "x", "y"), ("a", 1, 1, 0.8, "dis", "dis", "x", "y"), ("a", 2, 2, 0.1, "dis", "dis", "x", "y")], RECORD)
